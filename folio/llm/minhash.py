@@ -78,8 +78,9 @@ class Shingler:
         words, known = text.encode("utf-8").lower().split(), self.known
         if len(known) > MAX_WORDS:
             known.clear()
-        for w in set(words) - known.keys():
-            known[w] = xxhash.xxh3_64_intdigest(w)
+        for w in set(words):
+            if w not in known:
+                known[w] = xxhash.xxh3_64_intdigest(w)
         return np.array([known[w] for w in words], U64)
 
     def shingles(self, text: str) -> np.ndarray:
@@ -99,22 +100,26 @@ class Signer:
         self.rows, self.bands = rows, bands
         random = np.random.default_rng(SEED)
         n = rows * bands
-        self.times = (random.integers(0, 2**32, n, np.uint32) | np.uint32(1))[:, None]
-        self.flip = random.integers(0, 2**32, n, np.uint32)[:, None]
+        self.times = random.integers(0, 2**32, n, np.uint32) | np.uint32(1)
+        self.flip = random.integers(0, 2**32, n, np.uint32)
         self.salt = random.integers(0, 2**63, bands, np.int64).view(U64)
 
     def minima(self, shingles: np.ndarray) -> np.ndarray:
         h = (shingles >> U64(32)).astype(np.uint32) ^ shingles.astype(np.uint32)
         least = np.full(len(self.times), 0xFFFFFFFF, np.uint32)
-        for k in range(0, len(h), 2048):
-            x = (h[None, k : k + 2048] ^ self.flip) * self.times
-            np.minimum(least, (x ^ (x >> np.uint32(15))).min(axis=1), out=least)
+        for k in range(0, len(h), 512):  # what stays in a core's cache
+            x = h[k : k + 512, None] ^ self.flip
+            x *= self.times
+            x ^= x >> np.uint32(15)
+            np.minimum(least, x.min(axis=0), out=least)
         return least
 
     def buckets(self, minima: np.ndarray) -> np.ndarray:
-        key = self.salt.copy()
-        for column in minima.reshape(self.bands, self.rows).T:
-            key = _mixed(key * U64(0xD6E8FEB86659FD93) + column.astype(U64))
+        """For minima of several documents, one row each."""
+        parts = minima.reshape(len(minima), self.bands, self.rows)
+        key = np.broadcast_to(self.salt, parts.shape[:2])
+        for k in range(self.rows):
+            key = _mixed(key * U64(0xD6E8FEB86659FD93) + parts[:, :, k].astype(U64))
         return key.view(np.int64)
 
 
@@ -131,14 +136,17 @@ def signatures(docs: DataFrame, width: int, rows: int, bands: int, id_col: str,
         for batch in batches:
             for at in range(0, len(batch), 500):
                 part = batch.iloc[at : at + 500]
+                sets = [shingles(t) for t in part["t"]]
+                full = [s for s in sets if len(s)]
+                minima = np.stack([signer.minima(s) for s in full]) if full else np.empty((0, rows * bands), np.uint32)
+                found = zip(full, minima.astype("<u2"), signer.buckets(minima), strict=True)
                 out = []
-                for t in part["t"]:
-                    s = shingles(t)
-                    if not len(s):
+                for s in sets:
+                    if len(s):
+                        own, m, buckets = next(found)
+                        out.append((len(own), hashlib.blake2b(own.tobytes(), digest_size=16).digest(), m.tobytes(), buckets))
+                    else:
                         out.append((0, None, None, None))
-                        continue
-                    m = signer.minima(s)
-                    out.append((len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), m.astype("<u2").tobytes(), signer.buckets(m)))
                 got = pd.DataFrame(out, columns=["n", "set_key", "signature", "buckets"])
                 got.insert(0, "i", part["i"].astype("Int64").to_numpy(object, na_value=None))
                 got["i"] = got["i"].astype("Int64")
