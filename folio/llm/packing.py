@@ -18,9 +18,11 @@ extra columns cannot clash.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -28,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import text_of, written
+from .sp_codec import portions
 
 WINDOW, OPEN, MERGED = 2048, 16, 16
 END_ID = 1
@@ -35,36 +38,77 @@ MAX_RUNS, MAX_RUN_CHARS = 400_000, 64
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+#: Letters whose lower case and composition need no context, and marks that split off them as one token.
+SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+
+
 class RunTable:
-    """Ids, as little-endian 32-bit bytes, of the distinct runs without ASCII white space of a task."""
+    """Ids, as little-endian 32-bit bytes, of the distinct runs without ASCII white space of a task.
+
+    Most runs are a word and the marks after it. The distinct words are encoded in one call and parted at
+    the ids that end a word; all other runs are encoded one by one.
+    """
 
     def __init__(self, tokenizer_path: str, max_runs: int = MAX_RUNS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.max_runs = max_runs
-        self.ids: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def encode(self, text: str) -> bytes:
-        for c in "\n\t\r":
-            if c in text:
-                text = text.replace(c, " ")
-        runs, table = text.split(" "), self.ids
-        missing = [r for r in set(runs) if r not in table]
-        if not missing:
-            return b"".join([table[r] for r in runs])
-        if len(table) + len(missing) > self.max_runs:
-            self.older, self.ids = table, {}
-            table, missing = self.ids, list(set(runs))
-        found = {r: self.older[r] for r in missing if r in self.older}
-        new = [r for r in missing if r not in found]
-        for r, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            found[r] = np.array(e.ids, "<u4").tobytes()
-        out = b"".join([found[r] if r in found else table[r] for r in runs])
-        table.update((r, ids) for r, ids in found.items() if len(r) <= MAX_RUN_CHARS)
-        return out
+    def _one_by_one(self, runs: list[str]) -> dict[str, bytes]:
+        found = self.tokenizer.encode_batch_fast(runs, add_special_tokens=False)
+        return {r: np.array(e.ids, "<u4").tobytes() for r, e in zip(runs, found, strict=True)}
+
+    def _words(self, words: list[str]) -> dict[str, bytes]:
+        if not words:
+            return {}
+        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        if len(stops) != len(words):
+            return self._one_by_one(words)
+        raw, bounds = ids.tobytes(), [0, *stops.tolist()]
+        return {w: raw[4 * lo : 4 * hi] for w, lo, hi in zip(words, bounds, bounds[1:], strict=False)}
+
+    def _encode(self, runs: list[str]) -> dict[str, bytes]:
+        simple, other = {}, []
+        for r in runs:
+            if m := SIMPLE.fullmatch(r):
+                simple[r] = m[1].lower(), m[2]
+            else:
+                other.append(r)
+        found = self._words(list({w for w, _ in simple.values()}))
+        marks = self._one_by_one(list({m for _, m in simple.values() if m}))
+        marks[""] = b""
+        return self._one_by_one(other) | {r: found[w] + marks[m] for r, (w, m) in simple.items()}
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        split = []
+        for t in texts:
+            for c in "\n\t\r":
+                if c in t:
+                    t = t.replace(c, " ")
+            split.append(t.split(" "))
+        seen = set(chain.from_iterable(split))
+        table = self.known
+        missing = [r for r in seen if r not in table]
+        long = {}
+        if missing:
+            if len(table) + len(missing) > self.max_runs:
+                self.older, self.known = table, {}
+                table, missing = self.known, list(seen)
+            older = self.older
+            table.update((r, older[r]) for r in missing if r in older)
+            for r, ids in self._encode([r for r in missing if r not in older]).items():
+                (table if len(r) <= MAX_RUN_CHARS else long)[r] = ids
+        if long:
+            return [b"".join([long[r] if r in long else table[r] for r in runs]) for runs in split]
+        return [b"".join([table[r] for r in runs]) for runs in split]
 
 
 @lru_cache(2)
@@ -148,8 +192,10 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
         encode = _table(tokenizer_path).encode
         packer = Packer(window, most_open)
         for batch in batches:
-            for doc, text in zip(batch["i"], batch["t"], strict=True):
-                packer.add(doc, encode(text) + end)
+            names_left = iter(batch["i"].tolist())
+            for texts in portions(batch["t"].tolist()):
+                for text in encode(texts):
+                    packer.add(next(names_left), text + end)
             yield closed(packer, part)
         left = [(None if pd.isna(d) else d, s, len(ids) // 4, zlib.crc32(ids), total, k, 0, part, ids) for k, (_, pieces) in enumerate(packer.open) for d, s, ids, total in pieces]
         yield table(left)
