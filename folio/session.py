@@ -1,0 +1,21 @@
+"""Sessions with the settings the library is tuned for."""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+
+SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+
+
+def session(app: str = "folio", **more: str) -> SparkSession:
+    """The active session, or a new one; more: settings with dots as double underscores."""
+    builder = SparkSession.builder.appName(app)
+    for k, v in (SETTINGS | {k.replace("__", "."): v for k, v in more.items()}).items():
+        builder = builder.config(k, v)
+    return builder.getOrCreate()
