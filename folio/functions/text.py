@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Accented letters of Latin and Cyrillic text and what remains without the marks, derived from Unicode's decompositions.
 _FOLDED = {
@@ -27,7 +28,7 @@ def fold(text: Column) -> Column:
     return F.lower(F.translate(F.regexp_replace(F.coalesce(text, F.lit("")), MARKS, ""), _FROM, _TO))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def fold_exact(texts: pd.Series) -> pd.Series:
     """The same for all of Unicode, compatibility characters included."""
     return texts.fillna("").map(lambda s: "".join(c for c in unicodedata.normalize("NFKD", s) if not unicodedata.combining(c)).lower())

@@ -54,4 +54,4 @@ chunks_t AS (SELECT doc_id, page, CAST(generate_subscripts(c, 1) - 1 AS INTEGER)
 TOKENS = "toks AS (SELECT doc_id, regexp_extract_all(lower(strip_accents(text)), '[a-zа-я0-9]+') AS w FROM documents)"
 
 #: sh(doc_id, pos, h): shingles of eight words
-SHINGLES = TOKENS + ", sh AS (SELECT doc_id, unnest(range(0, greatest(len(w) - 7, 0))) AS pos, unnest(list_transform(range(0, greatest(len(w) - 7, 0)), lambda i: array_to_string(w[i + 1:i + 8], ' '))) AS h FROM toks)"
+SHINGLES = TOKENS + ", sh AS (SELECT doc_id, unnest(range(0, greatest(len(w) - 7, 0))) AS pos, unnest(list_transform(range(0, greatest(len(w) - 7, 0)), lambda i: hash(array_to_string(w[i + 1:i + 8], ' ')))) AS h FROM toks)"
