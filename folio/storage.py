@@ -1,17 +1,18 @@
-"""Cutting lineage with reliable checkpoints in the shared folder."""
+"""Cutting lineage with tables written to the shared folder."""
 
 from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """df, checkpointed. The folder is spark.checkpoint.dir's; a folder of this machine only where that is unset."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        told = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(told or os.path.join(tempfile.gettempdir(), "folio-checkpoints"))
-    return df.checkpoint()
+    """df, written to the folder of spark.checkpoint.dir and read back (one of this machine only where that is unset)."""
+    spark = df.sparkSession
+    shared = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "folio-checkpoints")
+    path = f"{shared.rstrip('/')}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
