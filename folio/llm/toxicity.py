@@ -136,7 +136,7 @@ class Model:
     def tokens(self, text: str | None) -> list[str]:
         """The tokens of the text in lower case, runs of three or more single letters joined; not yet restored."""
         out = (text or "").lower().split()
-        singles = [k for k, t in enumerate(out) if len(t) == 1]
+        singles = [k for k, t in enumerate(out) if len(t) < 3 and len(t.rstrip(".,;:!?")) == 1]
         if len(singles) < 3:
             return out
         joined, k = [], 0

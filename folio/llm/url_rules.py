@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -77,14 +78,17 @@ def _swept(keys: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:
         for hit in sweep(rows(), ordered):
             hits.append(hit)
             if len(hits) == len(got[0]):
-                yield found(got.pop(0), hits)
+                out = found(got.pop(0), hits)
                 hits.clear()
+                if len(out):
+                    yield out
 
     def found(batch: pd.DataFrame, hits: list[int]) -> pd.DataFrame:
         kept = [k for k, h in enumerate(hits) if h >= 0]
         of = [rules[hits[k]] for k in kept]
-        out = batch.iloc[kept][["host", "path"]].reset_index(drop=True)
-        out["rank"] = [(len(h) + len(p)) * 1000 + min(len(h), 999) for _, h, p in of]
+        hosts, paths = batch["host"].tolist(), batch["path"].tolist()
+        out = pd.DataFrame({"host": [hosts[k] for k in kept], "path": [paths[k] for k in kept]}, dtype=object)
+        out["rank"] = np.array([(len(h) + len(p)) * 1000 + min(len(h), 999) for _, h, p in of], np.int64)
         out["rule"] = [h + p for _, h, p in of]
         out["verdict"] = [v for v, _, _ in of]
         return out
