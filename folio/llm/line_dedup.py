@@ -28,7 +28,10 @@ VARIABLE = "<*>"
 
 def masked(line: Column) -> Column:
     """The line with single blanks, tokens with a digit as variables."""
-    line = F.trim(F.regexp_replace(line, r"\s+", " "))
+    odd = line.contains("  ")
+    for c in "\t\r\x0b\f":
+        odd = odd | line.contains(c)
+    line = F.trim(F.when(odd, F.regexp_replace(line, r"\s+", " ")).otherwise(line))  # most lines need no search
     return F.when(line.rlike("[0-9]"), F.regexp_replace(line, r"[^ 0-9]*[0-9][^ ]*", VARIABLE)).otherwise(line)
 
 
