@@ -5,8 +5,8 @@ look so are decoded: a lattice of what each character may stand for is searched
 trigram model, with a cost for every substitution, dropped separator and dropped repetition. The restored
 text is scored by the words it holds.
 
-The trigram model counts the words of all documents. The word weights (log-odds of presence, of words
-whose association with the label is beyond chance) are learned from at most ``TRAIN_ROWS`` labelled rows,
+The trigram model counts the words of all documents. The word weights (lower bounds of the log-odds of presence, of
+words whose association with the label is beyond chance) are learned from at most ``TRAIN_ROWS`` labelled rows,
 those with the smallest id hash; rows with crc32(id) mod ``holdout`` = 1 are never learned from.
 
 Defined results: null and empty text get the score of a text without any weighted word. Long texts are
@@ -36,6 +36,9 @@ TRAIN_ROWS, MAX_WEIGHTS = 40_000, 2_000
 #: A word weighs if its z value in the labelled rows is at least this, and at least so many toxic rows hold it.
 MIN_Z, MIN_ROWS = 5.0, 5
 THRESHOLD = 0.7
+#: The weight of a word that clean rows hold too is at most this, so that one such word does not decide; a word counts
+#: at most so many times.
+MOST_MIXED, MOST_TIMES = 2.5, 3
 
 #: What a character may stand for in leetspeak.
 STANDS_FOR = {
@@ -44,7 +47,7 @@ STANDS_FOR = {
 }
 SEPARATORS = " .-_*"
 #: Log costs of the channel.
-SUBSTITUTED, ANY_VOWEL, DROPPED_SEPARATOR, DROPPED_REPEAT, DROPPED_MARK, DROPPED_LEET, KEPT_ODD = -1.0, -3.0, -0.1, -0.4, -1.5, -5.0, -6.0
+SUBSTITUTED, ANY_VOWEL, DROPPED_SEPARATOR, DROPPED_REPEAT, DROPPED_DOUBLE, DROPPED_MARK, DROPPED_LEET, KEPT_ODD = -1.0, -3.0, -0.1, -0.4, -8.0, -1.5, -5.0, -6.0
 
 #: Suspect within a word: spaced-out single letters, leet characters before or between letters, a letter three times.
 SPACED = r"(?<![^\W_])[^\W\d_](?:[.\-_*]{1,2}[^\W_]){2,}(?![^\W_])"
@@ -101,7 +104,7 @@ class Model:
     def _decode(self, span: str) -> str:
         """The likeliest word behind a span: the best path of the lattice by (last two letters)."""
         beams: dict[tuple[int, int], tuple[float, str]] = {(EDGE, EDGE): (0.0, "")}
-        for c in span:
+        for at, c in enumerate(span):
             new: dict[tuple[int, int], tuple[float, str]] = {}
             k = letter(c) if c.isalpha() else EDGE
             reads = [(x, LETTERS[x], ANY_VOWEL if c == "*" else SUBSTITUTED) for x in STANDS_FOR.get(c, "")]
@@ -116,7 +119,8 @@ class Model:
                 elif not c.isalnum():
                     drops.append(DROPPED_LEET if c in STANDS_FOR else DROPPED_MARK)
                 elif k and k == b:
-                    drops.append(DROPPED_REPEAT)
+                    long = span[at - 2 : at] == c + c or span[at - 1 : at + 2] == c + c + c
+                    drops.append(DROPPED_REPEAT if long else DROPPED_DOUBLE)
                 for cost in drops:
                     if (q := p + cost) > new.get((a, b), (-math.inf,))[0]:
                         new[a, b] = (q, said)
@@ -159,19 +163,24 @@ class Model:
         """The distinct words of the restored text."""
         return set(WORDS.findall(" ".join(map(self.token, set(self.tokens(text))))))
 
-    def weighted(self, text: str | None) -> set[str]:
-        """The words of the restored text that weigh."""
-        seen, known, weights = set(self.tokens(text)), self.known, self.weights
+    def weighted(self, text: str | None) -> Counter:
+        """The words of the restored text that weigh, and how often they stand in it."""
+        tokens = self.tokens(text)
+        seen, known, weights = set(tokens), self.known, self.weights
         missing = [t for t in seen if t not in known]
         if len(known) + len(missing) > MAX_TOKENS:
             known.clear()
             missing = list(seen)
         for t in missing:
             known[t] = tuple(w for w in WORDS.findall(self.token(t)) if w in weights)
-        return {w for t in seen for w in known[t]}
+        out: Counter = Counter()
+        for t in seen:
+            for w in known[t]:
+                out[w] += tokens.count(t)
+        return out
 
     def score(self, text: str | None) -> float:
-        z = self.prior + sum(sorted(map(self.weights.__getitem__, self.weighted(text))))
+        z = self.prior + sum(sorted(self.weights[w] * min(n, MOST_TIMES) for w, n in self.weighted(text).items()))
         return 1 / (1 + math.exp(-max(-50.0, min(50.0, z))))
 
 
@@ -231,8 +240,10 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         p, q, both = x / total[1], c / total[0], (x + c) / sum(total)
         z = (p - q) / math.sqrt(both * (1 - both) * (1 / total[0] + 1 / total[1]) + 1e-12)
         if z >= MIN_Z:
-            found.append((z, w, math.log((x + 0.5) / (total[1] + 1)) - math.log((c + 0.5) / (total[0] + 1))))
-    weights = {w: v for _, w, v in sorted(found, reverse=True)[:MAX_WEIGHTS]}
+            odds = math.log((x + 0.5) / (total[1] + 1)) - math.log((c + 0.5) / (total[0] + 1))
+            sure = odds - 2 * math.sqrt(1 / (x + 0.5) + 1 / (c + 0.5))
+            found.append((z, w, min(sure, MOST_MIXED) if c else sure))
+    weights = {w: v for _, w, v in sorted(found, reverse=True)[:MAX_WEIGHTS] if v > 0}
     return Model(lm, weights, math.log(total[1] / total[0]))
 
 
