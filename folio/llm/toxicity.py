@@ -36,6 +36,9 @@ TRAIN_ROWS, MAX_WEIGHTS = 40_000, 2_000
 #: A word weighs if its z value in the labelled rows is at least this, and at least so many toxic rows hold it.
 MIN_Z, MIN_ROWS = 5.0, 5
 THRESHOLD = 0.7
+#: Log-odds of the label, given a word, from which on it weighs: 9 of 10 rows that hold it. Copies of a few rows make many
+#: common words look telling; these are not.
+MIN_PURE = math.log(9)
 #: The weight of a word that clean rows hold too is at most this, so that one such word does not decide; a word counts
 #: at most so many times.
 MOST_MIXED, MOST_TIMES = 2.5, 3
@@ -242,7 +245,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         if z >= MIN_Z:
             odds = math.log((x + 0.5) / (total[1] + 1)) - math.log((c + 0.5) / (total[0] + 1))
             sure = odds - 2 * math.sqrt(1 / (x + 0.5) + 1 / (c + 0.5))
-            found.append((z, w, min(sure, MOST_MIXED) if c else sure))
+            if odds >= MIN_PURE - math.log(total[1] / total[0]):
+                found.append((z, w, min(sure, MOST_MIXED) if c else sure))
     weights = {w: v for _, w, v in sorted(found, reverse=True)[:MAX_WEIGHTS] if v > 0}
     return Model(lm, weights, math.log(total[1] / total[0]))
 
