@@ -7,7 +7,9 @@
 3. Buckets. Representatives that share a band's minima are candidates of each other. Instead of all pairs of
    a bucket, rounds compare a few hubs of it with its members in other components: small buckets at once, large
    ones with one hub first and then with more. A hub that has met all members retires. Rounds end when
-   every bucket lies in one component or all its pairs are tested, so no candidate is left out.
+   every bucket lies in one component or all its pairs are tested, so no candidate is left out. After the first
+   round the shingles that only one of the remaining documents holds are counted: they bound what any pair can
+   share, so documents and pairs that cannot reach the threshold are left out exactly.
 4. Verification. A pair's signatures are compared batch by batch; it is pruned as soon as the posterior
    probability of reaching the threshold falls below the miss probability. Survivors are verified exactly on
    the full shingle sets of their texts.
@@ -30,15 +32,16 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import remove, text_of, written
 
 MISS = 1e-6
 BATCH = 32
-#: Buckets of up to so many members are compared pair by pair; later rounds take so many hubs, doubled each round.
-SMALL, HUBS, MOST_HUBS = 4, 8, 64
+#: Buckets of up to so many members are compared pair by pair; others by one hub first, then by so many, and by so many
+#: times more after a round without a link.
+SMALL, HUBS = 4, 8
 MAX_WORDS = 300_000
 SEED = 20_240_229
 U64 = np.uint64
@@ -217,23 +220,66 @@ def components(links: DataFrame) -> DataFrame:
             return roots
 
 
-def _hub_pairs(active: DataFrame, hubs: int, first: bool) -> tuple[DataFrame, DataFrame]:
-    """(pairs (a, b), hubs (bucket, node)) of one round; active: bucket, node, comp, of buckets with several components."""
-    by_comp = active.groupBy("bucket", "comp").agg(F.count("*").alias("held"))
+PEELS = 3
+
+
+def unshared(texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """(node, n, own): set sizes and how many shingles no other node here holds, without the nodes that this
+    rules out: a set with too many shingles of its own reaches the threshold with no other. Leaving such nodes
+    out lets others hold more shingles alone, so it is done up to PEELS times."""
+
+    def exploded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shingles = _shingler(width).shingles
+        for batch in batches:
+            for node, t in zip(batch["node"], batch["t"], strict=True):
+                h = shingles(t).view(np.int64)
+                yield pd.DataFrame({"node": np.full(len(h), node, np.int64), "h": h})
+
+    items = written(texts.select("node", "t").mapInPandas(exploded, "node long, h long").distinct(), "shingles")
+    # an id that stands for several sets is never ruled out: its size stays null
+    several = texts.groupBy("node").agg(F.count("*").alias("sets")).where("sets > 1")
+    sizes = items.groupBy("node").agg(F.count("*").alias("n")).join(several, "node", "left").select("node", F.when(F.col("sets").isNull(), F.col("n")).alias("n"))
+    sizes = written(sizes, "sizes")
+    for _ in range(PEELS):
+        alone = items.groupBy("h").agg(F.count("*").alias("k"), F.min("node").alias("node")).where("k = 1").groupBy("node").agg(F.count("*").alias("own"))
+        facts = written(sizes.join(alone, "node", "left").select("node", "n", F.coalesce("own", F.lit(0)).alias("own")), "facts")
+        able = facts.where(F.coalesce(100 * (F.col("n") - F.col("own")) >= percent * F.col("n"), F.lit(True)))
+        if facts.count() == able.count():
+            break
+        items, sizes = items.join(able.select("node"), "node", "left_semi"), able.select("node", "n")
+    return able
+
+
+def _active(members: DataFrame, comps: DataFrame, facts: DataFrame | None) -> DataFrame:
+    """bucket, node, comp, n, own, held (members of that component), all, most: of buckets with several components."""
+    own = members.join(comps, "node")
+    own = own.join(facts, "node") if facts is not None else own.withColumns({"n": F.lit(0).cast("long"), "own": F.lit(0).cast("long")})
+    own = own.select("bucket", "node", "comp", "n", "own")
+    by_comp = own.groupBy("bucket", "comp").agg(F.count("*").alias("held"))
     sizes = by_comp.groupBy("bucket").agg(F.sum("held").alias("all"), F.max("held").alias("most")).where("most < all")
-    own = active.join(by_comp, ["bucket", "comp"]).join(sizes, "bucket")
+    return own.join(by_comp, ["bucket", "comp"]).join(sizes, "bucket").select("bucket", "node", "comp", "n", "own", "held", "all", "most")
+
+
+def _hubs(active: DataFrame, hubs: int) -> DataFrame:
+    """(bucket, hub, hub_comp, hub_n, hub_own): of small buckets every member, of the others one of each of ``hubs`` slots."""
     # few stragglers meet everyone; else members of the largest component meet the many others
     rank = F.when(F.col("all") - F.col("most") <= hubs, F.col("held")).otherwise(-F.col("held"))
-    small = F.col("all") <= SMALL
-    slot = F.when(small, F.col("node")).otherwise(F.pmod(F.xxhash64("node"), F.lit(1 if first else hubs)))
-    chosen = own.groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct(rank.alias("rank"), "node", "comp")).alias("hub")).select("bucket", F.col("hub.node").alias("node"), F.col("hub.comp").alias("comp"))
-    met = active.join(chosen.select("bucket", F.col("node").alias("hub"), F.col("comp").alias("hub_comp")), "bucket").where("comp != hub_comp")
-    return met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct(), chosen.select("bucket", "node")
+    slot = F.when(F.col("all") <= SMALL, F.col("node")).otherwise(F.pmod(F.xxhash64("node"), F.lit(hubs)))
+    chosen = active.groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct(rank.alias("rank"), "own", "node", "comp", "n")).alias("hub"))
+    return chosen.select("bucket", F.col("hub.node").alias("hub"), F.col("hub.comp").alias("hub_comp"), F.col("hub.n").alias("hub_n"), F.col("hub.own").alias("hub_own"))
+
+
+def _pairs(active: DataFrame, hubs: DataFrame, percent: int) -> DataFrame:
+    """(a, b): hubs with the members of other components of their buckets, unless both sets' own shingles rule it out."""
+    most = F.when(F.col("n").isNotNull() & F.col("hub_n").isNotNull(), F.least(F.col("n") - F.col("own"), F.col("hub_n") - F.col("hub_own")))
+    able = F.coalesce(100 * most >= percent * (F.col("n") + F.col("hub_n") - most), F.col("n").isNull() | F.col("hub_n").isNull())
+    met = active.join(hubs, (active["bucket"] == hubs["bucket"]) & (F.col("comp") != F.col("hub_comp")) & able)
+    return met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
 
 
 def link_nodes(signs: DataFrame, texts_of, width: int, percent: int, miss: float, n: int) -> DataFrame | None:
     """(node, comp) of the nodes that share a bucket; None if none do. signs: node, signature, buckets."""
-    spark: SparkSession = signs.sparkSession
+    spark = signs.sparkSession
     banded = signs.select("node", F.explode("buckets").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1").select("bucket")
     members = written(banded.join(shared, "bucket").select("bucket", "node"), "buckets")
@@ -242,26 +288,32 @@ def link_nodes(signs: DataFrame, texts_of, width: int, percent: int, miss: float
         return None
     texts = texts_of(comps.select("node"))
     tested = spark.createDataFrame([], "a long, b long")
-    hubs, first = HUBS, True
+    hubs, turn, facts = 1, 0, None
     while True:
-        active = members.join(comps, "node").select("bucket", "node", "comp")
-        pairs, chosen = _hub_pairs(active, hubs, first)
-        chosen = written(chosen, "hubs")
-        if not chosen.limit(1).count():
+        active = written(_active(members, comps, facts), "active")
+        if not active.limit(1).count():
             return comps
-        pairs = written(pairs if first else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        # what is left of the buckets that had several components
-        new = written(members.join(chosen.select("bucket").distinct(), "bucket", "left_semi").join(chosen, ["bucket", "node"], "left_anti"), "buckets")
-        remove(spark, members)
-        members = new
+        if turn == 1:  # most nodes are done by now; the rest needs no more than its own signatures and texts
+            live = written(active.select("node").distinct(), "live")
+            signs = written(signs.join(live, "node", "left_semi"), "signs")
+            texts = written(texts.join(live, "node", "left_semi"), "texts")
+            facts = unshared(texts, width, percent)
+            active = written(_active(active.select("bucket", "node"), comps, facts), "active")
+        turn += 1
+        chosen = written(_hubs(active, hubs), "hubs")
+        pairs = _pairs(active, chosen, percent)
+        pairs = written(pairs if hubs == 1 else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        # buckets that lie in one component are done, and so are hubs
+        members = active.join(chosen.select("bucket", F.col("hub").alias("node")), ["bucket", "node"], "left_anti").select("bucket", "node")
         links = written(verified(surviving(pairs, signs, percent / 100, miss, n), texts, width, percent), "links")
         tested = tested.unionByName(pairs)
-        if links.limit(1).count():
-            c = comps.select(F.col("node"), F.col("comp"))
-            ends = links.join(c.select(F.col("node").alias("a"), F.col("comp").alias("ca")), "a").join(c.select(F.col("node").alias("b"), F.col("comp").alias("cb")), "b")
+        found = links.limit(1).count()
+        if found:
+            ends = links.join(comps.select(F.col("node").alias("a"), F.col("comp").alias("ca")), "a").join(comps.select(F.col("node").alias("b"), F.col("comp").alias("cb")), "b")
             roots = components(ends.select(F.col("ca").alias("a"), F.col("cb").alias("b")).where("a != b").distinct())
             comps = written(comps.join(roots.select(F.col("node").alias("comp"), "root"), "comp", "left").select("node", F.coalesce("root", "comp").alias("comp")), "comps")
-        hubs, first = (hubs if first else min(2 * hubs, MOST_HUBS)), False
+        # links merge components and so spare tests; without any, the rest has to be tested anyway
+        hubs = max(HUBS, hubs if found else hubs * HUBS)
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, miss: float = MISS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

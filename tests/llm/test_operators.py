@@ -290,6 +290,11 @@ def test_chains_and_hot_groups_of_near_copies(spark):
         words[rng.randrange(120)] = f"n{k}"
         rows.append((k, " ".join(words)))
     rows += [(100 + k, " ".join(f"u{rng.randrange(10**6)}" for _ in range(100))) for k in range(20)]
+    for k in range(80):  # a star: each strays from one text by its own number of words
+        words = [f"s{k}" for k in range(150)]
+        for j in rng.sample(range(150), k % 14):
+            words[j] = f"x{k}.{j}"
+        rows.append((400 + k, " ".join(words)))
     rows += [(200 + k, " ".join(base)) for k in range(30)] + [(300, ""), (301, None), (302, "one two"), (303, "one two"), (304, "ONE TWO")]
     want = brute_near(dict(rows), 3, 85)
     got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()
