@@ -115,6 +115,26 @@ def test_citations(spark):
     assert rows(verify.citation_problems(cited, listed)) == [(1, "DANGLING", 9), (1, "DUPLICATE", 4), (1, "GAP", 3), (1, "UNCITED", 2), (1, "UNCITED", 4)]
 
 
+def test_citations_of_all_customers(spark, tmp_path):
+    from folio.plans import q_checks
+
+    orders = [(k, 1 + k * 7 % 23) for k in range(1, 200)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    cited, want = {(c, n) for k, c in orders for n in ([k % 50, k % 50 + 1, k % 50 + 2] if k % 3 == 0 else [k % 50])}, []
+    for c in {c for _, c in orders}:
+        own, entries = {n for d, n in cited if d == c}, {n for n in range(1, 46) if n % 9}
+        want += [(c, "DANGLING", n) for n in own - entries] + [(c, "UNCITED", n) for n in entries - own] + [(c, "GAP", n) for n in (9, 18, 27, 36)] + [(c, "DUPLICATE", 7)]
+    told = lambda *kinds: sorted(x for x in want if x[1] in kinds)
+    short = lambda found: [(c, n) for c, _, n in found]
+    sf = str(tmp_path)
+    assert rows(q_checks.u13_expand_citations(spark, sf)) == sorted(cited)
+    assert rows(q_checks.j19_dangling_and_uncited(spark, sf)) == told("DANGLING", "UNCITED")
+    assert rows(q_checks.j20_gaps(spark, sf)) == short(told("GAP"))
+    assert rows(q_checks.w13_duplicate_entries(spark, sf)) == short(told("DUPLICATE"))
+    kinds = {(c, p) for c, p, _ in want}
+    assert rows(q_checks.g15_citation_integrity(spark, sf)) == sorted((c, p, sum(x[:2] == (c, p) for x in want)) for c, p in kinds)
+
+
 def test_quotes_and_their_negative_control(spark):
     pages_ = spark.createDataFrame([(1, 5, "The quick brown fox jumps"), (1, 6, "over the lazy dog and sleeps")], "id int, page int, body string")
     draft = spark.createDataFrame([(1, "> «The quick *brown* fox jumps over the lazy dog»\n> — p. 5–6\n\n> another that is not there at all — p. 5\n")], "id int, text string")
