@@ -2,9 +2,15 @@
 
 The tree has a fixed depth: a line is led by its number of tokens, then by its first ``LEAD`` tokens,
 where tokens with a digit count as the variable ``<*>``. Lines in one leaf whose tokens agree after that
-share a template. A leaf with several such templates is generalised once more: at each place the token
-that most documents hold is constant if at least half of them hold it, else the place is variable; the
-lines that agree with ``AGREE`` of all places share the leaf's template.
+share a template. A leaf with several such templates is generalised, in two ways:
+
+- At each place the token that most documents hold is constant if at least half of them hold it, else the place
+  is variable; the lines that agree with ``AGREE`` of all places share the leaf's template.
+- Tokens after the lead that fewer than ``min_docs`` documents hold at their place are variable; then one more
+  place is blanked, each in turn. Lines that are equal after that share a pattern, if at most 1 - ``AGREE`` of
+  the places are variable without a digit. So other lines in the leaf, however many, cannot hide a family of which
+  one field varies over common values and any others over rare ones. A template in several recurring patterns
+  joins the one with most documents.
 
 A template that occurs in ``MIN_DOCS`` documents or more recurs. Its lines are dropped from all documents
 but the first (the smallest id, and there its first line), so nothing is lost that stands only once.
@@ -38,7 +44,7 @@ def masked(line: Column) -> Column:
 def templates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(_i, _t, n, template, leaf, m) of every line that is not blank: document, place, hashes, masked line."""
     lines = docs.select(F.col(id_col).alias("_i"), F.xxhash64(text_col).alias("_t"), F.posexplode(F.split(text_col, "\n")).alias("n", "line"))
-    lines = lines.select("_i", "_t", "n", masked(F.col("line")).alias("m")).where("m != ''")
+    lines = lines.where(F.col("line").rlike(r"\S")).select("_i", "_t", "n", masked(F.col("line")).alias("m"))  # a filter on m would mask twice
     size = F.length("m") - F.length(F.replace("m", F.lit(" "), F.lit("")))
     return lines.select("_i", "_t", "n", "m", F.xxhash64("m").alias("template"), F.xxhash64(size, F.substring_index("m", " ", LEAD)).alias("leaf"))
 
@@ -53,15 +59,41 @@ def recurring(lines: DataFrame, keys: DataFrame, min_docs: int = MIN_DOCS, agree
     inner = lines.join(leaves, "leaf", "left_semi").groupBy("leaf", "template", "m").agg(F.count("*").alias("rows"))
     inner = inner.join(exact.select("template", "docs"), "template").select("leaf", "template", "docs", F.posexplode(F.split("m", " ")).alias("at", "token"))
     inner = written(inner, "tokens")
-    tokens = inner.groupBy("leaf", "at", "token").agg(F.sum("docs").alias("docs"))
+    tokens = written(inner.groupBy("leaf", "at", "token").agg(F.sum("docs").alias("docs")), "places")
     common = tokens.groupBy("leaf", "at").agg(F.max(F.struct("docs", "token")).alias("top"), F.sum("docs").alias("all")).where("2 * top.docs >= all").select("leaf", "at", F.col("top.token").alias("constant"))
     agreed = inner.join(common, ["leaf", "at"], "left").groupBy("leaf", "template").agg(F.avg((F.col("token") == F.coalesce("constant", F.lit(VARIABLE))).cast("double")).alias("share"))
     alike = agreed.where(F.coalesce("share", F.lit(0.0)) >= agree).select("leaf", "template")
-    docs_of = keys.select("leaf", "template", "_i", "_t", "n").join(alike, ["leaf", "template"], "left_semi").groupBy("leaf", "_i", "_t").agg(F.min("n").alias("n"))
-    wide = docs_of.groupBy("leaf").agg(F.count("*").alias("docs"), F.min(place).alias("keep")).where(F.col("docs") >= min_docs)
-    general = alike.join(wide, "leaf").select("template", "keep", F.lit(0).alias("rank"))
-    both = general.unionByName(exact.where(F.col("docs") >= min_docs).select("template", "keep", F.lit(1).alias("rank")))
-    return both.groupBy("template").agg(F.min(F.struct("rank", "keep")).alias("x")).select("template", F.col("x.keep").alias("keep"))
+    docs_of = keys.select("leaf", "template", "_i", "_t").join(alike, ["leaf", "template"], "left_semi").select("leaf", "_i", "_t").distinct()
+    wide = docs_of.groupBy("leaf").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
+    general = alike.join(wide, "leaf").select("template", F.col("leaf").alias("family"), F.lit(0).alias("rank"), F.lit(0).cast("long").alias("docs"))
+
+    shared = patterns(inner, tokens, exact, keys, min_docs, agree).select("template", F.col("pattern").alias("family"), F.lit(1).alias("rank"), "docs")
+    own = exact.where(F.col("docs") >= min_docs).select("template", F.col("template").alias("family"), F.lit(2).alias("rank"), "docs")
+    family = general.unionByName(shared).unionByName(own).groupBy("template").agg(F.min(F.struct("rank", -F.col("docs"), "family")).alias("x")).select("template", "x.rank", "x.family")
+    family = written(family.join(exact.select("template", "keep"), "template"), "families")
+    first = family.groupBy("rank", "family").agg(F.min("keep").alias("keep"))
+    return family.select("template", "rank", "family").join(first, ["rank", "family"]).select("template", "keep")
+
+
+def patterns(inner: DataFrame, tokens: DataFrame, exact: DataFrame, keys: DataFrame, min_docs: int, agree: float) -> DataFrame:
+    """(template, pattern, docs): the templates of every recurring pattern of two templates or more, a place blanked."""
+    place = inner.join(tokens.withColumnRenamed("docs", "held"), ["leaf", "at", "token"])
+    rare = (F.col("at") >= LEAD) & (F.col("token") != VARIABLE) & (F.col("held") < min_docs)
+    sign = F.xxhash64("at", F.when(rare, VARIABLE).otherwise(F.col("token")))
+    at = F.when((F.col("at") >= LEAD) & (F.col("token") != VARIABLE) & ~rare, F.struct("at", sign.alias("sign")))
+    lines = place.groupBy("leaf", "template").agg(F.first("docs").alias("docs"), F.bit_xor(sign).alias("all"), F.count("*").alias("n"), F.count(F.when(rare, 1)).alias("blank"), F.collect_list(at).alias("ats"))
+    free = F.floor((1 - agree) * F.col("n") + 1e-9) - F.col("blank")
+    none = F.array(F.struct(F.lit(-1).alias("at"), F.lit(0).cast("long").alias("sign")))
+    lines = lines.where(free >= 0).select("leaf", "template", "docs", "all", F.explode(F.concat(none, F.when(free > 0, F.col("ats")).otherwise(F.slice("ats", 1, 0)))).alias("x"))
+    blanked = F.xxhash64("leaf", F.col("all").bitwiseXOR(F.when(F.col("x.at") < 0, F.lit(0).cast("long")).otherwise(F.col("x.sign").bitwiseXOR(F.xxhash64("x.at", F.lit(VARIABLE))))))
+    lines = written(lines.select("template", "docs", blanked.alias("pattern")), "patterns")
+    found = lines.groupBy("pattern").agg(F.count("*").alias("kinds"), F.sum("docs").alias("docs"), F.max("docs").alias("most")).where((F.col("kinds") > 1) & (F.col("docs") >= min_docs))
+    found = lines.drop("docs").join(found, "pattern")
+    sure = found.where(F.col("most") >= min_docs).select("template", "pattern", "docs")
+    open_ = found.where(F.col("most") < min_docs).select("template", "pattern")  # its templates may share documents
+    docs_of = keys.select("template", "_i", "_t").join(open_, "template").select("pattern", "_i", "_t").distinct()
+    wide = docs_of.groupBy("pattern").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
+    return sure.unionByName(open_.join(wide, "pattern").select("template", "pattern", "docs"))
 
 
 def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, agree: float = AGREE) -> DataFrame:

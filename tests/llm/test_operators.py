@@ -248,6 +248,24 @@ def test_line_dedup(spark, odd, empty):
     assert same == {(i, t) for i, t, *_ in ODD}
     assert line_dedup.drop_lines(empty).count() == 0
 
+def test_line_families_in_a_full_leaf(spark):
+    word = lambda k: "".join("abcdefghij"[int(c)] for c in f"{k:03}")
+    said = [f"We would like to thank {word(k)} for the kind help with all this work" for k in range(40)]  # one field, 40 values
+    said += ["We would like to thank everyone for the kind help with all this work"] * 8  # a common value of the field
+    both = [f"We would like to see {word(k)} and our friend {word(500 + k)} here at home again" for k in range(20)]  # two fields
+    hot = ["We would like to close the shop on all days of the coming week"] * 60
+    alone = [f"We would like to {' '.join(word(20 * k + j + 100) for j in range(10))}" for k in range(45)]
+    lines = hot + alone + said + both
+    assert {len(x.split()) for x in lines} == {14}
+    got = line_dedup.drop_lines(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"), min_docs=6).collect()
+    kept = {r.doc_id for r in got if r.text}
+    assert kept == {0, *range(60, 105), 105, 153}  # the first of each family, and all lines that stand alone
+    twice = [(k // 4, f"We would like to thank {word(k)} for the kind help with all this work") for k in range(20)]
+    docs = [(d, "\n".join(t for x, t in twice if x == d)) for d in range(5)]  # 20 variants in 5 documents do not recur
+    got = line_dedup.drop_lines(spark.createDataFrame(docs + [(9 + k, t) for k, t in enumerate(alone)], "doc_id long, text string"), min_docs=6).collect()
+    assert all(r.n_dropped == 0 for r in got)
+
+
 
 # 8
 
