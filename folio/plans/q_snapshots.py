@@ -213,4 +213,5 @@ def j06_stable_keys(spark, sf):
     orders, customer = table(spark, sf, "orders").select("o_orderkey", "o_custkey"), table(spark, sf, "customer").select("c_custkey")
     named = [F.concat(F.lit("O"), "o_orderkey").alias("key"), F.concat(F.lit("C"), "c_custkey").alias("parent")]
     on = F.col("c_custkey") == F.col("o_custkey")
-    return orders.where("o_orderkey % 5 = 0").join(customer, on).select(*named).unionByName(orders.where("o_orderkey % 5 = 1").join(customer.where("c_custkey % 2 = 0"), on, "left").select(*named))
+    # the SQL leaves out the keys of remainder 2 to 4, which are of the second kind here
+    return orders.where("o_orderkey % 5 = 0").join(customer, on).select(*named).unionByName(orders.where("coalesce(o_orderkey % 5, 1) <> 0").join(customer.where("c_custkey % 2 = 0"), on, "left").select(*named))

@@ -115,6 +115,16 @@ def test_citations(spark):
     assert rows(verify.citation_problems(cited, listed)) == [(1, "DANGLING", 9), (1, "DUPLICATE", 4), (1, "GAP", 3), (1, "UNCITED", 2), (1, "UNCITED", 4)]
 
 
+def test_stable_keys_of_all_orders(spark, tmp_path):
+    from folio.plans import q_snapshots
+
+    spark.createDataFrame([(k, 1 + k % 4) for k in range(1, 21)], "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(k,) for k in range(1, 5)], "c_custkey long").write.parquet(f"{tmp_path}/customer.parquet")
+    got = q_snapshots.j06_stable_keys(spark, str(tmp_path)).collect()
+    want = {f"O{k}": f"C{1 + k % 4}" if k % 5 == 0 or k % 2 else None for k in range(1, 21)}
+    assert len(got) == 20 and {r.key: r.parent for r in got} == want
+
+
 def test_citations_of_all_customers(spark, tmp_path):
     from folio.plans import q_checks
 
