@@ -1,9 +1,10 @@
 """Toxicity of texts behind a noisy channel.
 
-Writers hide words by leetspeak ("1d10t"), spacing ("i d i o t") and repetition ("idioooot"). Spans that
-look so are decoded: a lattice of what each character may stand for is searched (Viterbi) under a character
-trigram model, with a cost for every substitution, dropped separator and dropped repetition. The restored
-text is scored by the words it holds.
+Writers hide words by leetspeak ("1d10t"), spacing ("i d i o t") and repetition ("idioooot"). Tokens are decoded: a
+lattice of what each character may stand for is searched (Viterbi) under a character trigram model, with a cost for every
+substitution, dropped separator and dropped repetition. Spans that look hidden are read as one word; every token that is no
+plain word (a word with a doubled letter is none) is also read whole, once with separators as possible bounds of words,
+scored by the model, and once without. A text is scored by the words of all these readings.
 
 The trigram model counts the words of all documents. The word weights (lower bounds of the log-odds of presence, of
 words whose association with the label is beyond chance) are learned from at most ``TRAIN_ROWS`` labelled rows,
@@ -51,6 +52,8 @@ STANDS_FOR = {
 SEPARATORS = " .-_*"
 #: Log costs of the channel.
 SUBSTITUTED, ANY_VOWEL, DROPPED_SEPARATOR, DROPPED_REPEAT, DROPPED_DOUBLE, DROPPED_MARK, DROPPED_LEET, KEPT_ODD = -1.0, -3.0, -0.1, -0.4, -8.0, -1.5, -5.0, -6.0
+#: That of a dropped double letter in a reading beside the plain one.
+OPEN_DOUBLE = -2.0
 
 #: Suspect within a word: spaced-out single letters, leet characters before or between letters, a letter three times.
 SPACED = r"(?<![^\W_])[^\W\d_](?:[.\-_*]{1,2}[^\W_]){2,}(?![^\W_])"
@@ -60,6 +63,11 @@ SUSPECT = re.compile(f"{SPACED}|[^\\W\\d_]*(?:{LEET}|{REPEATED}[^\\W\\d_]*)")
 #: Tokens whose weighted words a task remembers.
 MAX_TOKENS = 300_000
 PUNCTUATION, TRIPLE = ".,;:!?\"'()", re.compile(r"(.)\1\1")
+#: Marks that stand for no letter, at the ends of a plain word; the ends and doubles at which a word is no plain one.
+PLAIN_ENDS, ODD_END, DOUBLE = ".,;:?\"')", re.compile(r"[^\W\d_][0-9@$|+*]+[.,;:!?\"')]*$"), re.compile(r"([^\W\d_])\1")
+#: In a run of single letters, parts of so many letters may be words.
+LEAST_PART, MOST_PART = 4, 24
+GAPS = re.compile(r"\s+")
 WORDS = re.compile(r"[^\W\d_]+")
 LETTERS = {c: k for k, c in enumerate("abcdefghijklmnopqrstuvwxyz", 1)}
 EDGE, N = 0, 27
@@ -93,6 +101,22 @@ def log_model(counts: np.ndarray) -> np.ndarray:
     return np.log(0.7 * tri + 0.25 * bi[None] + 0.05 * one / one.sum())
 
 
+def spread(t: str) -> bool:
+    """Whether a token is a run of single letters."""
+    if t[1:2] not in SEPARATORS and t[2:3] not in SEPARATORS or len(t) < 5:
+        return False
+    single = [len(x.rstrip(".,;:!?")) for x in re.split("[- ._*]", t)]
+    return max(single) == 1 and sum(single) > 2
+
+
+def parts(word: str) -> Iterator[str]:
+    """The word, and its parts of at least LEAST_PART letters."""
+    yield word
+    for at in range(len(word)):
+        for n in range(LEAST_PART, min(MOST_PART, len(word) - at) + 1):
+            yield word[at : at + n]
+
+
 @dataclass
 class Model:
     lm: np.ndarray = field(default_factory=lambda: log_model(np.zeros((N, N, N))))
@@ -104,11 +128,14 @@ class Model:
         self.decode = lru_cache(100_000)(self._decode)
         self.known: dict[str, tuple[str, ...]] = {}
 
-    def _decode(self, span: str) -> str:
-        """The likeliest word behind a span: the best path of the lattice by (last two letters)."""
-        beams: dict[tuple[int, int], tuple[float, str]] = {(EDGE, EDGE): (0.0, "")}
+    def _decode(self, span: str, open_: bool = False) -> str:
+        """The likeliest word behind a span: the best path of the lattice by (last two letters).
+
+        With ``open_``, a separator may also end a word, blanks always do, and a dropped double letter costs less.
+        """
+        beams: dict[tuple[int, int], tuple[float, tuple]] = {(EDGE, EDGE): (0.0, ())}  # what is said is linked backwards: long tokens
         for at, c in enumerate(span):
-            new: dict[tuple[int, int], tuple[float, str]] = {}
+            new: dict[tuple[int, int], tuple[float, tuple]] = {}
             k = letter(c) if c.isalpha() else EDGE
             reads = [(x, LETTERS[x], ANY_VOWEL if c == "*" else SUBSTITUTED) for x in STANDS_FOR.get(c, "")]
             if k:
@@ -117,35 +144,69 @@ class Model:
                 reads.append((c, EDGE, KEPT_ODD))
             for (a, b), (p, said) in beams.items():
                 drops = []
+                if open_ and c in SEPARATORS:
+                    ended = p if a == b == EDGE else p + self.rows[a][b][EDGE]
+                    if ended > new.get((EDGE, EDGE), (-math.inf,))[0]:
+                        new[EDGE, EDGE] = (ended, (said, " "))
+                    if c == " ":
+                        continue
                 if c in SEPARATORS:
                     drops.append(DROPPED_SEPARATOR)
                 elif not c.isalnum():
                     drops.append(DROPPED_LEET if c in STANDS_FOR else DROPPED_MARK)
                 elif k and k == b:
                     long = span[at - 2 : at] == c + c or span[at - 1 : at + 2] == c + c + c
-                    drops.append(DROPPED_REPEAT if long else DROPPED_DOUBLE)
+                    drops.append(DROPPED_REPEAT if long else OPEN_DOUBLE if open_ else DROPPED_DOUBLE)
                 for cost in drops:
                     if (q := p + cost) > new.get((a, b), (-math.inf,))[0]:
                         new[a, b] = (q, said)
                 row = self.rows[a][b]
                 for x, kx, cost in reads:
                     if (q := p + cost + row[kx]) > new.get((b, kx), (-math.inf,))[0]:
-                        new[b, kx] = (q, said + x)
+                        new[b, kx] = (q, (said, x))
             beams = new or beams
-        return max((p + self.rows[a][b][EDGE], said) for (a, b), (p, said) in beams.items())[1]
-
-    def token(self, t: str) -> str:
-        """A token without blanks, its suspect spans decoded."""
+        said = max(((p + self.rows[a][b][EDGE], said) for (a, b), (p, said) in beams.items()), key=lambda x: x[0])[1]
+        out = []
+        while said:
+            said, x = said
+            out.append(x)
+        return "".join(reversed(out))
+
+    def spans(self, t: str) -> str:
+        """A token, its suspect spans decoded as one word each."""
         if t.strip(PUNCTUATION).isalpha() and not TRIPLE.search(t):
             return t
         return SUSPECT.sub(lambda m: self.decode(m[0]), t)
 
+    def token(self, t: str) -> str:
+        """A token's likeliest reading: suspect spans decoded; where there is none, all of a token that is no plain word."""
+        if " " in t:
+            return self.decode(t, True)
+        out = self.spans(t)
+        if out != t or t.strip(PLAIN_ENDS).isalpha() or not (t[0] == "!" or ODD_END.search(t)):
+            return out
+        return self.decode(t, True)
+
+    def readings(self, t: str) -> list[str]:
+        """The words of a token: those of its spans, and those that all of it may be read as, separators as bounds or not."""
+        out = WORDS.findall(self.spans(t))
+        core = t.strip(PLAIN_ENDS)
+        if core and (not core.isalpha() or DOUBLE.search(core)):
+            reads = [self.decode(core, True)]
+            if not core.isalpha() and (DOUBLE.search(core) or any(c in SEPARATORS for c in core)):
+                reads.append(self.decode(core))
+            more = [w for read in reads for w in WORDS.findall(read)]
+            out += [w for w in dict.fromkeys(more) if w not in out]
+        return out
+
     def tokens(self, text: str | None) -> list[str]:
-        """The tokens of the text in lower case, runs of three or more single letters joined; not yet restored."""
-        out = (text or "").lower().split()
+        """The tokens of the text in lower case, not yet restored; runs of three or more single letters are joined by "-", by " " where the gap is wider."""
+        text = (text or "").lower()
+        out = text.split()
         singles = [k for k, t in enumerate(out) if len(t) < 3 and len(t.rstrip(".,;:!?")) == 1]
         if len(singles) < 3:
             return out
+        gaps = [len(g) for g in GAPS.findall(text.strip())]
         joined, k = [], 0
         while k < len(singles):
             n = 1
@@ -155,7 +216,10 @@ class Model:
                 joined.append((singles[k], n))
             k += n
         for at, n in reversed(joined):
-            out[at : at + n] = ["-".join(out[at : at + n])]
+            own = gaps[at : at + n - 1]
+            least = min(own)
+            run = out[at] + "".join((" " if g > least else "-") + t for g, t in zip(own, out[at + 1 : at + n], strict=True))
+            out[at : at + n] = [run]
         return out
 
     def restore(self, text: str | None) -> str:
@@ -164,7 +228,7 @@ class Model:
 
     def words(self, text: str | None) -> set[str]:
         """The distinct words of the restored text."""
-        return set(WORDS.findall(" ".join(map(self.token, set(self.tokens(text))))))
+        return {w for t in set(self.tokens(text)) for w in self.readings(t)}
 
     def weighted(self, text: str | None) -> Counter:
         """The words of the restored text that weigh, and how often they stand in it."""
@@ -175,7 +239,10 @@ class Model:
             known.clear()
             missing = list(seen)
         for t in missing:
-            known[t] = tuple(w for w in WORDS.findall(self.token(t)) if w in weights)
+            read = self.readings(t)
+            if spread(t):  # bounds of words are not told: any part may be one
+                read = [w for word in read for w in parts(word)]
+            known[t] = tuple(w for w in dict.fromkeys(read) if w in weights)
         out: Counter = Counter()
         for t in seen:
             for w in known[t]:

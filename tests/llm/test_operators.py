@@ -115,6 +115,17 @@ def test_hidden_words_are_restored(said):
     assert m.score("You are kind.") < 0.2 and m.score(None) == m.score("")
 
 
+@pytest.mark.parametrize("said", ["idio7", "idio+", "tra5h", "m0r0n5", "!diot", "stuupid", "idiiot", "a m o r o n", "t h e i d i o t", "t h e   i d i o t", "moron.idiot", "i-d-i-o-t-m-o-r-o-n", "y o u i d i o t", "z z m o r o n"])
+def test_more_hidden_words_are_restored(said):
+    m = toxic_model()
+    m.weights["morons"] = 5.0
+    counts = np.zeros((toxicity.N,) * 3)
+    toxicity.count_trigrams("the idiot and a moron said stupid trash like a clown you morons " * 50, counts)
+    m = toxicity.Model(toxicity.log_model(counts), m.weights, m.prior)
+    assert m.score(f"You {said}") > 0.9
+    assert m.score("A good book, 100 pages (all) for 20$ a week! See you soon.") < 0.2
+
+
 def test_toxicity_learns_from_its_rows_only(spark):
     rng = random.Random(1)
     rows = [(k, " ".join(rng.choices(["lorem", "ipsum", "dolor", "sit"], k=30)) + (" v1le" if k % 3 == 0 and k % 2 else " vile" if k % 3 == 0 else ""), int(k % 3 == 0)) for k in range(400)]
