@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 from pathlib import Path
+from typing import TypeVar
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+T = TypeVar("T")
 REPO = str(Path(__file__).resolve().parents[2])
 
 
@@ -56,6 +64,41 @@ def remove(spark: SparkSession, df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+#: What this Python worker holds between tasks: one table, of the operator that ran last.
+_held: dict = {}
+
+
+def held_by_worker(key: tuple, make: Callable[[], T]) -> T:
+    """make()'s result, kept for the next task of this worker. A worker serves many operators in turn; what it holds for
+    another one is let go first, so that its memory doesn't grow with their number."""
+    if key not in _held:
+        release_memory()
+        _held[key] = make()
+    return _held[key]
+
+
+def release_memory() -> None:
+    """Lets go what the worker holds and returns freed memory to the machine."""
+    _held.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def portions_of(texts: pa.Array, most: int = 4_000_000) -> Iterator[pa.Array]:
+    """The texts in order, in slices of about ``most`` bytes."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(texts):
+        done = int(ends[at - 1]) if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, done + most, "right")))
+        yield texts.slice(at, to - at)
+        at = to
+
+
 def text_of(col: str) -> Column:
     """The text, with null as empty."""
     return F.coalesce(F.col(col), F.lit(""))

@@ -4,12 +4,12 @@
    functions, grouped into bands. Rows and bands follow from the threshold and the chosen miss probability.
 2. Equal sets. Documents with one set are one class, represented by its smallest id; only
    representatives go on, so thousands of copies cost one.
-3. Buckets. Representatives that share a band's minima are candidates of each other. Instead of all pairs of
-   a bucket, rounds compare a few hubs of it with its members in other components: small buckets at once, large
-   ones with one hub first and then with more. A hub that has met all members retires. Rounds end when
-   every bucket lies in one component or all its pairs are tested, so no candidate is left out. After the first
-   round the shingles that only one of the remaining documents holds are counted: they bound what any pair can
-   share, so documents and pairs that cannot reach the threshold are left out exactly.
+3. Buckets. Representatives that share a band's minima are candidates of each other, if their sizes and parity
+   sketches (which of 1,024 bits an odd number of their shingles fall on) allow for the similarity: the bits in
+   which two sketches differ are at most the shingles that only one of the sets holds, so no link is lost. This is a
+   condition of the join, so that such pairs are never made. First one member of each bucket meets the others, then
+   about ``HUBS``, then what is left meets each other; before each step verified links join components, and
+   members of one component need no test of each other. No candidate is left out.
 4. Verification. A pair's signatures are compared batch by batch; it is pruned as soon as the posterior
    probability of reaching the threshold falls below the miss probability. Survivors are verified exactly on
    the full shingle sets of their texts.
@@ -27,21 +27,22 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import remove, text_of, written
+from .common import held_by_worker, remove, text_of, written
 
 MISS = 1e-6
 BATCH = 32
-#: Buckets of up to so many members are compared pair by pair; others by one hub first, then by so many, and by so many
-#: times more after a round without a link.
-SMALL, HUBS = 4, 8
+#: So many members of a bucket, about, meet the others in the second step.
+HUBS = 8
+#: Of a parity sketch. With sets of more than about 2,000 shingles it tells less, and more pairs go on to their signatures.
+SKETCH_BITS = 1024
 MAX_WORDS = 300_000
 SEED = 20_240_229
 U64 = np.uint64
@@ -126,20 +127,30 @@ class Signer:
         return key.view(np.int64)
 
 
-@lru_cache(4)
+def sketch(shingles: np.ndarray) -> bytes:
+    """The parity sketch of a set."""
+    odd = np.bincount((shingles >> U64(40)).astype(np.int64) % SKETCH_BITS, minlength=SKETCH_BITS) & 1
+    return np.packbits(odd.astype(bool)).tobytes()
+
+
 def _shingler(width: int) -> Shingler:
-    return Shingler(width)
+    return held_by_worker(("shingles", width), lambda: Shingler(width))
+
+
+SIGNED = "i long, n long, set_key binary, signature binary, buckets array<long>, sketch array<long>"
 
 
 def signatures(docs: DataFrame, width: int, rows: int, bands: int, id_col: str, text_col: str) -> DataFrame:
-    """i, n (set size), set_key, signature (16 bits a minimum) and buckets; null ids stay null."""
+    """i, n (set size), set_key, signature (16 bits a minimum), buckets and sketch; null ids stay null."""
 
-    def signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, signer = _shingler(width).shingles, Signer(rows, bands)
+        names = [c.split()[0] for c in SIGNED.split(", ")]
+        kinds = [pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
         for batch in batches:
             for at in range(0, len(batch), 500):
-                part = batch.iloc[at : at + 500]
-                sets = [shingles(t) for t in part["t"]]
+                part = batch.slice(at, 500)
+                sets = [shingles(t) for t in part.column("t").to_pylist()]
                 full = [s for s in sets if len(s)]
                 minima = np.stack([signer.minima(s) for s in full]) if full else np.empty((0, rows * bands), np.uint32)
                 found = zip(full, minima.astype("<u2"), signer.buckets(minima), strict=True)
@@ -147,16 +158,13 @@ def signatures(docs: DataFrame, width: int, rows: int, bands: int, id_col: str,
                 for s in sets:
                     if len(s):
                         own, m, buckets = next(found)
-                        out.append((len(own), hashlib.blake2b(own.tobytes(), digest_size=16).digest(), m.tobytes(), buckets))
+                        out.append((len(own), hashlib.blake2b(own.tobytes(), digest_size=16).digest(), m.tobytes(), buckets, np.frombuffer(sketch(own), "<i8")))
                     else:
-                        out.append((0, None, None, None))
-                got = pd.DataFrame(out, columns=["n", "set_key", "signature", "buckets"])
-                got.insert(0, "i", part["i"].astype("Int64").to_numpy(object, na_value=None))
-                got["i"] = got["i"].astype("Int64")
-                yield got
+                        out.append((0, None, None, None, None))
+                yield pa.record_batch([part.column("i"), *(pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True))], names=names)
 
     rows_in = docs.select(F.col(id_col).cast("long").alias("i"), text_of(text_col).alias("t"))
-    return rows_in.mapInPandas(signed, "i long, n long, set_key binary, signature binary, buckets array<long>")
+    return rows_in.mapInArrow(signed, SIGNED)
 
 
 def surviving(pairs: DataFrame, signs: DataFrame, similarity: float, miss: float, n: int) -> DataFrame:
@@ -220,100 +228,58 @@ def components(links: DataFrame) -> DataFrame:
             return roots
 
 
-PEELS = 3
-
-
-def unshared(texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """(node, n, own): set sizes and how many shingles no other node here holds, without the nodes that this
-    rules out: a set with too many shingles of its own reaches the threshold with no other. Leaving such nodes
-    out lets others hold more shingles alone, so it is done up to PEELS times."""
-
-    def exploded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shingles = _shingler(width).shingles
-        for batch in batches:
-            for node, t in zip(batch["node"], batch["t"], strict=True):
-                h = shingles(t).view(np.int64)
-                yield pd.DataFrame({"node": np.full(len(h), node, np.int64), "h": h})
-
-    items = written(texts.select("node", "t").mapInPandas(exploded, "node long, h long").distinct(), "shingles")
-    # an id that stands for several sets is never ruled out: its size stays null
-    several = texts.groupBy("node").agg(F.count("*").alias("sets")).where("sets > 1")
-    sizes = items.groupBy("node").agg(F.count("*").alias("n")).join(several, "node", "left").select("node", F.when(F.col("sets").isNull(), F.col("n")).alias("n"))
-    sizes = written(sizes, "sizes")
-    for _ in range(PEELS):
-        alone = items.groupBy("h").agg(F.count("*").alias("k"), F.min("node").alias("node")).where("k = 1").groupBy("node").agg(F.count("*").alias("own"))
-        facts = written(sizes.join(alone, "node", "left").select("node", "n", F.coalesce("own", F.lit(0)).alias("own")), "facts")
-        able = facts.where(F.coalesce(100 * (F.col("n") - F.col("own")) >= percent * F.col("n"), F.lit(True)))
-        if facts.count() == able.count():
-            break
-        items, sizes = items.join(able.select("node"), "node", "left_semi"), able.select("node", "n")
-    return able
-
-
-def _active(members: DataFrame, comps: DataFrame, facts: DataFrame | None) -> DataFrame:
-    """bucket, node, comp, n, own, held (members of that component), all, most: of buckets with several components."""
-    own = members.join(comps, "node")
-    own = own.join(facts, "node") if facts is not None else own.withColumns({"n": F.lit(0).cast("long"), "own": F.lit(0).cast("long")})
-    own = own.select("bucket", "node", "comp", "n", "own")
-    by_comp = own.groupBy("bucket", "comp").agg(F.count("*").alias("held"))
-    sizes = by_comp.groupBy("bucket").agg(F.sum("held").alias("all"), F.max("held").alias("most")).where("most < all")
-    return own.join(by_comp, ["bucket", "comp"]).join(sizes, "bucket").select("bucket", "node", "comp", "n", "own", "held", "all", "most")
-
-
-def _hubs(active: DataFrame, hubs: int) -> DataFrame:
-    """(bucket, hub, hub_comp, hub_n, hub_own): of small buckets every member, of the others one of each of ``hubs`` slots."""
-    # few stragglers meet everyone; else members of the largest component meet the many others
-    rank = F.when(F.col("all") - F.col("most") <= hubs, F.col("held")).otherwise(-F.col("held"))
-    slot = F.when(F.col("all") <= SMALL, F.col("node")).otherwise(F.pmod(F.xxhash64("node"), F.lit(hubs)))
-    chosen = active.groupBy("bucket", slot.alias("slot")).agg(F.min(F.struct(rank.alias("rank"), "own", "node", "comp", "n")).alias("hub"))
-    return chosen.select("bucket", F.col("hub.node").alias("hub"), F.col("hub.comp").alias("hub_comp"), F.col("hub.n").alias("hub_n"), F.col("hub.own").alias("hub_own"))
-
-
-def _pairs(active: DataFrame, hubs: DataFrame, percent: int) -> DataFrame:
-    """(a, b): hubs with the members of other components of their buckets, unless both sets' own shingles rule it out."""
-    most = F.when(F.col("n").isNotNull() & F.col("hub_n").isNotNull(), F.least(F.col("n") - F.col("own"), F.col("hub_n") - F.col("hub_own")))
-    able = F.coalesce(100 * most >= percent * (F.col("n") + F.col("hub_n") - most), F.col("n").isNull() | F.col("hub_n").isNull())
-    met = active.join(hubs, (active["bucket"] == hubs["bucket"]) & (F.col("comp") != F.col("hub_comp")) & able)
+def _active(members: DataFrame) -> DataFrame:
+    """members with all, low (the least turn): of buckets with several components. Turns are shuffled node numbers."""
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("all"), F.min("turn").alias("low"), F.min("comp").alias("first"), F.max("comp").alias("last"))
+    return members.join(sizes.where("first < last").select("bucket", "all", "low"), "bucket")
+
+
+def _pairs(active: DataFrame, hubs: int | None, percent: int) -> DataFrame:
+    """(a, b): hubs with members of other components of their buckets, where sizes and sketches allow for the
+    similarity. hubs: how many of a bucket, about; None: all members."""
+    first = F.lit(True) if hubs is None else F.col("turn") == F.col("low")
+    if hubs and hubs > 1:
+        first = first | (F.col("turn") < hubs * F.lit(float(1 << 63)) / F.col("all"))
+    chosen = active.where(first).select("bucket", F.col("node").alias("hub"), F.col("comp").alias("hub_comp"), F.col("n").alias("hub_n"), F.col("sketch").alias("hub_sketch"))
+    apart = F.abs(F.col("n") - F.col("hub_n"))
+    differ = sum((F.bit_count(F.col("sketch")[k].bitwiseXOR(F.col("hub_sketch")[k])) for k in range(SKETCH_BITS // 64)), F.lit(0))
+    # 100 * both >= percent * either, told by the sizes' sum and the number of shingles that only one set holds
+    able = lambda only: only * (100 + percent) <= (F.col("n") + F.col("hub_n")) * (100 - percent)
+    order = F.col("node") > F.col("hub") if hubs is None else F.col("node") != F.col("hub")
+    met = active.join(chosen, (active["bucket"] == chosen["bucket"]) & (F.col("comp") != F.col("hub_comp")) & order & able(apart) & able(differ))
     return met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
 
 
 def link_nodes(signs: DataFrame, texts_of, width: int, percent: int, miss: float, n: int) -> DataFrame | None:
-    """(node, comp) of the nodes that share a bucket; None if none do. signs: node, signature, buckets."""
-    spark = signs.sparkSession
+    """(node, comp) of the nodes that share a bucket; None if none do. signs: node, n, signature, buckets, sketch."""
     banded = signs.select("node", F.explode("buckets").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1").select("bucket")
-    members = written(banded.join(shared, "bucket").select("bucket", "node"), "buckets")
+    turn = F.xxhash64("node").bitwiseAND(F.lit((1 << 63) - 1))
+    members = banded.join(shared, "bucket").distinct().join(signs.select("node", "n", "sketch"), "node")
+    members = written(members.select("bucket", "node", "n", "sketch", F.col("node").alias("comp"), turn.alias("turn")), "buckets")
     comps = written(members.select("node").distinct().withColumn("comp", F.col("node")), "comps")
     if not comps.limit(1).count():
         return None
-    texts = texts_of(comps.select("node"))
-    tested = spark.createDataFrame([], "a long, b long")
-    hubs, turn, facts = 1, 0, None
-    while True:
-        active = written(_active(members, comps, facts), "active")
+    texts, tested = texts_of(comps.select("node")), None
+    for hubs in (1, HUBS, None):
+        active = written(_active(members), "active")
         if not active.limit(1).count():
-            return comps
-        if turn == 1:  # most nodes are done by now; the rest needs no more than its own signatures and texts
+            break
+        if hubs == HUBS:  # most nodes are done by now; the rest needs no more than its own signatures and texts
             live = written(active.select("node").distinct(), "live")
             signs = written(signs.join(live, "node", "left_semi"), "signs")
             texts = written(texts.join(live, "node", "left_semi"), "texts")
-            facts = unshared(texts, width, percent)
-            active = written(_active(active.select("bucket", "node"), comps, facts), "active")
-        turn += 1
-        chosen = written(_hubs(active, hubs), "hubs")
-        pairs = _pairs(active, chosen, percent)
-        pairs = written(pairs if hubs == 1 else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        # buckets that lie in one component are done, and so are hubs
-        members = active.join(chosen.select("bucket", F.col("hub").alias("node")), ["bucket", "node"], "left_anti").select("bucket", "node")
+        pairs = _pairs(active, hubs, percent)
+        pairs = written(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        tested = pairs if tested is None else tested.unionByName(pairs)
         links = written(verified(surviving(pairs, signs, percent / 100, miss, n), texts, width, percent), "links")
-        tested = tested.unionByName(pairs)
-        found = links.limit(1).count()
-        if found:
+        members = active.drop("all", "low")
+        if links.limit(1).count():
             ends = links.join(comps.select(F.col("node").alias("a"), F.col("comp").alias("ca")), "a").join(comps.select(F.col("node").alias("b"), F.col("comp").alias("cb")), "b")
-            roots = components(ends.select(F.col("ca").alias("a"), F.col("cb").alias("b")).where("a != b").distinct())
-            comps = written(comps.join(roots.select(F.col("node").alias("comp"), "root"), "comp", "left").select("node", F.coalesce("root", "comp").alias("comp")), "comps")
-        # links merge components and so spare tests; without any, the rest has to be tested anyway
-        hubs = max(HUBS, hubs if found else hubs * HUBS)
+            roots = components(ends.select(F.col("ca").alias("a"), F.col("cb").alias("b")).where("a != b").distinct()).select(F.col("node").alias("comp"), "root")
+            joined = lambda rows: rows.join(roots, "comp", "left").withColumn("comp", F.coalesce("root", "comp")).drop("root")
+            comps, members = written(joined(comps), "comps"), joined(members)
+    return comps
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, miss: float = MISS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -323,7 +289,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, miss: fl
     classes = signed.where("n > 0 and i is not null").groupBy("set_key").agg(F.min("i").alias("node"))
     own = written(signed.select("i", "n", "set_key").join(classes, "set_key", "left").select("i", "n", F.when(F.col("n") > 0, F.coalesce("node", "i")).otherwise(F.col("i")).alias("node")), "classes")
     first = classes.select("set_key", F.col("node").alias("i"))
-    signs = written(signed.where("n > 0").join(first, ["set_key", "i"], "left_semi").dropDuplicates(["set_key", "i"]).select(F.col("i").alias("node"), "signature", "buckets"), "signs")
+    signs = written(signed.where("n > 0").join(first, ["set_key", "i"], "left_semi").dropDuplicates(["set_key", "i"]).select(F.col("i").alias("node"), "n", "signature", "buckets", "sketch"), "signs")
     remove(signed.sparkSession, signed)
 
     def texts_of(nodes: DataFrame) -> DataFrame:
