@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 T = TypeVar("T")
+#: What a Python worker gets at once, at most (a single longer text still comes whole).
+BATCH_BYTES, BATCH_ROWS = 16 << 20, 5_000
 REPO = str(Path(__file__).resolve().parents[2])
 
 
@@ -25,11 +27,14 @@ def prepare(spark: SparkSession) -> None:
     """Lets Python workers import this package, and sets a checkpoint folder where none is set.
 
     A cluster names its shared folder in ``spark.checkpoint.dir``; only when that is unset (tests,
-    one machine) a folder of this machine is taken.
+    one machine) a folder of this machine is taken. Bounds the batches that workers get by bytes.
     """
     env = spark.sparkContext.environment
     if REPO not in env.get("PYTHONPATH", ""):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (REPO, env.get("PYTHONPATH", "")) if x)
+    for key, most in (("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES), ("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)):
+        told = int(spark.conf.get(key).rstrip("b"))
+        spark.conf.set(key, str(min(told, most) if told > 0 else most))  # 10,000 rows of a long-text table are too much for a worker
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
 
@@ -88,7 +93,7 @@ def release_memory() -> None:
         pass
 
 
-def portions_of(texts: pa.Array, most: int = 4_000_000) -> Iterator[pa.Array]:
+def portions_of(texts: pa.Array, most: int = 8_000_000) -> Iterator[pa.Array]:
     """The texts in order, in slices of about ``most`` bytes."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     at = 0

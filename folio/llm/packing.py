@@ -18,35 +18,38 @@ extra columns cannot clash.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of, written
-from .sp_codec import portions
+from .common import held_by_worker, portions_of, text_of, written
 
 WINDOW, OPEN, MERGED = 2048, 16, 16
 END_ID = 1
+#: Entries of a task's table (about 80 MB), and the longest run that enters it.
 MAX_RUNS, MAX_RUN_CHARS = 400_000, 64
+#: Words are encoded so many together, and so many of these or of other runs in a call: results of the library are large.
+WORDS_A_CALL, AT_ONCE = 200, 100
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-#: Letters whose lower case and composition need no context, and marks that split off them as one token.
-SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+#: A word of letters whose lower case and composition need no context, and marks that split off it as one token.
+SIMPLE = "^(?P<word>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<marks>[.,;:!?]*)$"
 
 
 class RunTable:
-    """Ids, as little-endian 32-bit bytes, of the distinct runs without ASCII white space of a task.
+    """Ids of the distinct runs without ASCII white space of a task.
 
-    Most runs are a word and the marks after it. The distinct words are encoded in one call and parted at
-    the ids that end a word; all other runs are encoded one by one.
+    Texts are split and their runs dictionary-encoded by Arrow, so Python sees each distinct run of a portion
+    once. Most runs are a word and the marks after it; words are looked up in lower case. Words that are new
+    are encoded many together and parted at the ids that end a word, all other runs one by one.
+    A full table starts anew; that costs time, never results.
     """
 
     def __init__(self, tokenizer_path: str, max_runs: int = MAX_RUNS):
@@ -59,61 +62,82 @@ class RunTable:
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.max_runs = max_runs
         self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+
+    def _encoded(self, texts: list[str]) -> Iterator[np.ndarray]:
+        for k in range(0, len(texts), AT_ONCE):
+            for e in self.tokenizer.encode_batch_fast(texts[k : k + AT_ONCE], add_special_tokens=False):
+                yield np.array(e.ids, "<u4")
 
     def _one_by_one(self, runs: list[str]) -> dict[str, bytes]:
-        found = self.tokenizer.encode_batch_fast(runs, add_special_tokens=False)
-        return {r: np.array(e.ids, "<u4").tobytes() for r, e in zip(runs, found, strict=True)}
+        return {r: ids.tobytes() for r, ids in zip(runs, self._encoded(runs), strict=True)}
 
     def _words(self, words: list[str]) -> dict[str, bytes]:
-        if not words:
-            return {}
-        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
-        stops = np.flatnonzero(self.ends[ids]) + 1
-        if len(stops) != len(words):
-            return self._one_by_one(words)
-        raw, bounds = ids.tobytes(), [0, *stops.tolist()]
-        return {w: raw[4 * lo : 4 * hi] for w, lo, hi in zip(words, bounds, bounds[1:], strict=False)}
-
-    def _encode(self, runs: list[str]) -> dict[str, bytes]:
-        simple, other = {}, []
-        for r in runs:
-            if m := SIMPLE.fullmatch(r):
-                simple[r] = m[1].lower(), m[2]
-            else:
-                other.append(r)
-        found = self._words(list({w for w, _ in simple.values()}))
-        marks = self._one_by_one(list({m for _, m in simple.values() if m}))
-        marks[""] = b""
-        return self._one_by_one(other) | {r: found[w] + marks[m] for r, (w, m) in simple.items()}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = []
-        for t in texts:
-            for c in "\n\t\r":
-                if c in t:
-                    t = t.replace(c, " ")
-            split.append(t.split(" "))
-        seen = set(chain.from_iterable(split))
-        table = self.known
-        missing = [r for r in seen if r not in table]
-        long = {}
-        if missing:
-            if len(table) + len(missing) > self.max_runs:
-                self.older, self.known = table, {}
-                table, missing = self.known, list(seen)
-            older = self.older
-            table.update((r, older[r]) for r in missing if r in older)
-            for r, ids in self._encode([r for r in missing if r not in older]).items():
-                (table if len(r) <= MAX_RUN_CHARS else long)[r] = ids
-        if long:
-            return [b"".join([long[r] if r in long else table[r] for r in runs]) for runs in split]
-        return [b"".join([table[r] for r in runs]) for runs in split]
-
-
-@lru_cache(2)
-def _table(path: str) -> RunTable:
-    return RunTable(path)
+        blocks = [words[k : k + WORDS_A_CALL] for k in range(0, len(words), WORDS_A_CALL)]
+        out: dict[str, bytes] = {}
+        for block, ids in zip(blocks, self._encoded([" ".join(b) for b in blocks]), strict=True):
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) != len(block):
+                out |= self._one_by_one(block)
+                continue
+            raw, bounds = ids.tobytes(), [0, *(4 * stops).tolist()]
+            out.update(zip(block, map(raw.__getitem__, map(slice, bounds, bounds[1:])), strict=True))
+        return out
+
+    def _ids(self, keys: list[str], simple: bool) -> list[bytes]:
+        """The ids of distinct keys: words in lower case, or other runs."""
+        known = self.known
+        new = [k for k in keys if k not in known]
+        if new:
+            found = self._words(new) if simple else self._one_by_one(new)
+            if len(known) + len(found) > self.max_runs:  # the table starts anew with what these texts hold
+                found |= {k: known[k] for k in keys if k in known}
+                known.clear()
+            room = self.max_runs - len(known)
+            if len(found) > room or max(map(len, new)) > MAX_RUN_CHARS:
+                known.update(list((k, v) for k, v in found.items() if len(k) <= MAX_RUN_CHARS)[:room])
+                return [found[k] if k in found else known[k] for k in keys]
+            known.update(found)
+        return [known[k] for k in keys]
+
+    def _distinct(self, runs: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For distinct runs: all their ids, and by run the place of its first id and their number."""
+        parts = pc.extract_regex(runs, SIMPLE)
+        simple = pc.is_valid(parts)
+        words = pc.dictionary_encode(pc.utf8_lower(pc.struct_field(pc.filter(parts, simple), "word")))
+        marks = pc.dictionary_encode(pc.struct_field(pc.filter(parts, simple), "marks"))
+        of_marks = self._one_by_one(marks.dictionary.to_pylist())
+        others = pc.filter(runs, pc.invert(simple)).to_pylist()
+        word_ids = self._ids(words.dictionary.to_pylist(), True)
+        mark_ids = [of_marks[m] for m in marks.dictionary.to_pylist()]
+        at = np.zeros(len(runs), np.int64)
+        size = np.zeros(len(runs), np.int64)
+        chosen = simple.to_numpy(zero_copy_only=False)
+        w, m = words.indices.to_numpy(zero_copy_only=False), marks.indices.to_numpy(zero_copy_only=False)
+        both = list(map(bytes.__add__, map(word_ids.__getitem__, w.tolist()), map(mark_ids.__getitem__, m.tolist())))
+        rest = self._ids(others, False)
+        raw = both + rest
+        lengths = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
+        starts = np.cumsum(lengths) - lengths
+        at[chosen], size[chosen] = starts[: len(both)], lengths[: len(both)]
+        at[~chosen], size[~chosen] = starts[len(both) :], lengths[len(both) :]
+        return np.frombuffer(b"".join(raw), "<u4"), at, size
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """The ids of every text, as little-endian 32-bit bytes; null counts as empty."""
+        texts = pc.fill_null(pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string()), "")
+        split = pc.ascii_split_whitespace(texts)
+        runs = pc.dictionary_encode(split.flatten())
+        ids, at, size = self._distinct(runs.dictionary)
+        index = runs.indices.to_numpy(zero_copy_only=False)
+        sizes = size[index]
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        places = np.repeat(at[index] - (ends - sizes), sizes)
+        places += np.arange(total)
+        raw = ids[places].tobytes()
+        bounds = split.offsets.to_numpy() - split.offsets[0].as_py()
+        bounds = np.concatenate([[0], ends])[bounds] * 4
+        return [raw[a:b] for a, b in zip(bounds.tolist(), bounds[1:].tolist(), strict=False)]
 
 
 class Packer:
@@ -185,38 +209,40 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     end = np.array([end_id], "<u4").tobytes()
     names = [c.split()[0] for c in PIECES.split(", ")]
 
-    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        encode = _table(tokenizer_path).encode
+        encode = held_by_worker(("packing", tokenizer_path), lambda: RunTable(tokenizer_path)).encode
         packer = Packer(window, most_open)
         for batch in batches:
-            names_left = iter(batch["i"].tolist())
-            for texts in portions(batch["t"].tolist()):
-                for text in encode(texts):
-                    packer.add(next(names_left), text + end)
-            yield closed(packer, part)
-        left = [(None if pd.isna(d) else d, s, len(ids) // 4, zlib.crc32(ids), total, k, 0, part, ids) for k, (_, pieces) in enumerate(packer.open) for d, s, ids, total in pieces]
-        yield table(left)
-
-    def closed(packer: Packer, part: int) -> pd.DataFrame:
-        rows = [(None if pd.isna(d) else d, s, n, crc, total, (part << 33) + q, at, part, None) for d, s, n, crc, total, q, at in packer.closed]
+            left = iter(batch.column("i").to_pylist())
+            for texts in portions_of(batch.column("t")):
+                for ids in encode(texts):
+                    packer.add(next(left), ids + end)
+                yield closed(packer, part)
+        yield table([(d, s, len(ids) // 4, zlib.crc32(ids), total, k, 0, part, ids) for k, (_, pieces) in enumerate(packer.open) for d, s, ids, total in pieces])
+
+    def closed(packer: Packer, part: int) -> pa.RecordBatch:
+        rows = [(d, s, n, crc, total, (part << 33) + q, at, part, None) for d, s, n, crc, total, q, at in packer.closed]
         packer.closed.clear()
         return table(rows)
 
-    def table(rows: list[tuple]) -> pd.DataFrame:
-        out = pd.DataFrame(rows, columns=[*names, "part", "ids"])
-        out["doc_id"] = out["doc_id"].astype("Int64")
-        return out
+    kinds = [pa.int64()] * len(names) + [pa.int32(), pa.binary()]
+
+    def table(rows: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*rows, strict=True)) if rows else [[] for _ in kinds]
+        return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[*names, "part", "ids"])
 
-    def merged(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["part", "sequence_id", "doc_id", "start"], kind="stable")
-        out = pd.DataFrame(merge(list(zip(rows["doc_id"], rows["start"], rows["ids"], rows["doc_tokens"], strict=True)), window), columns=names)
-        out["sequence_id"] = out["sequence_id"].astype("int64") + ((1 << 61) + (int(key[0]) << 33))
-        return out.astype({"doc_id": "Int64"})
+    def merged(key: tuple, rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("part", "ascending"), ("sequence_id", "ascending"), ("doc_id", "ascending"), ("start", "ascending")])
+        got = merge(list(zip(*(rows.column(c).to_pylist() for c in ("doc_id", "start", "ids", "doc_tokens")), strict=True)), window)
+        first = (1 << 61) + (key[0].as_py() << 33)
+        columns = [list(c) for c in zip(*got, strict=True)] if got else [[] for _ in names]
+        columns[names.index("sequence_id")] = [first + k for k in columns[names.index("sequence_id")]]
+        return pa.table([pa.array(c, pa.int64()) for c in columns], names=names)
 
     rows = docs.select(F.col(id_col).cast("long").alias("i"), text_of(text_col).alias("t"))
-    first = written(rows.mapInPandas(packed, PIECES + ", part int, ids binary"), "packed")
-    again = first.where("ids is not null").groupBy((F.col("part") / MERGED).cast("int").alias("g")).applyInPandas(merged, PIECES)
+    first = written(rows.mapInArrow(packed, PIECES + ", part int, ids binary"), "packed")
+    again = first.where("ids is not null").groupBy((F.col("part") / MERGED).cast("int").alias("g")).applyInArrow(merged, PIECES)
     return first.where("ids is null").select(*names).unionByName(again)
