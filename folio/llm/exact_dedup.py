@@ -22,7 +22,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -86,23 +86,22 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.select(F.col(id_col).cast("long").alias("i"), text_of(text_col).alias("t")).withColumn("h", F.xxhash64("t"))
     directory = build_directory(rows, capacity)
 
-    def collapsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def collapsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = batch.groupby(["h", "t"], sort=False, as_index=False).agg(n=("t", "size"), i=("i", "max"))
-            own["i"] = own["i"].astype("Int64")
-            own["bucket"] = directory.bucket_of(own["h"].to_numpy())
-            yield own[["bucket", "h", "t", "n", "i"]]
+            own = pa.table(batch).group_by(["h", "t"]).aggregate([([], "count_all"), ("i", "max")])
+            bucket = directory.bucket_of(own.column("h").to_numpy())
+            columns = [pa.array(bucket, pa.int32()), own.column("h"), own.column("t"), own.column("count_all"), own.column("i_max")]
+            yield from pa.table(columns, names=["bucket", "h", "t", "n", "i"]).combine_chunks().to_batches()
 
-    def owned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def owned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at: int | None = None
         chain: list[list] = []  # text, rows, largest id
         out: list[tuple] = []
         for batch in batches:
-            for h, t, n, i in zip(batch["h"], batch["t"], batch["n"], batch["i"], strict=True):
+            for h, t, n, i in zip(*(batch.column(c).to_pylist() for c in ("h", "t", "n", "i")), strict=True):
                 if h != at:
                     flush(at, chain, out)
                     at, chain = h, []
-                i = None if pd.isna(i) else int(i)
                 for link in chain:
                     if link[0] == t:  # byte by byte
                         link[1] += n
@@ -121,11 +120,14 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             raise ValueError(f"different texts share a digest: {digests}")
         out += [(h, sha, i, n, k) for k, (sha, (_, n, i)) in enumerate(zip(digests, chain, strict=True))]
 
-    def table(out: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame(out, columns=["h", "sha", "keep_id", "group_size", "chain"]).astype({"keep_id": "Int64"})
+    kinds = {"h": pa.int64(), "sha": pa.string(), "keep_id": pa.int64(), "group_size": pa.int64(), "chain": pa.int32()}
 
-    sent = rows.mapInPandas(collapsed, "bucket int, h long, t string, n long, i long").repartition("bucket")
-    return written(sent.sortWithinPartitions("bucket", "h").mapInPandas(owned, "h long, sha string, keep_id long, group_size long, chain int"), "index")
+    def table(out: list[tuple]) -> pa.RecordBatch:
+        columns = zip(*out, strict=True) if out else [[] for _ in kinds]
+        return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds.values(), strict=True)], names=list(kinds))
+
+    sent = rows.mapInArrow(collapsed, "bucket int, h long, t string, n long, i long").repartition("bucket")
+    return written(sent.sortWithinPartitions("bucket", "h").mapInArrow(owned, "h long, sha string, keep_id long, group_size long, chain int"), "index")
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int | None = None) -> DataFrame:
