@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -25,6 +24,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import held_by_worker
+
 MARK = "▁"
 #: Entries of one generation of a task's chunk table: about 100 MB.
 MAX_CHUNKS = 300_000
@@ -131,9 +132,8 @@ def portions(texts: list[str], most: int = 1_000_000) -> Iterator[list[str]]:
         yield part
 
 
-@lru_cache(2)
 def _table(model_path: str) -> ChunkTable:
-    return ChunkTable(model_path)
+    return held_by_worker(("sentencepiece", model_path), lambda: ChunkTable(model_path))
 
 
 def codec(text: Column, model_path: str, digests_only: bool = False) -> Column:

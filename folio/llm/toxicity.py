@@ -21,19 +21,21 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+import uuid
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
+from functools import lru_cache, reduce
+from operator import or_
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc32_bucket, text_of
+from .common import crc32_bucket, held_by_worker, text_of, written
 
-TRAIN_ROWS, MAX_WEIGHTS = 40_000, 2_000
+TRAIN_ROWS = 40_000
 #: A word weighs if its z value in the labelled rows is at least this, and at least so many toxic rows hold it.
 MIN_Z, MIN_ROWS = 5.0, 5
 THRESHOLD = 0.7
@@ -60,8 +62,8 @@ SPACED = r"(?<![^\W_])[^\W\d_](?:[.\-_*]{1,2}[^\W_]){2,}(?![^\W_])"
 LEET = r"[^\W\d_][0-9@$!|+(*]+[^\W_][\w@$!|+(*]*|[0-9@$|+(]+[^\W\d_][\w@$!|+(*]*"
 REPEATED = r"([^\W\d_])\1\1"
 SUSPECT = re.compile(f"{SPACED}|[^\\W\\d_]*(?:{LEET}|{REPEATED}[^\\W\\d_]*)")
-#: Tokens whose weighted words a task remembers.
-MAX_TOKENS = 300_000
+#: Tokens whose weighted words a task remembers, and as many spans; longer ones are read each time.
+MAX_TOKENS, MAX_TOKEN_CHARS = 150_000, 64
 PUNCTUATION, TRIPLE = ".,;:!?\"'()", re.compile(r"(.)\1\1")
 #: Marks that stand for no letter, at the ends of a plain word; the ends and doubles at which a word is no plain one.
 PLAIN_ENDS, ODD_END, DOUBLE = ".,;:?\"')", re.compile(r"[^\W\d_][0-9@$|+*]+[.,;:!?\"')]*$"), re.compile(r"([^\W\d_])\1")
@@ -117,6 +119,18 @@ def parts(word: str) -> Iterator[str]:
             yield word[at : at + n]
 
 
+@lru_cache(4096)
+def may_say(c: str) -> int:
+    """The letters that a reading may have for a character, as bits of the alphabet."""
+    return reduce(or_, (1 << letter(x) for x in STANDS_FOR.get(c, "") + (c if c.isalpha() else "")), 0)
+
+
+def hidden(word: str) -> re.Pattern:
+    """Finds tokens in which the word's letters stand in order, as themselves or hidden: every reading is such a part."""
+    kinds = ["".join(map(re.escape, [x, *(c for c, said in STANDS_FOR.items() if x in said)])) for x in word]
+    return re.compile("".join(f"[^{k}]*[{k}]" for k in kinds), re.DOTALL)
+
+
 @dataclass
 class Model:
     lm: np.ndarray = field(default_factory=lambda: log_model(np.zeros((N, N, N))))
@@ -125,9 +139,23 @@ class Model:
 
     def __post_init__(self):
         self.rows = self.lm.tolist()
-        self.decode = lru_cache(100_000)(self._decode)
+        self.decoded: dict[tuple[str, bool], str] = {}
+        self.letters = [(reduce(or_, map(may_say, w), 0), hidden(w).match) for w in self.weights]
+        self.by_letters: dict[int, list[Callable]] = {}
         self.known: dict[str, tuple[str, ...]] = {}
 
+    def decode(self, span: str, open_: bool = False) -> str:
+        """``_decode``, remembered for spans of usual length."""
+        key = span, open_
+        said = self.decoded.get(key)
+        if said is None:
+            said = self._decode(span, open_)
+            if len(self.decoded) >= MAX_TOKENS:
+                self.decoded.clear()
+            if len(span) <= MAX_TOKEN_CHARS:
+                self.decoded[key] = said
+        return said
+
     def _decode(self, span: str, open_: bool = False) -> str:
         """The likeliest word behind a span: the best path of the lattice by (last two letters).
 
@@ -230,23 +258,45 @@ class Model:
         """The distinct words of the restored text."""
         return {w for t in set(self.tokens(text)) for w in self.readings(t)}
 
+    def hides(self, t: str) -> bool:
+        """Whether any reading of the token may hold a word that weighs. Rules out most tokens before they are decoded."""
+        bits = reduce(or_, map(may_say, t), 0)
+        found = self.by_letters.get(bits)
+        if found is None:
+            found = [match for own, match in self.letters if own & ~bits == 0]
+            if len(self.by_letters) < MAX_TOKENS:
+                self.by_letters[bits] = found
+        for match in found:
+            if match(t):
+                return True
+        return False
+
+    def told(self, t: str) -> tuple[str, ...]:
+        """The words of a token's readings that weigh."""
+        if t.isalpha() and not DOUBLE.search(t):
+            return (t,) if t in self.weights else ()
+        if not self.hides(t):
+            return ()
+        read = self.readings(t)
+        if spread(t):  # bounds of words are not told: any part may be one
+            read = [w for word in read for w in parts(word)]
+        return tuple(w for w in dict.fromkeys(read) if w in self.weights)
+
     def weighted(self, text: str | None) -> Counter:
         """The words of the restored text that weigh, and how often they stand in it."""
         tokens = self.tokens(text)
-        seen, known, weights = set(tokens), self.known, self.weights
-        missing = [t for t in seen if t not in known]
-        if len(known) + len(missing) > MAX_TOKENS:
-            known.clear()
-            missing = list(seen)
-        for t in missing:
-            read = self.readings(t)
-            if spread(t):  # bounds of words are not told: any part may be one
-                read = [w for word in read for w in parts(word)]
-            known[t] = tuple(w for w in dict.fromkeys(read) if w in weights)
+        counts, known = Counter(tokens), self.known
         out: Counter = Counter()
-        for t in seen:
-            for w in known[t]:
-                out[w] += tokens.count(t)
+        for t, n in counts.items():
+            found = known.get(t)
+            if found is None:
+                found = self.told(t)
+                if len(known) >= MAX_TOKENS:
+                    known.clear()
+                if len(t) <= MAX_TOKEN_CHARS:
+                    known[t] = found
+            for w in found:
+                out[w] += n
         return out
 
     def score(self, text: str | None) -> float:
@@ -297,51 +347,33 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return pd.DataFrame({"w": words, "c": [by[0][w] for w in words], "x": [by[1][w] for w in words]}, columns=["w", "c", "x"])
 
     counts = rows.mapInPandas(held, "w string, c long, x long").groupBy("w").agg(F.sum("c").alias("c"), F.sum("x").alias("x"))
-    counts = counts.where(F.col("w").isNull() | (F.col("x") >= MIN_ROWS))
-    lifted = F.log(F.col("x") + 0.5) - F.log(F.col("c") + 0.5)
-    top = counts.orderBy(F.col("w").isNull().desc(), lifted.desc(), "w").limit(MAX_WEIGHTS * 20).collect()
-    total = next(((c, x) for w, c, x in top if w is None), (0, 0))
-    if not total[0] or not total[1]:
+    counts = written(counts.where(F.col("w").isNull() | (F.col("x") >= MIN_ROWS)), "words")
+    total = counts.where("w is null").first()
+    if not total or not total.c or not total.x:
         return Model(lm)
-    found = []
-    for w, c, x in top:
-        if w is None:
-            continue
-        p, q, both = x / total[1], c / total[0], (x + c) / sum(total)
-        z = (p - q) / math.sqrt(both * (1 - both) * (1 / total[0] + 1 / total[1]) + 1e-12)
-        if z >= MIN_Z:
-            odds = math.log((x + 0.5) / (total[1] + 1)) - math.log((c + 0.5) / (total[0] + 1))
-            sure = odds - 2 * math.sqrt(1 / (x + 0.5) + 1 / (c + 0.5))
-            if odds >= MIN_PURE - math.log(total[1] / total[0]):
-                found.append((z, w, min(sure, MOST_MIXED) if c else sure))
-    weights = {w: v for _, w, v in sorted(found, reverse=True)[:MAX_WEIGHTS] if v > 0}
-    return Model(lm, weights, math.log(total[1] / total[0]))
+    rows_of = float(total.c + total.x)
+    p, q, both = F.col("x") / total.x, F.col("c") / total.c, (F.col("x") + F.col("c")) / rows_of
+    z = (p - q) / F.sqrt(both * (1 - both) * (1 / total.c + 1 / total.x) + 1e-12)
+    odds = F.log((F.col("x") + 0.5) / (total.x + 1)) - F.log((F.col("c") + 0.5) / (total.c + 1))
+    sure = odds - 2 * F.sqrt(1 / (F.col("x") + 0.5) + 1 / (F.col("c") + 0.5))
+    telling = counts.where(F.col("w").isNotNull()).select("w", "c", sure.alias("sure"), z.alias("z"), odds.alias("odds"))
+    # every word stands in MIN_ROWS or more of at most TRAIN_ROWS rows, and in 9 toxic ones for a clean one
+    found = telling.where((F.col("z") >= MIN_Z) & (F.col("odds") >= MIN_PURE - math.log(total.x / total.c)) & (F.col("sure") > 0)).collect()
+    return Model(lm, {r.w: min(r.sure, MOST_MIXED) if r.c else r.sure for r in found}, math.log(total.x / total.c))
 
 
 def score_column(text: Column, model: Model) -> Column:
-    lm, weights, prior = model.lm, model.weights, model.prior
+    lm, weights, prior, key = model.lm, model.weights, model.prior, ("toxicity", uuid.uuid4().hex)
 
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        score = Model(lm, weights, prior).score
+        score = held_by_worker(key, lambda: Model(lm, weights, prior)).score
         for texts in batches:
             yield pd.Series([score(t) for t in texts], dtype="float64")
 
     return scored(text)
 
 
-def restored_column(text: Column, model: Model) -> Column:
-    lm = model.lm
-
-    @F.pandas_udf("string")
-    def restored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        restore = Model(lm).restore
-        for texts in batches:
-            yield pd.Series([restore(t) for t in texts], dtype="object")
-
-    return restored(text)
-
-
 def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", holdout: int = 3, threshold: float = THRESHOLD) -> DataFrame:
     """id, held_out, score and predicted (1 from ``threshold`` on)."""
     model = learn(docs, labels, id_col, text_col, label_col, holdout)
