@@ -208,10 +208,9 @@ def j05_in_list(spark, sf):
     return table(spark, sf, "customer").join(keys, "c_custkey", "left_semi").select("c_custkey", "c_name")
 
 
-@query("j06_stable_keys", "SELECT 'O' || o_orderkey AS key, 'C' || c_custkey AS parent FROM orders JOIN customer o ON true AND o.c_custkey = o_custkey WHERE o_orderkey % 5 = 0 UNION ALL SELECT 'O' || o_orderkey, 'C' || c_custkey FROM orders LEFT JOIN (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0) ON c_custkey = o_custkey WHERE o_orderkey % 5 = 1")
+@query("j06_stable_keys", "SELECT 'O' || o_orderkey AS key, 'C' || c_custkey AS parent FROM orders JOIN customer o ON true AND o.c_custkey = o_custkey WHERE o_orderkey % 5 = 0 UNION ALL SELECT 'O' || o_orderkey, 'C' || c_custkey FROM orders LEFT JOIN (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0) ON c_custkey = o_custkey WHERE o_orderkey % 5 <> 0")
 def j06_stable_keys(spark, sf):
     orders, customer = table(spark, sf, "orders").select("o_orderkey", "o_custkey"), table(spark, sf, "customer").select("c_custkey")
     named = [F.concat(F.lit("O"), "o_orderkey").alias("key"), F.concat(F.lit("C"), "c_custkey").alias("parent")]
     on = F.col("c_custkey") == F.col("o_custkey")
-    # the SQL leaves out the keys of remainder 2 to 4, which are of the second kind here
     return orders.where("o_orderkey % 5 = 0").join(customer, on).select(*named).unionByName(orders.where("coalesce(o_orderkey % 5, 1) <> 0").join(customer.where("c_custkey % 2 = 0"), on, "left").select(*named))
