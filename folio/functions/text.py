@@ -16,16 +16,31 @@ _FOLDED = {
     if len(base := "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x)).lower()) == 1 and base != c
 }
 _FROM, _TO = "".join(_FOLDED), "".join(_FOLDED.values())
+#: Ligatures and digraphs, and the letters that they stand for, by the same rule.
+_SEVERAL = {
+    c: base
+    for c in map(chr, [*range(0x132, 0x134), 0x149, *range(0x1C4, 0x1CD), *range(0x1F1, 0x1F4), *range(0xFB00, 0xFB07)])
+    if len(base := "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x)).lower()) > 1
+}
 #: Combining marks.
 MARKS = r"\p{M}+"
 #: Arabic vowel marks and tatweel.
 HARAKAT = "[\u0640\u064b-\u065f\u0670\u06d6-\u06ed]"
-LETTER_RUN, WORD_CHARS = r"\p{L}+", "[a-zа-я0-9]+"
+LETTER_RUN, WORD_CHARS, INDEX_CHARS = r"\p{L}+", "[a-zа-я0-9]+", r"[\p{L}\p{N}]+"
 
 
 def fold(text: Column) -> Column:
-    """Lower case without diacritics, for letters with a decomposition into one letter; null gives ''."""
-    return F.lower(F.translate(F.regexp_replace(F.coalesce(text, F.lit("")), MARKS, ""), _FROM, _TO))
+    """Lower case without diacritics, ligatures as their letters; null gives ''."""
+    one = plain = F.regexp_replace(F.coalesce(text, F.lit("")), MARKS, "")
+    for c, letters in _SEVERAL.items():
+        plain = F.replace(plain, F.lit(c), F.lit(letters))
+    plain = F.when(one.rlike("[" + "".join(_SEVERAL) + "]"), plain).otherwise(one)  # few texts hold any
+    return F.lower(F.translate(plain, _FROM, _TO))
+
+
+def folded(text: str) -> str:
+    """``fold`` of a text of the driver, a question for instance."""
+    return "".join(_SEVERAL.get(c) or _FOLDED.get(c, c) for c in text if not unicodedata.category(c).startswith("M")).lower()
 
 
 @F.pandas_udf(T.StringType())
@@ -39,6 +54,11 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(fold(text), F.lit(WORD_CHARS), F.lit(0))
 
 
+def index_words(text: Column) -> Column:
+    """Folded runs of letters and digits of any script, in order."""
+    return F.regexp_extract_all(fold(text), F.lit(INDEX_CHARS), F.lit(0))
+
+
 def letter_words(text: Column) -> Column:
     """Lower-case runs of letters."""
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(LETTER_RUN), F.lit(0))
@@ -68,12 +88,6 @@ def clean_spaces(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, r"\n{3,}", "\n\n"), r"^\s+|\s+$", "")
 
 
-def quote_norm(text: Column) -> Column:
-    """For comparing quotations: no emphasis marks or soft hyphens, one kind of quote and dash, ё as е, single blanks, lower case."""
-    text = F.regexp_replace(F.translate(text, "«»„“”‘’'–—ё*_\u00ad", '"""""""\'--е'.replace("'", '"')), r"\s+", " ")
-    return F.lower(F.trim(text))
-
-
 def portable_path(path: Column, roots: dict[str, str]) -> Column:
     """The path relative to the first root it lies under, with the root's name; else unchanged."""
     out = path
@@ -104,3 +118,8 @@ def heading_key(text: Column) -> Column:
     """A heading without markup, emphasis and case, for looking it up."""
     plain = F.regexp_replace(F.regexp_replace(text, "<[^>]+>", ""), "[*_`#]+", "")
     return F.lower(F.trim(F.regexp_replace(plain, r"\s+", " ")))
+
+
+def for_model(text: Column, kind: str) -> Column:
+    """The text as models with two kinds of input take it: kind is query or passage."""
+    return F.concat(F.lit(f"{kind}: "), text)

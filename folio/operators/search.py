@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import re
+from collections.abc import Callable
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folio.functions import text as tx
@@ -13,35 +18,52 @@ PREFIX = 6
 
 
 def postings(chunks: DataFrame, id_col: str = "cid", text_col: str = "text") -> DataFrame:
-    """(term, cid, tf)."""
-    terms = chunks.select(F.col(id_col).alias("cid"), F.explode(tx.words(F.col(text_col))).alias("term"))
+    """(term, cid, tf); terms are folded runs of letters and digits of any script."""
+    terms = chunks.select(F.col(id_col).alias("cid"), F.explode(tx.index_words(F.col(text_col))).alias("term"))
     return terms.groupBy("term", "cid").agg(F.count("*").alias("tf"))
 
 
-def query_terms(question: str) -> list[tuple[str, bool]]:
-    """(term, is a prefix): words of six characters or more search by their first six."""
-    import re
+def write_index(chunks: DataFrame, path: str, id_col: str = "cid", text_col: str = "text") -> None:
+    """Stores postings in ranges of terms, so that a question reads the row groups of its terms, the chunks' lengths
+    and their totals."""
+    postings(chunks, id_col, text_col).repartitionByRange("term", "cid").sortWithinPartitions("term", "cid").write.mode("overwrite").parquet(f"{path}/postings")
+    lengths = chunks.sparkSession.read.parquet(f"{path}/postings").groupBy("cid").agg(F.sum("tf").alias("dl"))
+    lengths.write.mode("overwrite").parquet(f"{path}/lengths")
+    _totals(chunks.sparkSession.read.parquet(f"{path}/lengths")).write.mode("overwrite").parquet(f"{path}/totals")
+
 
-    words = re.findall(r"[^\W_]+", question.lower())
+def ask_index(spark: SparkSession, path: str, question: str) -> DataFrame:
+    """bm25 of a stored index: only the question's terms, the lengths of their chunks and one row of totals are read."""
+    read = lambda name: spark.read.parquet(f"{path}/{name}")
+    return bm25(read("postings"), question, read("lengths"), read("totals"))
+
+
+def query_terms(question: str) -> list[tuple[str, bool]]:
+    """(term, is a prefix): words, folded as the index folds its own, of six characters or more search by their first six."""
+    words = re.findall(r"[^\W_]+", tx.folded(question))
     return list(dict.fromkeys((w[:PREFIX], True) if len(w) >= PREFIX else (w, False) for w in words))
 
 
-def bm25(index: DataFrame, question: str) -> DataFrame:
+def _totals(lengths: DataFrame) -> DataFrame:
+    return lengths.agg(F.count("*").alias("docs"), F.avg("dl").alias("avgdl"))
+
+
+def bm25(index: DataFrame, question: str, lengths: DataFrame | None = None, totals: DataFrame | None = None) -> DataFrame:
     """(cid, score) of the chunks that hold a term; terms are alternatives.
 
     A prefix is expanded against the terms of the index and counts as one term: its frequencies add up and its
     document frequency is that of any of its words. The inverse document frequency is ln((N - n + .5) / (n + .5)),
-    1e-6 where that isn't positive. A chunk's length is the number of its tokens.
+    1e-6 where that isn't positive. A chunk's length is the number of its tokens. lengths and totals: as stored.
     """
-    spark = index.sparkSession
-    asked = spark.createDataFrame(query_terms(question) or [("", False)], "q string, is_prefix boolean")
-    lengths = index.groupBy("cid").agg(F.sum("tf").alias("dl"))
-    totals = lengths.agg(F.count("*").alias("docs"), F.avg("dl").alias("avgdl"))
-    match = F.when(F.col("is_prefix"), F.startswith("term", "q")).otherwise(F.col("term") == F.col("q"))
-    terms = index.select("term").distinct().join(F.broadcast(asked), match)  # the question's few terms
-    hits = index.join(terms, "term").groupBy("q", "cid").agg(F.sum("tf").alias("tf"))
+    asked = query_terms(question) or [("", False)]
+    lengths = index.groupBy("cid").agg(F.sum("tf").alias("dl")) if lengths is None else lengths
+    totals = _totals(lengths) if totals is None else totals
+    # conditions on the term itself reach the scan of a stored index
+    matches = [F.startswith("term", F.lit(q)) if prefix else F.col("term") == q for q, prefix in asked]
+    found = index.where(reduce(or_, matches)).select("cid", "tf", F.explode(F.array_compact(F.array(*[F.when(m, F.lit(q)) for m, (q, _) in zip(matches, asked, strict=True)]))).alias("q"))
+    hits = found.groupBy("q", "cid").agg(F.sum("tf").alias("tf"))
     df = hits.groupBy("q").agg(F.count("*").alias("n"))
-    rows = hits.join(df, "q").join(lengths, "cid").crossJoin(F.broadcast(totals))  # totals: one row
+    rows = hits.join(F.broadcast(df), "q").join(lengths, "cid").crossJoin(F.broadcast(totals))  # a row a term; one row
     idf = F.log((F.col("docs") - F.col("n") + 0.5) / (F.col("n") + 0.5))
     idf = F.when(idf <= 0, F.lit(FLOOR)).otherwise(idf)
     part = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
@@ -97,3 +119,15 @@ def changed_documents(current: DataFrame, indexed: DataFrame) -> DataFrame:
 def gone_documents(current: DataFrame, indexed: DataFrame) -> DataFrame:
     """Indexed documents whose file is no longer there."""
     return indexed.join(current.select("path"), "path", "left_anti")
+
+
+def rerank(hits: DataFrame, passages: DataFrame, question: str, embed: Callable[[Column], Column], candidates: int = 20, n: int = 5) -> DataFrame:
+    """The best ``candidates`` hits (cid, score), both sides embedded anew by one model and ordered by its cosine with the question.
+
+    embed makes a vector of a text column; passages: cid, text. The question is marked as such for the model, as are passages.
+    """
+    best = hits.orderBy(F.desc("score"), "cid").limit(candidates).select("cid", F.col("score").alias("before"))
+    asked = hits.sparkSession.range(1).select(embed(tx.for_model(F.lit(question), "query")).alias("_q"))  # one row
+    both = passages.join(F.broadcast(best), "cid").crossJoin(F.broadcast(asked))
+    scored = both.withColumn("score", vx.cosine(embed(tx.for_model(F.col("text"), "passage")), vx.normalise(F.col("_q")))).drop("_q")
+    return scored.orderBy(F.desc("score"), F.desc("before"), "cid").limit(n)

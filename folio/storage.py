@@ -1,4 +1,4 @@
-"""Cutting lineage with tables written to the shared folder."""
+"""Tables in the folder that driver and executors share: cutting lineage, and replacing a table safely."""
 
 from __future__ import annotations
 
@@ -6,13 +6,76 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir. Only on one machine, where that is unset, a folder of this machine."""
+    told = spark.conf.get("spark.checkpoint.dir", None)
+    if told:
+        return told.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return os.path.join(tempfile.gettempdir(), "folio-checkpoints")
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """df, written to the folder of spark.checkpoint.dir and read back (one of this machine only where that is unset)."""
-    spark = df.sparkSession
-    shared = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "folio-checkpoints")
-    path = f"{shared.rstrip('/')}/cut-{uuid.uuid4().hex}"
+    """df, written to the shared folder and read back."""
+    path = new_path(df.sparkSession, "cut")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+CURRENT = "_CURRENT"
+
+
+def _path(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """The folder of the version that counts; None before the first one."""
+    p, fs = _path(spark, f"{path}/{CURRENT}")
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        said = bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+    return f"{path}/{said}"
+
+
+def swap_table(spark: SparkSession, df: DataFrame, path: str) -> None:
+    """Replaces a table: the new version is written whole beside the old one, then a pointer moves in one step.
+
+    A crash before that leaves the old version in force, one after it the new one. The version before the old one goes.
+    """
+    old = current_version(spark, path)
+    name = f"v-{uuid.uuid4().hex}"
+    df.write.parquet(f"{path}/{name}")
+    draft, fs = _path(spark, f"{path}/.{name}")
+    out = fs.create(draft)
+    out.write(name.encode())
+    out.close()
+    jvm = spark.sparkContext._jvm
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(draft), fs.makeQualified(_path(spark, f"{path}/{CURRENT}")[0]), options)
+    for status in fs.listStatus(_path(spark, path)[0]):
+        kept = {name, old and old.rsplit("/", 1)[1]}
+        if status.getPath().getName().startswith("v-") and status.getPath().getName() not in kept:
+            fs.delete(status.getPath(), True)
+
+
+def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The version that counts; an empty table before the first one."""
+    at = current_version(spark, path)
+    return spark.read.schema(schema).parquet(at) if at else spark.createDataFrame([], schema)

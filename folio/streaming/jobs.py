@@ -6,58 +6,52 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folio.operators import discovery
-
-
-def swap_table(spark: SparkSession, df: DataFrame, path: str) -> None:
-    """Replaces a table only after the new one is written whole."""
-    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    new, old = fs_path(path + ".new"), fs_path(path)
-    fs = old.getFileSystem(conf)
-    df.write.mode("overwrite").parquet(path + ".new")
-    fs.delete(old, True)
-    fs.rename(new, old)
-
-
-def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
-        return spark.read.schema(schema).parquet(path)
-    return spark.createDataFrame([], schema)
+from folio.storage import read_table, swap_table
 
 
 def upsert_log(records: DataFrame, path: str, checkpoint: str, key: str, order: str, scalars: list[str], listed: str):
     """A stream of log records merged into one row per key: the last non-empty scalars, the lists in order of arrival.
 
-    The table keeps the order of each scalar's last value, so a batch seen again after a failure changes nothing.
+    Every value keeps the order of its record, list elements their place in it too, so a batch seen again after a failure
+    changes nothing, and repeated elements stay.
     """
     spark = records.sparkSession
-    kept = [f"{key} long", *[f"{c} struct<o:long,v:string>" for c in scalars], f"{listed} array<struct<o:long,v:string>>"]
-    schema = ", ".join(kept)
+    schema = log_schema(key, scalars, listed)
 
     def merge(batch: DataFrame, _: int) -> None:
         have = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")) != ""
         o = F.col(order).cast("long")
-        new = batch.select(key, *[F.when(have(c), F.struct(o.alias("o"), F.col(c).cast("string").alias("v"))).alias(c) for c in scalars], F.transform(F.coalesce(F.col(listed), F.expr("cast(array() as array<string>)")), lambda v: F.struct(o.alias("o"), v.alias("v"))).alias(listed))
-        both = read_or_empty(spark, path, schema).unionByName(new)
-        out = both.groupBy(key).agg(*[F.max(c).alias(c) for c in scalars], F.array_sort(F.array_distinct(F.flatten(F.collect_list(listed)))).alias(listed))
-        swap_table(spark, out, path)
+        elements = F.transform(F.coalesce(F.col(listed), F.expr("cast(array() as array<string>)")), lambda v, k: F.struct(o.alias("o"), k.alias("p"), v.alias("v")))
+        new = batch.select(key, *[F.when(have(c), F.struct(o.alias("o"), F.col(c).cast("string").alias("v"))).alias(c) for c in scalars], elements.alias(listed))
+        both = read_table(spark, path, schema).unionByName(new)
+        swap_table(spark, both.groupBy(key).agg(*[F.max(c).alias(c) for c in scalars], F.array_sort(F.array_distinct(F.flatten(F.collect_list(listed)))).alias(listed)), path)
 
     return records.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def log_schema(key: str, scalars: list[str], listed: str) -> str:
+    return ", ".join([f"{key} long", *[f"{c} struct<o:long,v:string>" for c in scalars], f"{listed} array<struct<o:long,p:int,v:string>>"])
+
+
 def log_rows(spark: SparkSession, path: str, key: str, scalars: list[str], listed: str) -> DataFrame:
     """The merged log as plain columns."""
-    return spark.read.parquet(path).select(key, *[F.col(f"{c}.v").alias(c) for c in scalars], F.transform(listed, lambda x: x.v).alias(listed))
+    return read_table(spark, path, log_schema(key, scalars, listed)).select(key, *[F.col(f"{c}.v").alias(c) for c in scalars], F.transform(listed, lambda x: x.v).alias(listed))
+
+
+INDEXED = "path string, sha256 string, batch long"
 
 
-def index_changes(documents: DataFrame, path: str, checkpoint: str):
-    """A stream of (path, sha256) kept as the newest state per path; unchanged documents are not written again."""
+def index_changes(documents: DataFrame, path: str, checkpoint: str, order: str | None = None):
+    """A stream of (path, sha256) kept as the newest state per path; unchanged documents are not written again.
+
+    Of several rows of a path in a batch the last by ``order`` counts, else the one with the largest digest.
+    """
     spark = documents.sparkSession
 
     def merge(batch: DataFrame, number: int) -> None:
-        known = read_or_empty(spark, path, "path string, sha256 string, batch long")
-        new = batch.select("path", "sha256").dropDuplicates(["path"]).join(known.select("path", "sha256"), ["path", "sha256"], "left_anti")
+        known = read_table(spark, path, INDEXED)
+        last = batch.groupBy("path").agg(F.max_by("sha256", F.struct(*([order] if order else []), "sha256")).alias("sha256"))
+        new = last.join(known.select("path", "sha256"), ["path", "sha256"], "left_anti")
         kept = known.join(new.select("path"), "path", "left_anti")
         swap_table(spark, kept.unionByName(new.withColumn("batch", F.lit(number).cast("long"))), path)
 

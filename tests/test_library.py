@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from folio.functions import text as tx
 from folio.operators import align, discovery, geometry, lint, markup, overlap, pages, search, snapshots, verify
 from folio.sources import readers, sinks
+from folio.storage import current_version, read_table, swap_table
 from folio.streaming import jobs
 
 
@@ -214,11 +215,13 @@ def test_sqlite_source(spark, tmp_path):
 
 
 def test_corpus_walk(spark, tmp_path):
-    for name, text in (("topic/A8NY6TA6_x.md", "# Title\nbody"), ("README.md", "no"), ("storage/x.md", "no"), ("a.txt", "no")):
+    for name, text in (("topic/A8NY6TA6_x.md", "# Title\nbody"), ("topic/a b Юг.md", "# T\n"), ("README.md", "no"), ("storage/x.md", "no"), ("a.txt", "no")):
         (tmp_path / name).parent.mkdir(exist_ok=True)
         (tmp_path / name).write_text(text)
     got = pages.document_rows(readers.corpus(spark, str(tmp_path))).collect()
-    assert [(r.path, r.key, r.title) for r in got] == [("topic/A8NY6TA6_x.md", "A8NY6TA6", "Title")]
+    assert [(r.path, r.title) for r in got if r.key != "A8NY6TA6"] == [("topic/a b Юг.md", "T")]
+    assert [(r.path, r.key, r.title) for r in got if r.key == "A8NY6TA6"] == [("topic/A8NY6TA6_x.md", "A8NY6TA6", "Title")]
+    assert {r.path for r in got} < {r.path for r in readers.listing(spark, str(tmp_path)).collect()}
 
 
 def test_byte_budget(spark):
@@ -230,7 +233,7 @@ def test_byte_budget(spark):
 def test_streamed_log_equals_the_batch_result(spark, tmp_path):
     source = tmp_path / "in"
     source.mkdir()
-    records = [(1, 1, "new", ["a"]), (2, 2, "", None), (1, 3, "", ["b"]), (1, 4, "done", None), (2, 5, "x", ["c", "d"])]
+    records = [(1, 1, "new", ["a"]), (2, 2, "", None), (1, 3, "", ["b"]), (1, 4, "done", None), (2, 5, "x", ["d", "c", "c"])]
     schema = "id long, seq long, status string, attempts array<string>"
     table, check = str(tmp_path / "log"), str(tmp_path / "check")
     for k in range(0, len(records), 2):
@@ -239,7 +242,7 @@ def test_streamed_log_equals_the_batch_result(spark, tmp_path):
         jobs.upsert_log(stream, table, check, "id", "seq", ["status"], "attempts").awaitTermination()
     got = rows(jobs.log_rows(spark, table, "id", ["status"], "attempts"))
     want = rows(discovery.merge_log(spark.createDataFrame(records, schema), "id", "seq", ["status"], "attempts"))
-    assert got == want == [(1, "done", ["a", "b"]), (2, "x", ["c", "d"])]
+    assert got == want == [(1, "done", ["a", "b"]), (2, "x", ["d", "c", "c"])]
 
 
 def test_streamed_index_skips_the_unchanged(spark, tmp_path):
@@ -249,7 +252,42 @@ def test_streamed_index_skips_the_unchanged(spark, tmp_path):
     for k, docs in enumerate(([("a", "1"), ("b", "1")], [("a", "1"), ("b", "2"), ("c", "1")])):
         (source / f"{k}.json").write_text("\n".join(json.dumps({"path": p, "sha256": s}) for p, s in docs))
         jobs.index_changes(spark.readStream.schema("path string, sha256 string").json(str(source)), table, check).awaitTermination()
-    assert [(r.path, r.sha256, r.batch == 0) for r in spark.read.parquet(table).orderBy("path").collect()] == [("a", "1", True), ("b", "2", False), ("c", "1", False)]
+    assert [(r.path, r.sha256, r.batch == 0) for r in read_table(spark, table, jobs.INDEXED).orderBy("path").collect()] == [("a", "1", True), ("b", "2", False), ("c", "1", False)]
+
+
+def test_a_killed_swap_leaves_the_table(spark, tmp_path):
+    table = str(tmp_path / "t")
+    swap_table(spark, spark.createDataFrame([(1,)], "x int"), table)
+    with pytest.raises(Exception, match="boom"):
+        swap_table(spark, spark.range(1).select(F.raise_error(F.lit("boom")).cast("int").alias("x")), table)
+    assert rows(read_table(spark, table, "x int")) == [(1,)]
+    for k in (2, 3, 4):  # reading what it replaces
+        swap_table(spark, read_table(spark, table, "x int").select((F.col("x") * 0 + k).alias("x")), table)
+    assert rows(read_table(spark, table, "x int")) == [(4,)]
+    assert len(list((tmp_path / "t").glob("v-*"))) <= 3 and current_version(spark, str(tmp_path / "none")) is None
+
+
+def test_search_in_any_script(spark):
+    texts = {1: "La oración y las canciones", 2: "قال القرآن كلمة", 3: "der Straßenbau ﬁnanziert", 4: "nothing"}
+    index = search.postings(spark.createDataFrame(list(texts.items()), "cid long, text string"))
+    found = lambda q: sorted(r.cid for r in search.bm25(index, q).collect())
+    assert found("oración") == found("ORACION") == [1] and found("canciónes") == [1]
+    assert found("القرآن") == [2] and found("Straßenbau finanz") == [3] and found("?") == []
+
+
+def test_a_stored_index_answers_alike(spark, tmp_path):
+    docs = spark.createDataFrame([(k, f"word{k % 5} common term{k % 3}") for k in range(40)], "cid long, text string")
+    search.write_index(docs, str(tmp_path / "ix"))
+    round_ = lambda df: sorted((r.cid, round(r.score, 9)) for r in df.collect())
+    assert round_(search.ask_index(spark, str(tmp_path / "ix"), "word2 termin")) == round_(search.bm25(search.postings(docs), "word2 termin")) != []
+
+
+def test_rerank_by_another_model(spark):
+    letters = lambda t: F.transform(F.split(F.lit("a b c"), " "), lambda c: F.regexp_count(t, c).cast("double"))
+    passages = spark.createDataFrame([(1, "aaab"), (2, "ccc"), (3, "abab")], "cid long, text string")
+    hits = spark.createDataFrame([(1, 1.0), (2, 3.0), (3, 2.0)], "cid long, score double")
+    got = search.rerank(hits, passages, "bbb", letters, candidates=2, n=2)
+    assert [r.cid for r in got.collect()] == [3, 2]
 
 
 def test_entry_and_keys():
