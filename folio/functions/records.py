@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import text as tx
+
 ERROR_PAGE = r"(?i)(404 not found|access denied|captcha|страница не найдена|page not found)"
 #: Kinds of secrets and their patterns.
 SECRETS = {
@@ -46,8 +48,9 @@ def excerpt_facts(text: Column, most: int) -> tuple[Column, Column, Column]:
 
 
 def partial_date(parts: Column) -> Column:
-    """Date parts joined by dashes, without padding; null parts end it."""
-    return F.array_join(F.transform(F.filter(parts, lambda p: p.isNotNull()), lambda p: p.cast("string")), "-")
+    """Date parts joined by dashes, without padding; a null part ends it."""
+    known = F.filter(parts, lambda p, k: F.forall(F.slice(parts, F.lit(1), k + 1), lambda q: q.isNotNull()))
+    return F.array_join(F.transform(known, lambda p: p.cast("string")), "-")
 
 
 def year_of(text: Column) -> Column:
@@ -102,8 +105,8 @@ def compact(text: Column) -> Column:
     return F.regexp_replace(text, "[\\s­‎‏ـً-ٰٟ]+", "")
 
 
-#: Cyrillic letters and the Latin letters that look like them.
-LOOKALIKES = ("АВЕКМНОРСТХаеорсух", "ABEKMHOPCTXaeopcyx")
+#: Cyrillic letters, an Armenian one, and the Latin letters that look like them.
+LOOKALIKES = ("АВЕКМНОРСТУХаеорсухкмтвнЅіІјЈՈ", "ABEKMHOPCTYXaeopcyxkmtbhSiIjJn")
 
 
 def latinised(text: Column) -> Column:
@@ -116,3 +119,62 @@ def has_latin(text: Column) -> Column:
 
 def has_cyrillic(text: Column) -> Column:
     return text.rlike("[А-Яа-яЁё]")
+
+
+#: What pages of a bot check say.
+BOT_WALL = r"(?i)(making sure you.re not a bot|verify you are (?:a )?human|checking your browser|just a moment|enable javascript and cookies|ddos protection)"
+
+
+def bot_wall(text: Column, most: int = 4000) -> Column:
+    """Whether a short text is the page of a bot check that was taken for a document."""
+    return text.rlike(BOT_WALL) & (F.length(text) < most)
+
+
+def endpoint_down(error: Column) -> Column:
+    """Whether an error says that the service can't be reached, not that it refused the request. error: kind, reason."""
+    unreachable = "^(ConnectionError|ConnectionRefusedError|ConnectionResetError|ConnectionAbortedError|BrokenPipeError|RemoteDisconnected)$"
+    return F.coalesce((error["kind"] != "HTTPError") & F.when(error["kind"] == "URLError", error["reason"]).otherwise(error["kind"]).rlike(unreachable), F.lit(False))
+
+
+def flat_facts(text: Column, most: int | None = None) -> Column:
+    """(text, pages, chars, full_chars, truncated, complete, flags) of a text without pages: pages is null."""
+    text = tx.clean_spaces(F.coalesce(text, F.lit("")))
+    size = F.length(text)
+    long = F.lit(False) if most is None else size > most
+    kept = text if most is None else F.substring(text, 1, most)
+    flags = F.when(long, F.array(F.lit(f"excerpt: first {most} chars"))).when(size == 0, F.array(F.lit("empty"))).otherwise(F.expr("cast(array() as array<string>)"))
+    return F.struct(kept.alias("text"), F.expr("cast(null as int)").alias("pages"), size.alias("chars"), size.alias("full_chars"), long.alias("truncated"), (~long & (size > 0)).alias("complete"), flags.alias("flags"))
+
+
+def family_names(authors: Column) -> Column:
+    """Folded family names of a list of (given, family), blank ones left out."""
+    names = F.transform(authors, lambda a: F.trim(F.coalesce(a["family"], F.lit(""))))
+    return F.transform(F.filter(names, lambda n: n != ""), tx.fold)
+
+
+def pointers(extra: Column, root: str) -> Column:
+    """What follows ``root/`` to the end of each line, trimmed."""
+    found = F.regexp_extract_all(F.coalesce(extra, F.lit("")), F.lit(r"\Q" + root + r"\E/([^\n]+)"), F.lit(1))
+    return F.transform(found, lambda x: F.trim(x))
+
+
+def without_furniture(text: Column) -> Column:
+    """Without page marks and web links, whose labels stay; at most one empty line."""
+    text = F.regexp_replace(F.regexp_replace(text, r"(?m)^\{\d+\}-+$", ""), r"\[([^\]]*)\]\(https?://[^)]*\)", "$1")
+    return F.regexp_replace(F.regexp_replace(text, r"\n{3,}", "\n\n"), r"^\s+|\s+$", "")
+
+
+def citation_context(text: Column, start: Column, end: Column, before: int = 600, after: int = 64) -> Column:
+    """The text around a place [start, end) counted from 0."""
+    first = F.greatest(start - before, F.lit(0))
+    return F.substring(text, first + 1, end + after - first)
+
+
+def compare_key(text: Column) -> Column:
+    """A paragraph with its citation numbers blanked and single blanks, for comparing versions."""
+    return F.trim(F.regexp_replace(F.regexp_replace(text, r"\[[\d–;,\- ]+\]", "[]"), r"\s+", " "))
+
+
+def rounded(x: Column, digits: int) -> Column:
+    """Rounding of the double's exact value, halves to even, as Python's round: 2.675 gives 2.67."""
+    return F.replace(F.format_number(x, digits), F.lit(","), F.lit("")).cast("double")  # rounds the binary value; casts to decimal take the printed one

@@ -114,12 +114,6 @@ def excerpt(text: Column, at: Column, span: int = 46) -> Column:
     return F.concat(F.lit("…"), F.trim(F.substring(text, start + 1, at + span - start)), F.lit("…"))
 
 
-def heading_key(text: Column) -> Column:
-    """A heading without markup, emphasis and case, for looking it up."""
-    plain = F.regexp_replace(F.regexp_replace(text, "<[^>]+>", ""), "[*_`#]+", "")
-    return F.lower(F.trim(F.regexp_replace(plain, r"\s+", " ")))
-
-
 def for_model(text: Column, kind: str) -> Column:
     """The text as models with two kinds of input take it: kind is query or passage."""
     return F.concat(F.lit(f"{kind}: "), text)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Names that never need an entry in the library.
@@ -79,3 +79,58 @@ def collection_gaps(members: DataFrame, mirrored: DataFrame) -> DataFrame:
     m = mirrored.select("key").distinct().withColumn("here", F.lit(1))
     out = members.join(m, "key", "left").groupBy("coll").agg(F.count("here").alias("have"), F.count("*").alias("total"))
     return out.where("have > 0 and have < total").withColumn("missing", F.col("total") - F.col("have"))
+
+
+def mirror_audit(files: DataFrame, pointers: DataFrame, items: DataFrame, members: DataFrame) -> DataFrame:
+    """(section, subject, detail): all findings of a mirror.
+
+    orphan: a file whose key is in the trash or unknown; uncovered: a file that nothing accounts for; folder: the topmost folders
+    with uncovered files only; missing: a pointer whose target isn't there; gap: a collection mirrored in part, with
+    what it has and should have. files: path; pointers: pointer; items: key, trashed; members: coll, key.
+    """
+    row = lambda df, section, subject, detail: df.select(F.lit(section).alias("section"), F.col(subject).cast("string").alias("subject"), detail.cast("string").alias("detail"))
+    kept = files.where(~skipped(F.col("path"))).select("path", audit_key(F.col("path")).alias("key"))
+    states = mirror_state(kept.where("key <> ''"), items)
+    live = items.where("not trashed")
+    resolved = resolve_pointers(pointers, files.select("path").unionByName(files.select(stem(F.col("path")).alias("path"))).unionByName(files.select(F.explode(ancestors(F.col("path"))).alias("path"))))
+    judged = covered(kept.select("path"), resolved.select(F.col("target").alias("pointer")), live)
+    whole = folder_rollup(judged).where("total = uncovered")
+    there = files.select(F.col("path").alias("target")).unionByName(files.select(stem(F.col("path")).alias("target"))).unionByName(files.select(F.explode(ancestors(F.col("path"))).alias("target"))).distinct()
+    missing = resolved.join(there, "target", "left_anti")
+    gaps = collection_gaps(members, states.where("state = 'live'").select("key"))
+    out = row(states.where("state <> 'live'"), "orphan", "path", F.col("state"))
+    for part in (
+        row(judged.where("not covered"), "uncovered", "path", F.lit("")),
+        row(topmost(whole), "folder", "folder", F.col("total")),
+        row(missing, "missing", "pointer", F.col("target")),
+        row(gaps, "gap", "coll", F.concat(F.col("have").cast("string"), F.lit(" of "), F.col("total").cast("string"))),
+    ):
+        out = out.unionByName(part)
+    return out
+
+
+def audit_passes(report: DataFrame, hard: tuple[str, ...] = ("orphan", "missing", "uncovered")) -> DataFrame:
+    """(findings, passed): one row; the audit fails on any finding of the hard sections."""
+    return report.agg(F.count("*").alias("findings"), (F.count_if(F.col("section").isin(*hard)) == 0).alias("passed"))
+
+
+def library_manifest(items: DataFrame, collections: DataFrame, members: DataFrame, children: DataFrame) -> DataFrame:
+    """(section, place, line) of a library's list in markdown: counts by type, then by collection path the titles in order
+    of their lower case, each with its attachments and notes. place orders a section.
+
+    items: key, kind, title; collections: key, path; members: coll, key; children: parent, kind (attachment or note).
+    """
+    kinds = items.groupBy("kind").agg(F.count("*").alias("n"))
+    head = kinds.select(F.lit("").alias("section"), F.struct((-F.col("n")).cast("string").alias("a"), F.col("kind").alias("b")).alias("o"), F.concat(F.lit("- "), "kind", F.lit(": "), F.col("n").cast("string")).alias("line"))
+    own = children.groupBy("parent").agg(F.count_if(F.col("kind") == "attachment").alias("atts"), F.count_if(F.col("kind") == "note").alias("notes"))
+    rows = members.join(collections.select(F.col("key").alias("coll"), "path"), "coll").join(items.select("key", "title"), "key").join(own, F.col("key") == F.col("parent"), "left")
+    count = lambda c: F.coalesce(c, F.lit(0)).cast("string")
+    line = F.concat(F.lit("- "), "title", F.lit(" ("), count(F.col("atts")), F.lit(" files, "), count(F.col("notes")), F.lit(" notes)"))
+    body = rows.select(F.col("path").alias("section"), F.struct(F.lower("title").alias("a"), F.col("key").cast("string").alias("b")).alias("o"), line.alias("line"))
+    w = Window.partitionBy("section").orderBy("o")
+    return head.unionByName(body).select("section", F.row_number().over(w).alias("place"), "line")
+
+
+def failures_first(rows: DataFrame, why: str, key: str) -> DataFrame:
+    """Rows with a reason before those without, by key each."""
+    return rows.orderBy(F.coalesce(F.col(why), F.lit("")) == "", key)

@@ -101,3 +101,15 @@ def merge_log(records: DataFrame, key: str, order: str, scalars: list[str], list
     last = [F.max_by(c, F.when(F.coalesce(F.col(c).cast("string"), F.lit("")) != "", F.col(order))).alias(c) for c in scalars]
     ordered = F.array_sort(F.collect_list(F.struct(order, listed)))
     return records.groupBy(key).agg(*last, F.flatten(F.transform(ordered, lambda x: F.coalesce(x[listed], F.expr("cast(array() as array<string>)")))).alias(listed))
+
+
+def resolve_dois(wanted: DataFrame, candidates: DataFrame) -> DataFrame:
+    """(id, status, doi, overlap) of every wanted entry: resolved, unresolved with the best candidate, or without any."""
+    best = best_candidates(wanted, candidates).select("id", "doi", "overlap", "resolved")
+    out = wanted.select("id").join(best, "id", "left")
+    return out.select("id", F.when(F.coalesce("resolved", F.lit(False)), "resolved").otherwise("unresolved").alias("status"), "doi", "overlap")
+
+
+def doi_list(resolved: DataFrame) -> DataFrame:
+    """(doi): the resolved ones, each once."""
+    return resolved.where("status = 'resolved'").select(normal_doi(F.col("doi")).alias("doi")).distinct()

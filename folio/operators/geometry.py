@@ -83,3 +83,30 @@ def widest_gap(taken: DataFrame, low: int, high: int) -> DataFrame:
     free = free.withColumn("run", F.col("bin") - F.row_number().over(Window.partitionBy("page").orderBy("bin")))
     runs = free.groupBy("page", "run").agg(F.min("bin").alias("start"), F.count("*").alias("length"))
     return runs.groupBy("page").agg(F.max(F.struct("length", (-F.col("start")).alias("before"))).alias("x")).select("page", (-F.col("x.before")).alias("start"), F.col("x.length").alias("length"))
+
+
+def spread_clusters(values: Column, eps: float) -> Column:
+    """greedy_clusters with spread, the largest distance of a member from the representative."""
+    own = F.filter(values, lambda v: v.isNotNull())
+    clusters = greedy_clusters(own, eps)
+    # ascending clusters are apart: a value belongs to the last one whose representative isn't above it
+    last = lambda c, k: F.coalesce(F.array_max(F.filter(own, lambda v: (v >= c.rep) & (v - c.rep <= eps))) - c.rep, F.lit(0.0))
+    return F.transform(clusters, lambda c, k: F.struct(c.rep.alias("rep"), c.n.alias("n"), last(c, k).alias("spread")))
+
+
+def content_box(pixels: DataFrame, threshold: int, least: float, width: int, height: int) -> DataFrame:
+    """(id, x0, y0, x1, y1) of what is darker than the threshold: from the first to the last column and row in which
+    that holds for the share ``least`` of pixels, one at least; blank pages have no row. pixels: id, x, y, gray."""
+    dark = pixels.where(F.col("gray") < threshold)
+
+    def ends(axis: str, size: int) -> DataFrame:
+        full = dark.groupBy("id", axis).agg(F.count("*").alias("n")).where(F.col("n") >= max(1, int(least * size)))
+        return full.groupBy("id").agg(F.min(axis).alias(f"{axis}0"), (F.max(axis) + 1).alias(f"{axis}1"))
+
+    return ends("x", height).join(ends("y", width), "id").select("id", "x0", "y0", "x1", "y1")
+
+
+def spine_range(spines: DataFrame, by: str, value: str) -> DataFrame:
+    """(by, median, low, high); the median is the upper of two."""
+    ordered = F.array_sort(F.collect_list(value))
+    return spines.groupBy(by).agg(ordered.alias("v")).select(by, F.get("v", F.expr("size(v) div 2")).alias("median"), F.get("v", F.lit(0)).alias("low"), F.element_at("v", -1).alias("high"))

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folio.functions import text as tx
 
+from .align import ratio
+
 SENTENCE_END = "(?<=[.!?…])\\s+(?=[«\"'(\\[]?\\p{L})"
 
 
@@ -112,3 +115,50 @@ def stubs(paras: DataFrame, abbreviations: list[str], limit: int) -> DataFrame:
     n = lambda c: F.size(tx.letter_words(c))
     rows = s.select("doc", "para", F.explode(F.array(F.struct(F.lit("opener").alias("place"), n(F.get("s", F.lit(0))).alias("words")), F.struct(F.lit("closer").alias("place"), n(F.element_at("s", -1)).alias("words")))).alias("x"))
     return rows.select("doc", "para", "x.place", "x.words").where(F.col("words") <= limit)
+
+
+def similar_sentences(items: DataFrame, floor: float = 0.75, shared: int = 3, share_cap: float = 0.08) -> DataFrame:
+    """(doc, i, j, ratio): sentences of a document that nearly repeat. items: doc, i, key (the text compared), w (its words).
+
+    Candidates share rare words; lengths differ by half of the first's at most; the ratio isn't symmetric, i stands first.
+    """
+    pairs = similar_candidates(items, shared, share_cap)
+    keys = lambda i, k: items.select("doc", F.col("i").alias(i), F.col("key").alias(k))
+    both = pairs.join(keys("i", "ki"), ["doc", "i"]).join(keys("j", "kj"), ["doc", "j"])
+    both = both.where(F.abs(F.length("ki") - F.length("kj")) <= F.length("ki") * 0.5)
+    return both.select("doc", "i", "j", ratio("ki", "kj").alias("ratio")).where(F.col("ratio") >= floor)
+
+
+def unglossed(texts: DataFrame, terms: list[str], window: int = 200, id_col: str = "doc", text_col: str = "text") -> DataFrame:
+    """(doc, term, at): terms whose first use has no parenthesis within half the window on either side; at counts from 0."""
+
+    def first_use(term: str) -> Column:
+        before = F.regexp_extract(text_col, r"(?isu)^(.*?)(?<!\p{L})" + re.escape(term), 1)
+        return F.when(F.col(text_col).rlike(r"(?iu)(?<!\p{L})" + re.escape(term)), F.length(before))
+
+    rows = texts.select(F.col(id_col).alias("doc"), F.col(text_col).alias("t"), F.explode(F.array(*[F.struct(F.lit(t).alias("term"), first_use(t).alias("at")) for t in terms])).alias("x"))
+    rows = rows.select("doc", "t", "x.*").where("at is not null")
+    start = F.greatest(F.col("at") - window // 2, F.lit(0))
+    near = F.substring(F.col("t"), start + 1, F.col("at") + F.length("term") + window // 2 - start)
+    return rows.where(~near.rlike("[()]")).select("doc", "term", "at")
+
+
+#: Checks whose findings fail a text under the strict gate.
+HARD = ("banned", "similar", "glossing")
+
+
+def prose_report(paras: DataFrame, checks: dict[str, Callable[[DataFrame], DataFrame]], only: list[str] | None = None) -> DataFrame:
+    """(doc, check, note) of the registered checks, or of those named. A check makes (doc, note) of paragraphs."""
+    if unknown := set(only or ()) - set(checks):
+        raise ValueError(f"unknown checks: {sorted(unknown)}")
+    parts = [f(paras).select("doc", F.lit(name).alias("check"), "note") for name, f in checks.items() if only is None or name in only]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def strict_gate(report: DataFrame, hard: tuple[str, ...] = HARD) -> DataFrame:
+    """(doc, findings, hard, passed): a document passes without findings of hard checks."""
+    hits = F.sum(F.col("check").isin(*hard).cast("long"))
+    return report.groupBy("doc").agg(F.count("*").alias("findings"), hits.alias("hard")).withColumn("passed", F.col("hard") == 0)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
-from html import unescape
 from html.parser import HTMLParser
+from itertools import zip_longest
+from urllib.parse import urljoin
 
 import pandas as pd
 from pyspark.sql import Column
@@ -13,14 +14,26 @@ from pyspark.sql import types as T
 
 INLINE_MARKS = {"b": "**", "strong": "**", "big": "**", "i": "*", "em": "*", "del": "~~", "code": "`", "chem": "`"}
 RAW_MARKS = {"sup": "^", "sub": "_"}
+#: (Both fixed values: markdown's own marks.)
 #: Elements that end the paragraph they stand in.
 BREAKING = {"p", "div", "table", "ul", "ol", "hr", "pre", "h1", "h2", "h3", "h4", "h5", "h6", "li", "body", "section", "article"}
 SILENT = {"script", "style", "head", "title"}
 HARD_BREAK = "\x00"
+HREF = re.compile(r"""(<a\b[^>]*?href=["'])([^"']*)(["'])""", re.I)
 
 
-def _spaced(text: str, hard: str = "  \n") -> str:
-    return hard.join(" ".join(part.split()) for part in text.split(HARD_BREAK)).strip()
+#: White space that collapses to one blank; a run that holds a hard break collapses to that.
+BLANKS = re.compile(f"[\\s{HARD_BREAK}]+")
+#: Two equal marks that touch: one run ends where the next begins.
+TOUCHING = re.compile(r"\*{4}|~{4}")
+
+
+def one_line(text: str) -> str:
+    return BLANKS.sub(" ", text).strip()
+
+
+def with_breaks(text: str) -> str:
+    return BLANKS.sub(lambda m: "  \n" if HARD_BREAK in m[0] else " ", text).strip()
 
 
 class Markdown(HTMLParser):
@@ -56,15 +69,13 @@ class Markdown(HTMLParser):
         raw = "".join(self.buffers[0][2])
         self.buffers[0][2].clear()
         if self.lists:
-            said = " ".join(raw.replace(HARD_BREAK, " ").split())
+            said = one_line(raw)
             pad = "   " * (len(self.lists) - 1)
             if said:
                 self.blocks.append(pad + self.lists[-1][2] + said)
                 self.lists[-1][2] = ""
             return
-        said = " ".join(raw.replace(HARD_BREAK, " ").split()) if self.heading else _spaced(raw)
-        for doubled in ("****", "~~~~"):
-            said = said.replace(doubled, "")
+        said = TOUCHING.sub("", one_line(raw) if self.heading else with_breaks(raw))
         if said:
             self.blocks.append(f"{self.heading} {said}".strip())
 
@@ -162,31 +173,39 @@ class Markdown(HTMLParser):
         elif any(tag == b[0] for b in self.buffers[1:]):
             self.close_inline(tag)
 
+    def result(self) -> str:
+        """All blocks, those that the text leaves open included, an empty line between them."""
+        self.flush()
+        if self.rows:
+            self.end_cell()
+            self.blocks.append(pipe_table(self.rows))
+        out = ""
+        for block in filter(str.strip, self.blocks):
+            out += ("\n\n" if out else "") + block.rstrip()
+        return out
+
     def end_cell(self) -> None:
         if self.cell is not None and self.rows:
-            self.rows[-1].append(" ".join("".join(self.cell).replace(HARD_BREAK, " ").split()))
+            self.rows[-1].append(one_line("".join(self.cell)))
         self.cell = None
 
 
 def pipe_table(rows: list[list[str]]) -> str:
     """Rows with any text, padded to one width; the first is the header."""
-    rows = [r for r in rows if any(r)]
-    if not rows:
+    said = [row for row in rows if any(row)]
+    if not said:
         return ""
-    width = max(map(len, rows))
-    lines = ["| " + " | ".join(r + [""] * (width - len(r))) + " |" for r in rows]
-    return "\n".join([lines[0], "| " + " | ".join(["---"] * width) + " |", *lines[1:]])
+    columns = list(zip_longest(*said, fillvalue=""))
+    line = lambda cells: f"| {' | '.join(cells)} |"
+    head, *body = zip(*columns, strict=True)
+    return "\n".join(map(line, [head, ["---"] * len(columns), *body]))
 
 
 def to_markdown(html: str | None) -> str:
     writer = Markdown()
     writer.feed(html or "")
     writer.close()
-    writer.flush()
-    if writer.rows:
-        writer.end_cell()
-        writer.blocks.append(pipe_table(writer.rows))
-    return "\n\n".join(b for b in (x.rstrip() for x in writer.blocks) if b.strip())
+    return writer.result()
 
 
 def tables_to_pipes(text: str | None) -> str:
@@ -199,16 +218,6 @@ def markdown_of(html: pd.Series) -> pd.Series:
     return html.map(to_markdown)
 
 
-@F.pandas_udf(T.StringType())
-def piped_tables(text: pd.Series) -> pd.Series:
-    return text.map(tables_to_pipes)
-
-
-@F.pandas_udf(T.StringType())
-def unescaped(text: pd.Series) -> pd.Series:
-    return text.map(lambda t: unescape(t or ""))
-
-
 def text_of(html: Column) -> Column:
     """Plain text without scripts, styles and page furniture: block ends become line ends. Built-in functions only; entities stay."""
     out = F.regexp_replace(F.coalesce(html, F.lit("")), r"(?is)<!--.*?-->|<(script|style|noscript|nav|header|footer)\b[^>]*>.*?</\1\s*>", " ")
@@ -217,7 +226,14 @@ def text_of(html: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(out, r" ?\n[ \n]*", "\n"), r"^\s+|\s+$", "")
 
 
-def links_text(html: Column) -> Column:
-    """Plain text in which links read 'label [target]' and cells are parted by bars."""
+@F.pandas_udf(T.StringType())
+def absolute_links(html: pd.Series, base: pd.Series) -> pd.Series:
+    """The targets of links, resolved against the address of their page."""
+    return pd.Series([HREF.sub(lambda m, b=b: m[1] + urljoin(b or "", m[2]) + m[3], h or "") for h, b in zip(html, base, strict=True)], dtype="object")
+
+
+def links_text(html: Column, base: Column | None = None) -> Column:
+    """Plain text in which links read 'label [target]' and cells are parted by bars; with a base, targets are absolute."""
+    html = html if base is None else absolute_links(html, base)
     out = F.regexp_replace(html, r"(?is)<a\b[^>]*?href=[\"']([^\"']*)[\"'][^>]*>(.*?)</a\s*>", "$2 [$1]")
     return text_of(F.regexp_replace(out, r"(?i)</t[dh]\s*>\s*<t[dh][^>]*>", " | "))

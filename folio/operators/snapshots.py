@@ -157,3 +157,41 @@ def unexpected_after_purge(before: DataFrame, after: DataFrame, purged: DataFram
 def advance_base(spark: SparkSession, base: DataFrame, proposed: DataFrame, accepted: list[bool]) -> DataFrame:
     """The new common base: the proposed state once every peer has accepted it, else the old one."""
     return proposed if accepted and all(accepted) else base
+
+
+def same_state(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(same): one row, whether two states are equal, that is, their delta is empty."""
+    return delta(left, right).agg((F.count("*") == 0).alias("same"))
+
+
+def collection_payload(collections: DataFrame, relations: DataFrame) -> DataFrame:
+    """(key, payload): name, parent and the sorted distinct relations of a collection as one comparable text."""
+    own = relations.groupBy("key").agg(F.array_sort(F.collect_set("relation")).alias("relations"))
+    rows = collections.join(own, "key", "left").withColumn("relations", F.coalesce("relations", F.expr("cast(array() as array<string>)")))
+    return rows.select("key", F.to_json(F.struct("name", "parent", "relations")).alias("payload"))
+
+
+def note_keys(notes: DataFrame, items: DataFrame, parent_key: str) -> DataFrame:
+    """(key) of the notes below an item; notes: item, parent; items: id, key."""
+    parent = items.where(F.col("key") == parent_key).select(F.col("id").alias("parent"))
+    return notes.join(parent, "parent", "left_semi").join(items.select(F.col("id").alias("item"), "key"), "item").select("key")
+
+
+def empty_trash(nodes: DataFrame, trashed: DataFrame, memberships: DataFrame, lookups: dict[str, tuple[DataFrame, DataFrame, str]]) -> dict[str, DataFrame]:
+    """What is left once the trash is emptied, and proof of it.
+
+    nodes: key, parent; trashed: key; memberships: coll, key; lookups by name: (rows, uses with a column key, column). With the
+    trashed nodes all below them go, their memberships and uses, and lookup rows that nothing uses any longer.
+    Result: nodes, memberships, removed, a table per lookup, and problems (kind, key): what refers to something gone.
+    """
+    gone = cut(closure(nodes, trashed).select("key"))
+    left = nodes.join(gone, "key", "left_anti")
+    members = memberships.join(gone, "key", "left_anti").select(*memberships.columns)
+    out = {"nodes": left, "memberships": members, "removed": gone}
+    problems = dangling(left, "parent", left, "key").select(F.lit("parent").alias("kind"), F.col("key").cast("string").alias("key"))
+    problems = problems.unionByName(dangling(members, "key", left, "key").select(F.lit("membership").alias("kind"), F.col("key").cast("string").alias("key")))
+    for name, (rows, uses, column) in lookups.items():
+        own = uses.join(gone, "key", "left_anti")
+        out[name] = rows.join(own.select(column).distinct(), column, "left_semi")
+        problems = problems.unionByName(dangling(own, column, out[name], column).select(F.lit(name).alias("kind"), F.col("key").cast("string").alias("key")))
+    return out | {"problems": problems}

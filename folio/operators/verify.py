@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from folio.functions import text as tx
 
 ANCHOR = r"[—–-]\s*(?:с|стр|p|pp)\.\s*(\d+(?:\s*[—–-]\s*\d+)?)\s*$"
-DOI = r"10\.[0-9]{4,9}/[^\s\"'<>{}()\[\]]+"
+#: Page anchors of quotations, and identifiers.
+DOI = r"(?i)\b10\.[0-9]{4,9}/[^\s\"'<>{}()\[\]]+"
 #: Characters that formatting varies and meaning doesn't.
 QUOTES_AND_EMPHASIS = "«»“”„\"'*_`­"
 
@@ -30,6 +31,43 @@ def quote_rows(drafts: DataFrame, id_col: str = "id", text_col: str = "text") ->
     return rows.select("id", "n", F.trim(F.regexp_replace("flat", ANCHOR, "")).alias("quote"), pages.alias("pages"))
 
 
+BARE_NUMBER = r"(?m)^[ \t]*(\d{1,4})[ \t]*$"
+
+
+def source_pages(pages: DataFrame, printed: bool = True, last: bool = True) -> DataFrame:
+    """(id, page, body) keyed by the printed page number, the last or first line of digits alone; pages without one
+    are left out. Else keyed by their mark. Number lines and heading marks are removed. Of pages with one key the last counts.
+    """
+    numbers = F.regexp_extract_all("body", F.lit(BARE_NUMBER), F.lit(1))
+    key = (F.element_at(F.when(F.size(numbers) > 0, numbers), -1 if last else 1).cast("int")) if printed else F.col("page")
+    body = F.regexp_replace(F.regexp_replace("body", BARE_NUMBER, ""), r"(?m)^#+\s*", "")
+    rows = pages.select("id", key.alias("key"), F.col("page").alias("mark"), body.alias("body")).where("key is not null")
+    return rows.groupBy("id", "key").agg(F.max_by("body", "mark").alias("body")).withColumnRenamed("key", "page")
+
+
+def verify_quotes(drafts: DataFrame, pages: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:
+    """A row per draft: declared, quotes, failed, ambiguous, control, passed.
+
+    Anchors without a quote make the draft fail, so do missing segments, and a negative control that passes: the
+    first good quote of eight words or more, its middle word spoilt, must not be found. Ambiguous quotes stand on other
+    pages too; that is no failure. control: ok, broken or not run.
+    """
+    anchors = F.size(F.regexp_extract_all(F.concat(F.col(text_col), F.lit("\n")), F.lit(r"(?m)^>.*" + ANCHOR), F.lit(0)))
+    declared = drafts.select(F.col(id_col).alias("id"), anchors.cast("long").alias("declared"))
+    quotes = quote_rows(drafts, id_col, text_col)
+    checked = check_quotes(quotes, pages)
+    good = quotes.join(checked.where("ok").select("id", "n"), ["id", "n"])
+    control = good.withColumn("quote", corrupted(F.col("quote"))).where("quote is not null")
+    first = control.groupBy("id").agg(F.min("n").alias("n"))
+    control = check_quotes(control.join(first, ["id", "n"]), pages).select("id", F.when(F.col("ok"), "broken").otherwise("ok").alias("control"))
+    doubtful = elsewhere(good, pages).groupBy("id").agg(F.count_distinct("n").alias("ambiguous"))
+    sums = checked.groupBy("id").agg(F.count("*").alias("quotes"), F.sum((~F.col("ok")).cast("long")).alias("failed"))
+    out = declared.join(sums, "id", "left").join(doubtful, "id", "left").join(control, "id", "left")
+    zero = F.lit(0).cast("long")
+    out = out.select("id", "declared", *[F.coalesce(c, zero).alias(c) for c in ("quotes", "failed", "ambiguous")], F.coalesce("control", F.lit("not run")).alias("control"))
+    return out.withColumn("passed", (F.col("declared") == F.col("quotes")) & (F.col("quotes") > 0) & (F.col("failed") == 0) & (F.col("control") != "broken"))
+
+
 def segments(quote: Column, least: int = 12) -> Column:
     """The parts between ellipses, trimmed of marks, longer than ``least``."""
     parts = F.split(plain(quote), r"\[…\]|\[\.\.\.\]|…|\.\.\.")

@@ -27,7 +27,7 @@ def f31_html_text(spark, sf):
 
 @query("f33_html_links")
 def f33_html_links(spark, sf):
-    return table(spark, sf, "pages").select("page_id", mk.links_text(F.col("html")).alias("text"))
+    return table(spark, sf, "pages").select("page_id", mk.links_text(F.col("html"), F.col("url")).alias("text"))
 
 
 @query("f36_similarity_ratio")
