@@ -5,8 +5,7 @@ from __future__ import annotations
 import ctypes
 import gc
 import os
-import tempfile
-import uuid
+import re
 from collections.abc import Callable, Iterator
 from pathlib import Path
 from typing import TypeVar
@@ -17,6 +16,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folio.storage import new_path, shared_folder
+
 T = TypeVar("T")
 #: What a Python worker gets at once, at most (a single longer text still comes whole).
 BATCH_BYTES, BATCH_ROWS = 16 << 20, 5_000
@@ -39,34 +40,23 @@ def prepare(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share."""
-    told = spark.conf.get("spark.checkpoint.dir", None)
-    return told or os.path.join(tempfile.gettempdir(), "folio-checkpoints")
-
-
-def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder, for a written table."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """df, written as Parquet to the shared folder and read back: lineage is cut, replicas are the store's."""
     spark = df.sparkSession
-    path = new_folder(spark, name)
+    path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def remove(spark: SparkSession, df: DataFrame) -> None:
-    """Deletes a table of ``written`` that nothing reads any longer."""
+    """Deletes the tables of ``written`` that df is read from and nothing else reads any longer."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
+    plain = lambda path: re.sub("^file:/+", "/", path)
     for folder in {os.path.dirname(f) for f in df.inputFiles()}:
-        if "/folio-" not in folder and not folder.startswith(shared_folder(spark)):
-            continue
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
+        if os.path.dirname(plain(folder)) == plain(shared_folder(spark)):
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
 
 
 #: What this Python worker holds between tasks: one table, of the operator that ran last.

@@ -2,11 +2,11 @@
 
 For each language a dictionary of raw text is held by zstandard; a text, reduced to lower-case words, is
 cut into pieces of ``PIECE_BYTES`` and every piece compressed with each language's dictionary. The language
-with the fewest bytes over the whole text wins. A narrow margin to the second language rejects the text; for
-texts of one piece it is measured once more with a finer compressor.
+with the fewest bytes over the whole text wins. Where the margin to the second language is narrow, all pieces are
+measured once more with a finer compressor; a margin that stays narrow rejects the text.
 
 The dictionaries come from a bounded sample: of each language the rows with the smallest hash in each of
-``SLOTS`` slots, up to ``DICT_BYTES`` a language. Everything else sees every row and whole texts.
+``SLOTS`` slots, and of a row ``SLICES`` places spread over the text, up to ``DICT_BYTES`` a language. Everything else sees every row and whole texts.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0 and rejected. Ties go to
 the language that sorts first (score 0, rejected). Repeated rows repeat their result. An empty table, or
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .common import crc32_bucket, text_of
 
-SLOTS, DICT_BYTES, SAMPLE_CHARS = 96, 110_000, 4_000
+SLOTS, DICT_BYTES, SAMPLE_CHARS, SLICES = 96, 110_000, 4_000, 8
 PIECE_BYTES, LEVEL = 512, 6
 NO_LETTERS = re.compile(r"[\W\d_]+")
 #: Rejected when the best language saves less than this share of the second best's bytes.
@@ -43,7 +43,11 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     if langs > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     picked = rows.join(F.broadcast(first), ["l", "s", "h"], "left_semi")  # at most MAX_LANGUAGES * SLOTS keys of 24 bytes
-    texts = picked.select("l", "s", "i", F.substring("t", 1, SAMPLE_CHARS).alias("t")).groupBy("l", "s").agg(F.min(F.struct("i", "t")).alias("x")).select("l", "s", "x.t").collect()
+    # SLICES places spread over the text, or all of a shorter one
+    size = SAMPLE_CHARS // SLICES
+    step = F.greatest(F.floor((F.length("t") - size) / (SLICES - 1)), F.lit(size))
+    sample = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(SLICES - 1)), lambda k: F.substring(F.col("t"), (k * step + 1).cast("int"), F.lit(size))), "")
+    texts = picked.select("l", "s", "i", sample.alias("t")).groupBy("l", "s").agg(F.min(F.struct("i", "t")).alias("x")).select("l", "s", "x.t").collect()
     out: dict[str, bytes] = {}
     for lang, _, text in sorted(texts):
         out[lang] = (out.get(lang, b"") + reduced(text).encode("utf-8", "replace") + b" ")[:DICT_BYTES]
@@ -55,7 +59,7 @@ def reduced(text: str) -> str:
     return NO_LETTERS.sub(" ", text.lower()).strip()
 
 
-#: Before short texts: zstandard stores what it cannot shrink by some bytes as it is, with any dictionary; after bytes that
+#: Before a piece: zstandard stores what it cannot shrink by some bytes as it is, with any dictionary; after bytes that
 #: do shrink, the few that a dictionary saves count.
 CARRIER = bytes(64)
 
@@ -78,9 +82,9 @@ class Classifier:
     def ranked(self, raw: bytes) -> list[tuple[int, str]]:
         pieces = [raw[k : k + PIECE_BYTES] for k in range(0, len(raw), PIECE_BYTES)]
         out = sorted(zip([sum([len(c(p)) for p in pieces]) for c in self.by], self.langs, strict=True))
-        if len(pieces) == 1 and len(out) > 1 and out[1][0] - out[0][0] < MARGIN * out[1][0]:
-            padded = CARRIER + b" " + raw + b" "
-            out = sorted(zip([len(c(padded)) for c in self.fine], self.langs, strict=True))
+        if len(out) > 1 and out[1][0] - out[0][0] < MARGIN * out[1][0]:
+            pieces = [CARRIER + b" " + p + b" " for p in pieces]
+            out = sorted(zip([sum([len(c(p)) for p in pieces]) for c in self.fine], self.langs, strict=True))
         return out
 
     def predict(self, text: str | None) -> tuple[str, float, float, bool]:

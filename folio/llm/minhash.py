@@ -260,25 +260,32 @@ def link_nodes(signs: DataFrame, texts_of, width: int, percent: int, miss: float
     comps = written(members.select("node").distinct().withColumn("comp", F.col("node")), "comps")
     if not comps.limit(1).count():
         return None
-    texts, tested = texts_of(comps.select("node")), None
+    texts, tested, left = texts_of(comps.select("node")), None, [members]
     for hubs in (1, HUBS, None):
         active = written(_active(members), "active")
+        left.append(active)
         if not active.limit(1).count():
             break
         if hubs == HUBS:  # most nodes are done by now; the rest needs no more than its own signatures and texts
             live = written(active.select("node").distinct(), "live")
+            left += [live, texts]
             signs = written(signs.join(live, "node", "left_semi"), "signs")
             texts = written(texts.join(live, "node", "left_semi"), "texts")
+            left.append(signs)
         pairs = _pairs(active, hubs, percent)
         pairs = written(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
         links = written(verified(surviving(pairs, signs, percent / 100, miss, n), texts, width, percent), "links")
+        left += [pairs, links]
         members = active.drop("all", "low")
         if links.limit(1).count():
             ends = links.join(comps.select(F.col("node").alias("a"), F.col("comp").alias("ca")), "a").join(comps.select(F.col("node").alias("b"), F.col("comp").alias("cb")), "b")
             roots = components(ends.select(F.col("ca").alias("a"), F.col("cb").alias("b")).where("a != b").distinct()).select(F.col("node").alias("comp"), "root")
             joined = lambda rows: rows.join(roots, "comp", "left").withColumn("comp", F.coalesce("root", "comp")).drop("root")
+            left += [comps, roots]
             comps, members = written(joined(comps), "comps"), joined(members)
+    for df in [*left, texts]:
+        remove(df.sparkSession, df)
     return comps
 
 

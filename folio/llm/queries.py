@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from . import exact_dedup, langid, license_scan, line_dedup, media, minhash, packing, sp_codec, toxicity, url_rules
 from .common import prepare
 
-#: Where the public vocabularies lie; a parameter of the queries.
-TOKENIZERS = os.environ.get("FOLIO_TOKENIZERS", "/opt/tokenizers")
+#: A folder that has the public vocabularies, where they aren't installed.
+TOKENIZERS = os.environ.get("FOLIO_TOKENIZERS")
 
 #: The rules of the url query, as (verdict, host, path prefix).
 URL_RULES = [
@@ -23,7 +23,11 @@ URL_RULES = [
 
 
 def vocabulary(name: str) -> str:
-    return os.path.join(TOKENIZERS, name)
+    if TOKENIZERS:
+        return os.path.join(TOKENIZERS, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

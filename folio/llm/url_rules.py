@@ -1,7 +1,8 @@
 """URL filtering by host and path rules: a sort-merge range join.
 
-A rule (host, path prefix) fits its host and all subdomains. With the host's labels reversed, host and
-path make one key in which every rule is an interval: the keys that start with it. A url stands once for
+A rule (host, path prefix) fits its host and all subdomains; without a path it fits all paths. With the host's labels
+reversed and ended by a mark that sorts below all else, host and path make one key in which every rule is an interval: the
+keys that start with it. A url stands once for
 each suffix of its host, so subdomains meet the rule of every parent host. Keys are range-partitioned and
 sorted; a sweep walks keys and rules together and keeps a stack of the rules that are open at the place it
 has reached. Rules are nested or disjoint, so the top of the stack is the longest one.
@@ -27,6 +28,8 @@ from pyspark.sql import functions as F
 
 ALLOW, BLOCK = "allow", "block"
 RULES_PER_SWEEP = 50_000
+#: Ends the host of a key, so that no rule for "com" fits "computer".
+HOST_END = "\x00"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -60,10 +63,10 @@ def sweep(keys: Iterable[str], rules: list[tuple[str, int]]) -> Iterator[int]:
 
 
 def _swept(keys: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:
-    """(host, path, rank, rule, verdict) of the keys that a rule of this block fits."""
+    """(host, path, rank, host_rank, rule, verdict) of the keys that a rule of this block fits."""
     keyed: dict[str, int] = {}
     for i, (_, host, path) in enumerate(rules):
-        keyed.setdefault(reversed_host(host) + path, i)
+        keyed.setdefault(reversed_host(host) + HOST_END + path, i)
     # ordered as the sort below orders strings: by their UTF-8 bytes
     ordered = sorted(keyed.items(), key=lambda x: x[0].encode("utf-8", "surrogatepass"))
 
@@ -88,27 +91,28 @@ def _swept(keys: DataFrame, rules: list[tuple[str, str, str]]) -> DataFrame:
         of = [rules[hits[k]] for k in kept]
         hosts, paths = batch["host"].tolist(), batch["path"].tolist()
         out = pd.DataFrame({"host": [hosts[k] for k in kept], "path": [paths[k] for k in kept]}, dtype=object)
-        out["rank"] = np.array([(len(h) + len(p)) * 1000 + min(len(h), 999) for _, h, p in of], np.int64)
+        out["rank"] = np.array([len(h) + len(p) for _, h, p in of], np.int64)
+        out["host_rank"] = np.array([len(h) for _, h, _ in of], np.int64)
         out["rule"] = [h + p for _, h, p in of]
         out["verdict"] = [v for v, _, _ in of]
         return out
 
-    return keys.mapInPandas(run, "host string, path string, rank long, rule string, verdict string")
+    return keys.mapInPandas(run, "host string, path string, rank long, host_rank long, rule string, verdict string")
 
 
 def judge_urls(df: DataFrame, rules: list[tuple[str, str, str]], url_col: str = "url", default: str = ALLOW) -> DataFrame:
     """df with host, path, rule and verdict; rules are (verdict, host, path prefix)."""
     host, path = url_parts(F.col(url_col))
     df = df.drop(*[c for c in ("host", "path", "rule", "verdict") if c != url_col]).withColumns({"host": host, "path": path})
-    urls = df.select("host", "path").where(F.col("path") != "").distinct()
+    urls = df.select("host", "path").where(F.col("host") != "").distinct()
     labels = F.split("host", r"\.")
     backwards = F.reverse(labels)
-    keys = urls.select("host", "path", F.explode(F.transform(F.sequence(F.lit(1), F.size(labels)), lambda n: F.concat(F.array_join(F.slice(backwards, F.lit(1), n), "."), F.col("path")))).alias("key"))
+    keys = urls.select("host", "path", F.explode(F.transform(F.sequence(F.lit(1), F.size(labels)), lambda n: F.concat(F.array_join(F.slice(backwards, F.lit(1), n), "."), F.lit(HOST_END), F.col("path")))).alias("key"))
     keys = keys.repartitionByRange("key", "host", "path").sortWithinPartitions("key")
     blocks = [_swept(keys, rules[i : i + RULES_PER_SWEEP]) for i in range(0, max(1, len(rules)), RULES_PER_SWEEP)]
     hits = blocks[0]
     for block in blocks[1:]:
         hits = hits.unionByName(block)
-    best = hits.groupBy("host", "path").agg(F.max(F.struct("rank", "rule", "verdict")).alias("_best"))
+    best = hits.groupBy("host", "path").agg(F.max(F.struct("rank", "host_rank", "rule", "verdict")).alias("_best"))
     out = df.join(best, ["host", "path"], "left")
     return out.select(*df.columns, F.col("_best.rule").alias("rule"), F.coalesce("_best.verdict", F.lit(default)).alias("verdict"))

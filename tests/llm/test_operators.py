@@ -419,3 +419,148 @@ def test_stages_keep_the_columns(spark, docs):
         assert after.columns == docs.columns, name
         now = spark.createDataFrame(after.collect(), docs.schema)
     assert p.STAGES[-1][1](spark, now, sf_dir).count() >= now.count()
+
+
+# ids beside nulls, and groups that lie below the threshold
+
+BIG = [(None, "alpha beta gamma delta"), ((1 << 60) + 1, "alpha beta gamma delta"), ((1 << 60) + 3, "alpha beta gamma delta"), (5, None), (None, "epsilon")]
+
+
+@pytest.fixture(scope="module")
+def big(spark):
+    return spark.createDataFrame(BIG, "doc_id long, text string").coalesce(1)
+
+
+def test_large_ids_beside_null_ids(big):
+    got = {(r.doc_id, r.keep_id, r.kept) for r in exact_dedup.deduplicate(big).collect()}
+    top = (1 << 60) + 3
+    assert got == {(None, top, False), (top - 2, top, False), (top, top, True), (5, 5, True), (None, None, True)}
+    near = {(r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(big).collect()}
+    assert {x for x in near if x[0]} == {(top - 2, top - 2, True), (top, top - 2, False), (5, 5, True)}
+    assert sorted(x.doc_id or 0 for x in packing.pack_documents(big, BPE).collect()) == sorted(i or 0 for i, _ in BIG)
+
+
+def brute_components(texts, width, percent):
+    words = {i: t.lower().split() for i, t in texts.items()}
+    sets = {i: {tuple(w[k : k + width]) for k in range(len(w) - width + 1)} for i, w in words.items()}
+    root = {i: i for i in texts}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a in sorted(texts):
+        for b in sorted(texts):
+            if a < b and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {i: find(i) for i in texts}
+
+
+@pytest.mark.parametrize("edits", [(1, 2, 3), (4, 5), (2, 4, 6, 8)])
+def test_groups_mostly_below_the_threshold(spark, edits):
+    rng = random.Random(sum(edits))
+    base = [f"w{k}" for k in range(150)]
+    texts = {}
+    for i in range(120):
+        own = list(base)
+        for at in rng.sample(range(150), edits[i % len(edits)]):
+            own[at] = f"x{i}_{at}"
+        texts[i] = " ".join(own)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(df, width=3, percent=85).collect()}
+    assert got == brute_components(texts, 3, 85)
+
+
+def test_sketches_never_rule_out_a_link():
+    rng = np.random.default_rng(1)
+    for n in (3, 40, 400, 4000):
+        a = rng.integers(0, 1 << 63, n).astype(np.uint64)
+        b = np.concatenate([a[: n - n // 10], rng.integers(0, 1 << 63, n // 12).astype(np.uint64)])
+        bits = lambda s: np.unpackbits(np.frombuffer(minhash.sketch(s), np.uint8))
+        assert (bits(a) != bits(b)).sum() <= len(np.setxor1d(a, b))
+
+
+# host rules
+
+
+def test_rules_without_a_path(spark):
+    urls = ["http://bad.com", "http://bad.com/x", "http://a.bad.com?q", "http://notbad.com/", "http://x.computer/z", "http://bad.community/y", "http://ok.org", "ftp://a.b.ok.org/p/q"]
+    df = spark.createDataFrame([(k, u) for k, u in enumerate(urls)], "page_id long, url string")
+    got = url_rules.judge_urls(df, [("block", "bad.com", ""), ("block", "com", "/x"), ("block", "org", ""), ("allow", "ok.org", "/p")]).orderBy("page_id").collect()
+    assert [(r.rule, r.verdict) for r in got] == [("bad.com", "block")] * 3 + [(None, "allow")] * 3 + [("org", "block"), ("ok.org/p", "allow")]
+
+
+# the choice of a language
+
+
+def test_the_smallest_encoding_wins():
+    import zstandard
+
+    dictionaries = {"x": b"lorem ipsum dolor sit amet " * 40, "y": b"quick brown fox jumps over " * 40, "z": b"zwei drei vier " * 40}
+    model = langid.Classifier(dictionaries)
+    assert [model.predict(t)[0] for t in ("ipsum dolor", "brown fox " * 200, "Drei vier.", "12 34", None, "")] == ["x", "y", "z", "und", "und", "und"]
+    for text in ("lorem fox", "vier brown sit", "dolor " * 300 + "fox"):
+        raw = langid.reduced(text).encode()
+        pieces = [raw[k : k + langid.PIECE_BYTES] for k in range(0, len(raw), langid.PIECE_BYTES)]
+        size = {}
+        for lang, data in dictionaries.items():
+            own = zstandard.ZstdCompressor(level=langid.LEVEL, dict_data=zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_checksum=False, write_content_size=False, write_dict_id=False)
+            size[lang] = sum(len(own.compress(p)) for p in pieces)
+        best, second = sorted(size.values())[:2]
+        if second - best >= langid.MARGIN * second:
+            assert model.predict(text)[0] == min(size, key=size.get)
+
+
+# toxicity: the lattice against enumerating it, and tokens that are never decoded
+
+
+def test_the_best_path_is_the_best_of_all():
+    counts = np.zeros((27, 27, 27), np.int64)
+    toxicity.count_trigrams("idiot lost toil slot still idol dolt silt list oil lot sit", counts)
+    model = toxicity.Model(toxicity.log_model(counts))
+
+    def readings(span):
+        """(log probability, word) of every path."""
+        paths = [(0.0, (0, 0), "")]
+        for at, c in enumerate(span):
+            new = []
+            k = toxicity.letter(c) if c.isalpha() else 0
+            for p, (a, b), said in paths:
+                row = model.rows[a][b]
+                options = [(x, toxicity.LETTERS[x], toxicity.ANY_VOWEL if c == "*" else toxicity.SUBSTITUTED) for x in toxicity.STANDS_FOR.get(c, "")]
+                options += [(c, k, 0.0)] if k else [(c, 0, toxicity.KEPT_ODD)] if c.isalnum() else []
+                new += [(p + cost + row[kx], (b, kx), said + x) for x, kx, cost in options]
+                if c in toxicity.SEPARATORS:
+                    new.append((p + toxicity.DROPPED_SEPARATOR, (a, b), said))
+                elif not c.isalnum():
+                    new.append((p + (toxicity.DROPPED_LEET if c in toxicity.STANDS_FOR else toxicity.DROPPED_MARK), (a, b), said))
+                elif k and k == b:
+                    long = span[at - 2 : at] == c + c or span[at - 1 : at + 2] == c + c + c
+                    new.append((p + (toxicity.DROPPED_REPEAT if long else toxicity.DROPPED_DOUBLE), (a, b), said))
+            paths = new or paths
+        return [(p + model.rows[a][b][0], said) for p, (a, b), said in paths]
+
+    rng = random.Random(6)
+    for _ in range(150):
+        span = "".join(rng.choices("idiotls10!*.-$", k=rng.randrange(1, 8)))
+        found, best = readings(span), model._decode(span)
+        assert abs(max(found)[0] - max(p for p, said in found if said == best)) < 1e-9, span
+
+
+def test_only_tokens_that_hide_no_word_are_skipped():
+    counts = np.zeros((27, 27, 27), np.int64)
+    toxicity.count_trigrams("idiot moron stupid trash plain words stand here as well", counts)
+    model = toxicity.Model(toxicity.log_model(counts), {w: 1.0 for w in ("idiot", "moron", "stupid", "trash", "été")})
+    rng, hits = random.Random(8), 0
+    for _ in range(4000):
+        word = rng.choice(["idiot", "moron", "stupid", "trash", "plain", "été", "stand"])
+        token = "".join(rng.choice([k for k, v in toxicity.STANDS_FOR.items() if c in v] or [c]) if rng.random() < 0.3 else c * rng.choice((1, 1, 1, 2, 3)) + rng.choice(("", "", ".", "-", "*")) for c in word) + rng.choice(("", "!", "7", "s"))
+        read = model.readings(token)
+        if toxicity.spread(token):
+            read = [w for x in read for w in toxicity.parts(x)]
+        want = tuple(w for w in dict.fromkeys(read) if w in model.weights)
+        hits += bool(want)
+        assert model.told(token) == want, token
+    assert hits > 500
