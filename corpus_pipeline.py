@@ -1,71 +1,5 @@
-"""A training corpus from raw documents, in five stages. Each takes (spark, docs, sf_dir) and returns a DataFrame.
+"""A training corpus from raw documents, in five stages: see ``folio.llm.pipeline``."""
 
-Every stage learns and decides on what its predecessor kept. All but the last return the columns of documents.
-"""
+from folio.llm.pipeline import ORACLE_SQL, STAGES, run
 
-from __future__ import annotations
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from folio.llm import langid, line_dedup, minhash, packing, toxicity
-from folio.llm.common import crc32_bucket, new_folder, prepare
-from folio.llm.queries import vocabulary
-
-HOLDOUT_TOXIC, HOLDOUT_LANG = 3, 5
-
-
-def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below the threshold of predicted toxicity."""
-    prepare(spark)
-    model = toxicity.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), holdout=HOLDOUT_TOXIC)
-    return docs.where(toxicity.score_column(F.col("text"), model) < toxicity.THRESHOLD)
-
-
-def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told by more than a narrow margin."""
-    prepare(spark)
-    dictionaries = langid.learn(docs.where(crc32_bucket("doc_id", HOLDOUT_LANG) != 0))
-    return docs.where(~langid.language_column(F.col("text"), dictionaries).getField("rejected"))
-
-
-def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Recurring lines dropped; a document of which nothing else is left goes."""
-    prepare(spark)
-    out = line_dedup.drop_lines(docs).where((F.col("n_dropped") == 0) | (F.trim("text") != ""))
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
-
-
-def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near-duplicates the document with the smallest id."""
-    prepare(spark)
-    kept = minhash.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-
-
-def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    prepare(spark)
-    return packing.pack_documents(docs, vocabulary("word_bpe_49k.json"))
-
-
-STAGES = [
-    ("toxicity", drop_toxic),
-    ("language", known_language),
-    ("lines", drop_boilerplate),
-    ("near_duplicates", one_of_each_group),
-    ("packing", pack),
-]
-
-#: Learned scores and tokenizers are not expressible in SQL.
-ORACLE_SQL = None
-
-
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each result is written to the shared folder and read again."""
-    prepare(spark)
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        path = new_folder(spark, f"stage-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
-    return STAGES[-1][1](spark, docs, sf_dir)
+__all__ = ["ORACLE_SQL", "STAGES", "run"]

@@ -48,7 +48,6 @@ def missing_operations(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def classify(origin: DataFrame, replica: DataFrame, base: DataFrame | None = None) -> DataFrame:
     """One row: mode and reason. The order of the tests is part of the result."""
-    spark = origin.sparkSession
     between = delta(origin, replica)
     n = lambda df: df.agg(F.count("*").alias("n"))
     if base is None:
@@ -67,7 +66,6 @@ def classify(origin: DataFrame, replica: DataFrame, base: DataFrame | None = Non
         .otherwise("conflict")
     )
     reason = F.when(F.col("apart") == 0, "the same state").when(mode == "conflict", "both changed").otherwise("one side holds the other's changes")
-    del spark
     return facts.select(mode.alias("mode"), reason.alias("reason"))
 
 

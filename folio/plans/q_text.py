@@ -120,10 +120,8 @@ def a05_assess(spark, sf):
 
 @query("g09_page_marks", f"WITH {PAGES} SELECT doc_id, marks, lines_n // 4 AS least_pages, marks >= lines_n // 4 AND NOT failed AS complete FROM (SELECT doc_id, count(*) AS marks, bool_or(body LIKE '%OCR FAILED%') AS failed FROM pages_t GROUP BY doc_id) JOIN (SELECT doc_id, CAST(len(string_split(text, chr(10))) AS BIGINT) AS lines_n FROM documents) USING (doc_id)")
 def g09_page_marks(spark, sf):
-    lines = F.size(F.split("text", "\n")).cast("long")
     docs = table(spark, sf, "documents").select("doc_id", F.expr("size(split(text, '\\n')) div 4").cast("long").alias("least_pages"))
     marks = paginated(spark, sf).select("doc_id", F.regexp_count("text", F.lit(pg.MARK)).cast("long").alias("marks"), F.col("text").contains("OCR FAILED").alias("failed"))
-    del lines
     return marks.join(docs, "doc_id").select("doc_id", "marks", "least_pages", ((F.col("marks") >= F.col("least_pages")) & ~F.col("failed")).alias("complete"))
 
 
