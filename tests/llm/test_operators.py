@@ -96,7 +96,36 @@ def test_sweep_keeps_the_longest_open_rule():
     rules = sorted({"".join(rng.choices("ab", k=rng.randrange(1, 6))) for _ in range(25)})
     keys = sorted("".join(rng.choices("ab", k=rng.randrange(1, 9))) for _ in range(300))
     want = [max((len(r), k) for k, r in enumerate(rules) if key.startswith(r))[1] if any(key.startswith(r) for r in rules) else -1 for key in keys]
-    assert list(url_rules.sweep(keys, list(zip(rules, range(len(rules)), strict=True)))) == want
+    walk, got = url_rules.Sweep(), []
+    for key, _, n in sorted([(r, 0, k) for k, r in enumerate(rules)] + [(k, 1, n) for n, k in enumerate(keys)]):
+        if _ == 0:
+            walk.open((key, n))
+        else:
+            got.append((walk.at(key) or (None, -1))[1])
+    assert got == want
+
+
+@pytest.mark.parametrize("a_range", [1_000, 7])
+def test_many_rules_in_ranges(spark, monkeypatch, a_range):
+    monkeypatch.setattr(url_rules, "RULES_A_RANGE", a_range)
+    rng = random.Random(9)
+    hosts = [".".join(rng.choices(["a", "b", "ab", "com"], k=rng.randrange(1, 4))) for _ in range(40)]
+    paths = ["", "/", "/a", "/a/", "/a/b", "/é"]
+    rules = [(rng.choice(("allow", "block")), rng.choice(hosts), rng.choice(paths)) for _ in range(120)]
+    urls = [f"http://{rng.choice(hosts)}{rng.choice(paths)}{rng.choice(['', 'b', '/c'])}" for _ in range(400)]
+    first = {}
+    for verdict, host, path in rules:
+        first.setdefault((host, path), verdict)
+
+    def judged(url):
+        host, path = brute_url(url)[:2]
+        fits = [(len(h) + len(p), len(h), h + p, v) for (h, p), v in first.items() if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        return max(fits)[2:] if fits else (None, "allow")
+
+    df = spark.createDataFrame([(k, u) for k, u in enumerate(urls)], "page_id long, url string")
+    for given in (rules, spark.createDataFrame([(v, h, p) for (h, p), v in first.items()], "verdict string, host string, path string")):
+        got = {r.page_id: (r.rule, r.verdict) for r in url_rules.judge_urls(df, given).collect()}
+        assert got == {k: judged(u) for k, u in enumerate(urls)}
 
 
 # 3
