@@ -237,7 +237,7 @@ def test_scan_finds_every_base_place():
 
 def test_scan_chains_templates(odd, empty):
     s = license_scan.Scanner()
-    text = "Intro. " + license_scan.TEMPLATES["bsd"].replace("binary", "object") + " End."
+    text = "Intro. " + next(t for label, t in license_scan.TEMPLATES if label == "bsd").replace("binary", "object") + " End."
     assert s.scan(text)[5] == "bsd" and s.scan(text)[7][0][:3] == ("bsd", 1, 21)
     got = license_scan.scan_documents(odd).collect()
     assert len(got) == len(ODD) and all(r.n_base == 0 and r.first_word is None for r in got)
@@ -593,3 +593,24 @@ def test_only_tokens_that_hide_no_word_are_skipped():
         hits += bool(want)
         assert model.told(token) == want, token
     assert hits > 500
+
+
+def test_whole_licence_texts_and_own_templates(spark):
+    s = license_scan.Scanner()
+    for label, text in license_scan.TEMPLATES:
+        got = s.scan(f"Preface here. {text.upper()} And more.")
+        assert label in got[5].split(",") and any(x[0] == label and x[3] == 1.0 for x in got[7]), label
+    own = [("acme", "you owe acme corporation one good turn for every copy that you make of it")]
+    df = spark.createDataFrame([(1, "Now: you owe ACME Corporation one good turn, for every copy you make of it."), (2, "nothing owed")], "doc_id long, text string")
+    got = {r.doc_id: (r.labels, r.n_base) for r in license_scan.scan_documents(df, phrases={"good turn": "turn"}, templates=own).collect()}
+    assert got == {1: ("acme,turn", 1), 2: ("", 0)}
+
+
+def test_places_in_templates_against_search():
+    rng = random.Random(3)
+    sequences = [rng.choices("ab", k=12) for _ in range(4)]
+    automaton = license_scan.Automaton(sequences)
+    for at, state, length in automaton.statistics(words := rng.choices("ab", k=60)):
+        run = words[at - length + 1 : at + 1]
+        first = {n: min(k for k in range(len(q)) if q[max(0, k - length + 1) : k + 1] == run) for n, q in enumerate(sequences) if any(q[max(0, k - length + 1) : k + 1] == run for k in range(len(q)))}
+        assert dict(automaton.ends[state]) == first
