@@ -64,6 +64,8 @@ REPEATED = r"([^\W\d_])\1\1"
 SUSPECT = re.compile(f"{SPACED}|[^\\W\\d_]*(?:{LEET}|{REPEATED}[^\\W\\d_]*)")
 #: Tokens whose weighted words a task remembers, and as many spans; longer ones are read each time.
 MAX_TOKENS, MAX_TOKEN_CHARS = 150_000, 64
+#: Sets of letters whose possible words are remembered; equal lists of words are one.
+MAX_SETS = 30_000
 PUNCTUATION, TRIPLE = ".,;:!?\"'()", re.compile(r"(.)\1\1")
 #: Marks that stand for no letter, at the ends of a plain word; the ends and doubles at which a word is no plain one.
 PLAIN_ENDS, ODD_END, DOUBLE = ".,;:?\"')", re.compile(r"[^\W\d_][0-9@$|+*]+[.,;:!?\"')]*$"), re.compile(r"([^\W\d_])\1")
@@ -141,7 +143,8 @@ class Model:
         self.rows = self.lm.tolist()
         self.decoded: dict[tuple[str, bool], str] = {}
         self.letters = [(reduce(or_, map(may_say, w), 0), hidden(w).match) for w in self.weights]
-        self.by_letters: dict[int, list[Callable]] = {}
+        self.by_letters: dict[int, tuple[Callable, ...]] = {}
+        self.alike: dict[tuple[Callable, ...], tuple[Callable, ...]] = {}
         self.known: dict[str, tuple[str, ...]] = {}
 
     def decode(self, span: str, open_: bool = False) -> str:
@@ -263,9 +266,11 @@ class Model:
         bits = reduce(or_, map(may_say, t), 0)
         found = self.by_letters.get(bits)
         if found is None:
-            found = [match for own, match in self.letters if own & ~bits == 0]
-            if len(self.by_letters) < MAX_TOKENS:
-                self.by_letters[bits] = found
+            found = tuple(match for own, match in self.letters if own & ~bits == 0)
+            if len(self.by_letters) >= MAX_SETS:
+                self.by_letters.clear()
+                self.alike.clear()
+            found = self.by_letters[bits] = self.alike.setdefault(found, found)
         for match in found:
             if match(t):
                 return True
