@@ -9,7 +9,7 @@
    does. So the nodes' marks are joined back to the documents, and a path is a run of marked nodes with the node before
    and behind it. Windows inside a path are repeated without further ado.
 4. Verification. Other windows whose nodes are all repeated are looked up at their source coordinates: digests of 128
-   bits of their words are counted. The first and last window of a path is counted too, since it may have an equal one
+   bits of their words are counted. The first and last window of a path are counted too, since they may have equal ones
    outside; an equal of any other window of a path holds a plain node of it, and so lies in it as well.
 
 A node's hash that two k-mers share, or a wrong mark, makes a window a candidate at most; a path needs two hashes of its
@@ -108,7 +108,8 @@ class Passages:
         return out
 
     def judged(self, text: str, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Spans of paths (start, stop), starts of the windows to be counted, and their digests in two lanes.
+        """Spans of paths (start, stop), starts of the windows to be counted, and their digests in two lanes. The start
+        is -1 for the first and last window of a path, which need not be looked up.
         marks: the repeated nodes, with the last bit set for plain ones, sorted."""
         none = np.empty(0, np.int64)
         w = self.words(text)
@@ -130,11 +131,12 @@ class Passages:
         step = np.zeros(starts + 1, np.int64)
         np.add.at(step, spans[:, 0], 1)
         np.add.at(step, spans[:, 1] - self.window + 1, -1)
-        open_ &= np.cumsum(step[:-1]) == 0
+        inside = np.cumsum(step[:-1]) > 0
+        open_ &= ~inside
         open_[spans[:, 0]] = True
         open_[spans[:, 1] - self.window] = True
         p = np.flatnonzero(open_)
-        return spans, p, self.runs(sums, 0, p, p + self.window), self.runs(self.sums(w, 1), 1, p, p + self.window)
+        return spans, np.where(inside[p], -1, p), self.runs(sums, 0, p, p + self.window), self.runs(self.sums(w, 1), 1, p, p + self.window)
 
 
 def _passages(window: int) -> Passages:
@@ -207,8 +209,9 @@ def repeated_places(docs: DataFrame, window: int = WINDOW, text_col: str = "text
     judged = written(judged_windows(docs, marks, window, text_col), "windows")
     remove(spark, nodes)
     counted = judged.select("k", "c", F.explode(F.arrays_zip("d1", "d2", "starts")).alias("x")).select("k", "c", F.col("x.d1").alias("d1"), F.col("x.d2").alias("d2"), F.col("x.starts").alias("p"))
-    again = counted.groupBy("d1", "d2").agg(F.count("*").alias("n")).where("n > 1").select("d1", "d2")
-    windows = counted.join(again, ["d1", "d2"], "left_semi").select("k", "c", F.col("p").alias("start"), (F.col("p") + window).alias("stop"))
+    again = counted.groupBy("d1", "d2").agg(F.count("*").alias("n"), F.max("p").alias("p")).where("n > 1 and p >= 0").select("d1", "d2")
+    again = written(again, "again")  # so that the join's other side can be split where a window is frequent
+    windows = counted.where("p >= 0").join(again, ["d1", "d2"], "left_semi").select("k", "c", F.col("p").alias("start"), (F.col("p") + window).alias("stop"))
     ends = F.transform(F.sequence(F.lit(0), (F.size("spans") / 2).cast("int") - 1), lambda i: F.struct(F.col("spans")[2 * i].alias("start"), F.col("spans")[2 * i + 1].alias("stop")))
     paths = judged.where(F.size("spans") > 0).select("k", "c", F.explode(ends).alias("x")).select("k", "c", "x.start", "x.stop")
     return paths.unionByName(windows).groupBy("k", "c").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("places"))
