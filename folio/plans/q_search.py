@@ -7,8 +7,8 @@ from pyspark.sql.window import Window
 
 from folio.functions import vector as vx
 from folio.operators import search as se
-
-from folio.storage import new_path
+from folio.operators import stored_index as ix
+from folio.storage import cut, new_path
 
 from .lifts import table
 from .registry import query
@@ -88,7 +88,19 @@ def x03_normalise(spark, sf):
 
 @query("o02_vector_top", f"WITH {VEC} SELECT cid, round(score, 6) AS score, row_number() OVER (ORDER BY score DESC, cid) - 1 AS rank FROM cosines QUALIFY rank < 50")
 def o02_vector_top(spark, sf):
-    return se.top(cosines(spark, sf), 50).select("cid", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
+    vectors = table(spark, sf, "embeddings")
+    question = [float(x) for x in vectors.where("vec_id = 0").select("embedding").head()[0]]
+    top = ix.block_top(ix.vector_blocks(vectors, "vec_id", "embedding"), question, 50)
+    return top.select("cid", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
+
+
+@query("o02_stored_blocks", f"WITH {VEC} SELECT cid, round(score, 6) AS score, row_number() OVER (ORDER BY score DESC, cid) - 1 AS rank FROM cosines QUALIFY rank < 50")
+def o02_stored_blocks(spark, sf):
+    """Several blocks, written and asked."""
+    vectors = table(spark, sf, "embeddings")
+    question = [float(x) for x in vectors.where("vec_id = 0").select("embedding").head()[0]]
+    blocks = cut(ix.vector_blocks(vectors, "vec_id", "embedding", rows=128))
+    return ix.block_top(blocks, question, 50).select("cid", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
 
 
 RRF = BM25 + ", " + VEC.replace("q AS (SELECT e AS qe FROM v WHERE vec_id = 0)", "qv AS (SELECT e AS qe FROM v WHERE vec_id = 0)").replace("FROM v, q)", "FROM v, qv)") + """,
@@ -132,6 +144,21 @@ def k01_changed_documents(spark, sf):
     return se.changed_documents(current, indexed).select("path", "sha256")
 
 
+@query("k01_updated_index", f"WITH {BM25.replace('FROM documents)', 'FROM documents WHERE doc_id % 4 <> 3)', 1)} SELECT cid AS doc_id, round(score, 6) AS score FROM bm")
+def k01_updated_index(spark, sf):
+    """An index of all documents as they were, brought up to date: a quarter is gone, a quarter new, a quarter changed. Each
+    document is one chunk here, so that the answer is that of the same documents indexed at once."""
+    path = new_path(spark, "index")
+    docs = table(spark, sf, "documents").select("doc_id", F.concat(F.lit("d"), "doc_id").alias("path"), F.concat_ws(" ", se.tx.index_words(F.col("text"))).alias("text"))
+    docs = docs.where(F.length("text") > 0)
+    part = F.col("doc_id") % 4
+    before = F.when(part == 1, F.concat("text", F.lit(" pour pour"))).otherwise(F.col("text"))
+    ix.update(spark, path, docs.where(part != 0).withColumn("text", before), buckets=8)
+    ix.update(spark, path, docs.where(part != 3))
+    cid = F.xxhash64("path", F.lit(0), F.lit(0))
+    return docs.select("doc_id", cid.alias("cid")).join(ix.ask(spark, path, QUESTION), "cid").select("doc_id", F.round("score", 6).alias("score"))
+
+
 @query("k01_gone_documents", "SELECT 'd' || doc_id AS path FROM documents WHERE doc_id % 9 = 0")
 def k01_gone_documents(spark, sf):
     indexed = table(spark, sf, "documents").select("doc_id", F.concat(F.lit("d"), "doc_id").alias("path"))
