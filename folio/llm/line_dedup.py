@@ -10,7 +10,7 @@ share a template. A leaf with several such templates is generalised, in two ways
   place is blanked, each in turn. Lines that are equal after that share a pattern, if at most 1 - ``AGREE`` of
   the places are variable without a digit. So other lines in the leaf, however many, cannot hide a family of which
   one field varies over common values and any others over rare ones. A template in several recurring patterns
-  joins the one with most documents.
+  joins the one with most documents; among equals the one whose first line comes first.
 
 A template that occurs in ``MIN_DOCS`` documents or more recurs. Its lines are dropped from all documents
 but the first (the smallest id, and there its first line), so nothing is lost that stands only once.
@@ -67,16 +67,17 @@ def recurring(lines: DataFrame, keys: DataFrame, min_docs: int = MIN_DOCS, agree
     wide = docs_of.groupBy("leaf").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
     general = alike.join(wide, "leaf").select("template", F.col("leaf").alias("family"), F.lit(0).alias("rank"), F.lit(0).cast("long").alias("docs"))
 
-    shared = patterns(inner, tokens, exact, keys, min_docs, agree).select("template", F.col("pattern").alias("family"), F.lit(1).alias("rank"), "docs")
+    shared = patterns(inner, tokens, exact, keys, min_docs, agree).select("template", F.col("pattern").alias("family"), F.lit(1).alias("rank"), "docs", "first")
     own = exact.where(F.col("docs") >= min_docs).select("template", F.col("template").alias("family"), F.lit(2).alias("rank"), "docs")
-    family = general.unionByName(shared).unionByName(own).groupBy("template").agg(F.min(F.struct("rank", -F.col("docs"), "family")).alias("x")).select("template", "x.rank", "x.family")
+    choices = general.unionByName(own).unionByName(shared, allowMissingColumns=True)
+    family = choices.groupBy("template").agg(F.min(F.struct("rank", -F.col("docs"), "first", "family")).alias("x")).select("template", "x.rank", "x.family")
     family = written(family.join(exact.select("template", "keep"), "template"), "families")
     first = family.groupBy("rank", "family").agg(F.min("keep").alias("keep"))
     return family.select("template", "rank", "family").join(first, ["rank", "family"]).select("template", "keep")
 
 
 def patterns(inner: DataFrame, tokens: DataFrame, exact: DataFrame, keys: DataFrame, min_docs: int, agree: float) -> DataFrame:
-    """(template, pattern, docs): the templates of every recurring pattern of two templates or more, a place blanked."""
+    """(template, pattern, docs, first): the templates of every recurring pattern of two templates or more, a place blanked."""
     place = inner.join(tokens.withColumnRenamed("docs", "held"), ["leaf", "at", "token"])
     rare = (F.col("at") >= LEAD) & (F.col("token") != VARIABLE) & (F.col("held") < min_docs)
     sign = F.xxhash64("at", F.when(rare, VARIABLE).otherwise(F.col("token")))
@@ -86,14 +87,23 @@ def patterns(inner: DataFrame, tokens: DataFrame, exact: DataFrame, keys: DataFr
     none = F.array(F.struct(F.lit(-1).alias("at"), F.lit(0).cast("long").alias("sign")))
     lines = lines.where(free >= 0).select("leaf", "template", "docs", "all", F.explode(F.concat(none, F.when(free > 0, F.col("ats")).otherwise(F.slice("ats", 1, 0)))).alias("x"))
     blanked = F.xxhash64("leaf", F.col("all").bitwiseXOR(F.when(F.col("x.at") < 0, F.lit(0).cast("long")).otherwise(F.col("x.sign").bitwiseXOR(F.xxhash64("x.at", F.lit(VARIABLE))))))
-    lines = written(lines.select("template", "docs", blanked.alias("pattern")), "patterns")
-    found = lines.groupBy("pattern").agg(F.count("*").alias("kinds"), F.sum("docs").alias("docs"), F.max("docs").alias("most")).where((F.col("kinds") > 1) & (F.col("docs") >= min_docs))
-    found = lines.drop("docs").join(found, "pattern")
-    sure = found.where(F.col("most") >= min_docs).select("template", "pattern", "docs")
-    open_ = found.where(F.col("most") < min_docs).select("template", "pattern")  # its templates may share documents
+    lines = written(lines.select("template", "docs", blanked.alias("pattern")).join(exact.select("template", "keep"), "template"), "patterns")
+    found = lines.groupBy("pattern").agg(F.count("*").alias("kinds"), F.sum("docs").alias("docs"), F.max("docs").alias("most"), F.min("keep").alias("first")).where((F.col("kinds") > 1) & (F.col("docs") >= min_docs))
+    found = lines.select("template", "pattern").join(found, "pattern")
+    sure = found.where(F.col("most") >= min_docs).select("template", "pattern", "docs", "first")
+    open_ = found.where(F.col("most") < min_docs).select("template", "pattern", "first")  # its templates may share documents
     docs_of = keys.select("template", "_i", "_t").join(open_, "template").select("pattern", "_i", "_t").distinct()
     wide = docs_of.groupBy("pattern").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
-    return sure.unionByName(open_.join(wide, "pattern").select("template", "pattern", "docs"))
+    return sure.unionByName(open_.join(wide, "pattern").select("template", "pattern", "docs", "first"))
+
+
+def without(lines: Column, gone: Column) -> Column:
+    """The lines but for those at the places of gone (sorted, from 0): runs between them, so that time is linear."""
+    n = F.size(gone)
+    start = lambda k: F.when(k == 0, 0).otherwise(F.get(gone, k - 1) + 1)
+    stop = lambda k, all_: F.when(k == n, F.size(all_)).otherwise(F.get(gone, k))
+    runs = lambda all_: F.flatten(F.transform(F.sequence(F.lit(0), n), lambda k: F.slice(all_, start(k) + 1, stop(k, all_) - start(k))))
+    return F.get(F.transform(F.array(lines), runs), F.lit(0))  # binds the lines, which would be split for every run
 
 
 def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, agree: float = AGREE) -> DataFrame:
@@ -102,12 +112,11 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     keys = written(lines.drop("m"), "lines")
     found = recurring(lines, keys, min_docs, agree)
     hit = keys.select("_i", "_t", "n", "template").join(found, "template").where(~F.struct("_i", "_t", "n").eqNullSafe(F.col("keep")))
-    gone = hit.groupBy("_i", "_t").agg(F.collect_set("n").alias("_gone"))
+    gone = hit.groupBy("_i", "_t").agg(F.array_sort(F.collect_set("n")).alias("gone"))
     rest = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    own = docs.select(*rest, F.xxhash64(text_col).alias("_h")).alias("d")
-    gone = gone.select(F.col("_i").alias("_gi"), "_t", "_gone")
-    out = own.join(gone, F.col(id_col).eqNullSafe(F.col("_gi")) & (F.col("_h") == F.col("_t")), "left")
-    kept = F.array_join(F.filter(F.split(text_col, "\n"), lambda x, k: ~F.array_contains("_gone", k)), "\n")
-    text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(kept)
-    counts = {"n_lines": F.coalesce(F.size(F.split(text_col, "\n")), F.lit(0)).cast("long"), "n_dropped": F.coalesce(F.size("_gone"), F.lit(0)).cast("long")}
-    return out.select(*[(text.alias(c) if c == text_col else F.col(c)) for c in rest], *[v.alias(k) for k, v in counts.items()])
+    own = docs.select(F.struct(*rest).alias("row"), F.col(id_col).alias("i"), F.xxhash64(text_col).alias("h"))
+    out = own.join(gone, F.col("i").eqNullSafe(F.col("_i")) & (F.col("h") == F.col("_t")), "left")
+    lines_of = F.split(F.col("row")[text_col], "\n")
+    text = F.when(F.col("gone").isNull(), F.col("row")[text_col]).otherwise(F.array_join(without(lines_of, F.col("gone")), "\n"))
+    counts = {"n_lines": F.coalesce(F.size(lines_of), F.lit(0)).cast("long"), "n_dropped": F.coalesce(F.size("gone"), F.lit(0)).cast("long")}
+    return out.select(*[(text if c == text_col else F.col("row")[c]).alias(c) for c in rest], *[v.alias(k) for k, v in counts.items()])

@@ -47,12 +47,12 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """
     prepare(spark)
     unnamed = F.xxhash64("text").bitwiseAND(F.lit((1 << 62) - 1)) + F.lit(1 << 62)
-    rows = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), unnamed))
-    kept = minhash.near_duplicates(rows, id_col="_id").where("kept").select("_id").distinct()
-    again = rows.groupBy("_id").agg(F.count("*").alias("n")).where("n > 1").select("_id")
-    out = rows.join(kept, "_id", "left_semi")
-    one = out.join(again, "_id", "left_semi").dropDuplicates(["_id", "text"])
-    return out.join(again, "_id", "left_anti").unionByName(one).select(*docs.columns)
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), unnamed).alias("i"), "text", F.struct(*docs.columns).alias("row"))
+    kept = minhash.near_duplicates(rows, id_col="i").where("kept").select("i").distinct()
+    again = rows.groupBy("i").agg(F.count("*").alias("n")).where("n > 1").select("i")
+    out = rows.join(kept, "i", "left_semi")
+    one = out.join(again, "i", "left_semi").dropDuplicates(["i", "text"])
+    return out.join(again, "i", "left_anti").unionByName(one).select("row.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -138,8 +138,18 @@ agreed AS (SELECT i.size, i.lead, i.m, avg(CASE WHEN i.token = coalesce(c.top[2]
            FROM inner_t i LEFT JOIN common c USING (size, lead, pos) GROUP BY ALL),
 alike AS (SELECT size, lead, m FROM agreed WHERE share >= 0.8),
 wide AS (SELECT size, lead, min((doc_id, n)) AS keep FROM leafed SEMI JOIN alike USING (size, lead, m) GROUP BY ALL HAVING count(DISTINCT doc_id) >= 6),
-found AS (SELECT m, keep, 0 AS rank FROM alike JOIN wide USING (size, lead) UNION ALL SELECT m, keep, 1 FROM exact WHERE docs >= 6),
-best AS (SELECT m, arg_min(keep, rank) AS keep FROM found GROUP BY m),
+marked AS (SELECT i.*, i.pos > 4 AND i.token <> '<*>' AND t.d < 6 AS rare FROM inner_t i JOIN tok t USING (size, lead, pos, token)),
+shapes AS (SELECT size, lead, m, any_value(docs) AS docs, list(CASE WHEN rare THEN '<*>' ELSE token END ORDER BY pos) AS w, floor(0.2 * count(*) + 1e-9) - count(*) FILTER (rare) AS free,
+           coalesce(list(pos) FILTER (pos > 4 AND token <> '<*>' AND NOT rare), []) AS ats FROM marked GROUP BY size, lead, m HAVING free >= 0),
+pats AS (SELECT size, lead, m, docs, array_to_string(list_transform(w, lambda x, i: CASE WHEN i = p THEN '<*>' ELSE x END), ' ') AS pattern
+         FROM (SELECT *, unnest(list_prepend(0, CASE WHEN free > 0 THEN ats ELSE [] END)) AS p FROM shapes)),
+several AS (SELECT p.size, p.lead, pattern, sum(p.docs) AS docs, max(p.docs) AS most, min(keep) AS first FROM pats p JOIN exact e ON e.m = p.m GROUP BY ALL HAVING count(*) > 1 AND sum(p.docs) >= 6),
+spread AS (SELECT s.size, s.lead, s.pattern, count(DISTINCT doc_id) AS d FROM several s JOIN pats p USING (size, lead, pattern) JOIN leafed l ON l.m = p.m GROUP BY ALL),
+choices AS (SELECT m, 0 AS rank, 0 AS docs, NULL AS first, size || ' ' || lead AS family FROM alike JOIN wide USING (size, lead)
+            UNION ALL SELECT p.m, 1, CASE WHEN most >= 6 THEN s.docs ELSE d END, first, s.size || ' ' || s.lead || ' ' || pattern FROM several s JOIN spread USING (size, lead, pattern) JOIN pats p USING (size, lead, pattern) WHERE most >= 6 OR d >= 6
+            UNION ALL SELECT m, 2, docs, NULL, m FROM exact WHERE docs >= 6),
+chosen AS (SELECT m, rank, family FROM choices QUALIFY row_number() OVER (PARTITION BY m ORDER BY rank, docs DESC, first, family) = 1),
+best AS (SELECT m, min(keep) OVER (PARTITION BY rank, family) AS keep FROM chosen JOIN exact USING (m)),
 hit AS (SELECT doc_id, n FROM leafed JOIN best USING (m) WHERE (doc_id, n) <> keep),
 judged AS (SELECT doc_id, n, line, h.doc_id IS NOT NULL AS gone FROM lines l LEFT JOIN (SELECT DISTINCT doc_id AS doc_id, n FROM hit) h USING (doc_id, n))
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (NOT gone), '') AS text

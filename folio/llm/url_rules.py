@@ -134,5 +134,6 @@ def judge_urls(df: DataFrame, rules: list[tuple[str, str, str]] | DataFrame, url
     keys = urls.select("host", "path", F.explode(F.transform(F.sequence(F.lit(1), F.size(labels)), lambda n: F.concat(F.array_join(F.slice(backwards, F.lit(1), n), "."), F.lit(HOST_END), F.col("path")))).alias("key"))
     hits = _swept(keys, written(rule_table(df.sparkSession, rules), "rules"))
     best = hits.groupBy("host", "path").agg(F.max(F.struct("rank", "host_rank", "rule", "verdict")).alias("_best"))
-    out = df.join(best, ["host", "path"], "left")
-    return out.select(*df.columns, F.col("_best.rule").alias("rule"), F.coalesce("_best.verdict", F.lit(default)).alias("verdict"))
+    rows = df.select(F.struct(*df.columns).alias("row"), "host", "path")  # whatever the columns are called
+    out = rows.join(best, ["host", "path"], "left")
+    return out.select(*(F.col("row")[c].alias(c) for c in df.columns), F.col("_best.rule").alias("rule"), F.coalesce("_best.verdict", F.lit(default)).alias("verdict"))

@@ -197,3 +197,115 @@ def test_end_lists_are_bounded(spark):
     assert {len(r.ids) for r in prefix_trie.end_lists(rows).collect()} <= set(range(1 << 16))
     assert prefix_trie.end_lists(rows).count() == 3
     assert prefix_trie.end_digests(rows).head().ends_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+
+
+# 7: the whole rule, patterns included
+
+
+def plain_line_dedup(docs, min_docs=6, agree=0.8, lead=4):
+    """docs: (id, text) with distinct ids; the texts without recurring lines."""
+    import re
+
+    mask = lambda line: re.sub(r"[^ 0-9]*[0-9][^ ]*", "<*>", re.sub(r"\s+", " ", line).strip(" "))
+    lines = [(i, n, mask(x)) for i, t in docs for n, x in enumerate(t.split("\n")) if x.strip()]
+    docs_of, keep = defaultdict(set), {}
+    for i, n, m in lines:
+        docs_of[m].add(i)
+        keep[m] = min(keep.get(m, (i, n)), (i, n))
+    leaves = defaultdict(list)
+    for m in docs_of:
+        leaves[m.count(" "), tuple(m.split(" ")[:lead])].append(m)
+    family = defaultdict(list)  # template -> (rank, -docs, first, family)
+    for leaf, kinds in leaves.items():
+        for m in kinds:
+            if len(docs_of[m]) >= min_docs:
+                family[m].append((2, -len(docs_of[m]), (), m))
+        if len(kinds) < 2 or sum(len(docs_of[m]) for m in kinds) < min_docs:
+            continue
+        held = Counter()
+        for m in kinds:
+            for at, token in enumerate(m.split(" ")):
+                held[at, token] += len(docs_of[m])
+        constant = {}
+        for at in range(leaf[0] + 1):
+            d, token = max((d, token) for (a, token), d in held.items() if a == at)
+            constant[at] = token if 2 * d >= sum(d for (a, _), d in held.items() if a == at) else "<*>"
+        alike = [m for m in kinds if sum(t == constant[a] for a, t in enumerate(m.split(" "))) / (leaf[0] + 1) >= agree]
+        if len(set().union(*(docs_of[m] for m in alike))) >= min_docs:
+            for m in alike:
+                family[m].append((0, 0, (), leaf))
+        patterns = defaultdict(list)
+        for m in kinds:
+            words = m.split(" ")
+            rare = [a >= lead and w != "<*>" and held[a, w] < min_docs for a, w in enumerate(words)]
+            free = math.floor(0.2 * len(words) + 1e-9) - sum(rare)
+            plain = ["<*>" if r else w for w, r in zip(words, rare, strict=True)]
+            blanks = [a for a in range(lead, len(words)) if plain[a] != "<*>"] if free > 0 else []
+            if free >= 0:
+                for b in [None, *blanks]:
+                    patterns[tuple("<*>" if a == b else w for a, w in enumerate(plain))].append(m)
+        for p, ms in patterns.items():
+            each = [len(docs_of[m]) for m in ms]
+            if len(ms) > 1 and sum(each) >= min_docs:
+                n = sum(each) if max(each) >= min_docs else len(set().union(*(docs_of[m] for m in ms)))
+                if n >= min_docs:
+                    for m in ms:
+                        family[m].append((1, -n, min(keep[x] for x in ms), p))
+    chosen = {m: min(f, key=lambda x: (x[0], x[1], x[2], str(x[3]))) for m, f in family.items()}
+    first = {}
+    for m, (rank, _, _, name) in chosen.items():
+        first[rank, name] = min(first.get((rank, name), keep[m]), keep[m])
+    gone = {(i, n) for i, n, m in lines if m in chosen and first[chosen[m][0], chosen[m][3]] != (i, n)}
+    return {i: "\n".join(x for n, x in enumerate(t.split("\n")) if (i, n) not in gone) for i, t in docs}
+
+
+CLASH = "doc_id long, text string, _h string, _t long, _gi int, _gone string, row int, i string, h string, gone int, n_lines string"
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_line_families_as_the_plain_rule(spark, seed):
+    from folio.llm import line_dedup
+
+    rng = random.Random(seed)
+    names, towns = [f"n{chr(97 + i)}" for i in range(20)], ["rome", "oslo", "bern"]
+    docs = []
+    for i in range(90):
+        text = []
+        for _ in range(rng.randrange(1, 5)):
+            kind = rng.random()
+            if kind < 0.35:
+                text.append(f"the user of today {rng.choice(names)} signed in from {rng.choice(towns)} at noon again")
+            elif kind < 0.6:
+                text.append(f"the user of today was {rng.choice(['sent', 'lost', 'kept'])} {rng.randrange(99)} times for {rng.choice(towns)} by mail")
+            elif kind < 0.75:
+                text.append(rng.choice(["all rights reserved by us", "read more", "", "  ", "read\tmore "]))
+            else:
+                text.append(" ".join(rng.choice(names) for _ in range(rng.randrange(1, 12))))
+        docs.append((i, "\n".join(text)))
+    df = spark.createDataFrame([(i, t, "x", 1, 2, "y", 3, "z", "u", 4, "v") for i, t in docs], CLASH)
+    got = line_dedup.drop_lines(df).collect()
+    want = plain_line_dedup(docs)
+    assert {r.doc_id: r.text for r in got} == want and any(want[i] != t for i, t in docs)
+    assert {(r._h, r._t, r._gi, r._gone, r.row, r.i, r.h, r.gone) for r in got} == {("x", 1, 2, "y", 3, "z", "u", 4)}
+
+
+def test_many_lines_in_one_document(spark):
+    import time
+
+    from folio.llm import line_dedup
+
+    df = spark.createDataFrame([(i, "same old line\n" * n + "own" + "abcdefg"[i]) for i, n in enumerate([60_000, *[1] * 6])], "doc_id long, text string")
+    began = time.time()
+    got = {r.doc_id: (r.n_lines, r.n_dropped, r.text) for r in line_dedup.drop_lines(df).collect()}
+    assert got[0] == (60_001, 59_999, "same old line\nowna") and got[3] == (2, 1, "ownd") and time.time() - began < 60
+
+
+def test_clashing_names_in_other_operators(spark):
+    from folio.llm import pipeline, url_rules
+
+    df = spark.createDataFrame([("http://a.org/x", 1, 2, 3)], "url string, _best int, row int, key int")
+    r = url_rules.judge_urls(df, [("block", "org", "/")]).head()
+    assert (r._best, r.row, r.key, r.verdict, r.rule) == (1, 2, 3, "block", "org/")
+    text = "one two three four five six seven eight"
+    docs = spark.createDataFrame([(1, text, 7, 8), (2, text, 9, 10), (None, text, 11, 12), (3, "other words", 13, 14)], "doc_id long, text string, _id int, i int")
+    assert sorted(map(tuple, pipeline.one_of_each_group(spark, docs, "").collect())) == [(1, text, 7, 8), (3, "other words", 13, 14)]
