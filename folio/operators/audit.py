@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folio.storage import all_of
+
+from .numbering import numbered
+
 #: Names that never need an entry in the library.
 SKIPPED = r"(?i)(^|/)(readme[^/]*|\.[^/]*|[^/]*\.(json|tsv|csv|log))$"
 
@@ -114,21 +118,53 @@ def audit_passes(report: DataFrame, hard: tuple[str, ...] = ("orphan", "missing"
     return report.agg(F.count("*").alias("findings"), (F.count_if(F.col("section").isin(*hard)) == 0).alias("passed"))
 
 
-def library_manifest(items: DataFrame, collections: DataFrame, members: DataFrame, children: DataFrame) -> DataFrame:
-    """(section, place, line) of a library's list in markdown: counts by type, then by collection path the titles in order
-    of their lower case, each with its attachments and notes. place orders a section.
+def library_manifest(items: DataFrame, collections: DataFrame, members: DataFrame) -> DataFrame:
+    """(part, section, place, line) of a library's list in markdown; part, section and place order it.
 
-    items: key, kind, title; collections: key, path; members: coll, key; children: parent, kind (attachment or note).
+    Parts: 0 totals, 1 items by type (most first, then by name), 2 collections in order of their paths' lower case, 3 items by
+    collection and 4 those in none in order of their titles' lower case, 5 the trash in order of keys. An item's line has its
+    creator and year, if any, and how many attachments and notes hang below it. Collections without items give no section.
+    items: key, kind, title, creator, year, parent (null: top level), trashed; collections: key, path; members: coll, key.
+    Places are told by ranges, so that a section of any size is numbered by several tasks.
     """
-    kinds = items.groupBy("kind").agg(F.count("*").alias("n"))
-    head = kinds.select(F.lit("").alias("section"), F.struct((-F.col("n")).cast("string").alias("a"), F.col("kind").alias("b")).alias("o"), F.concat(F.lit("- "), "kind", F.lit(": "), F.col("n").cast("string")).alias("line"))
-    own = children.groupBy("parent").agg(F.count_if(F.col("kind") == "attachment").alias("atts"), F.count_if(F.col("kind") == "note").alias("notes"))
-    rows = members.join(collections.select(F.col("key").alias("coll"), "path"), "coll").join(items.select("key", "title"), "key").join(own, F.col("key") == F.col("parent"), "left")
-    count = lambda c: F.coalesce(c, F.lit(0)).cast("string")
-    line = F.concat(F.lit("- "), "title", F.lit(" ("), count(F.col("atts")), F.lit(" files, "), count(F.col("notes")), F.lit(" notes)"))
-    body = rows.select(F.col("path").alias("section"), F.struct(F.lower("title").alias("a"), F.col("key").cast("string").alias("b")).alias("o"), line.alias("line"))
-    w = Window.partitionBy("section").orderBy("o")
-    return head.unionByName(body).select("section", F.row_number().over(w).alias("place"), "line")
+    live, top = items.where("not trashed"), items.where("not trashed and parent is null")
+    kids = live.where("parent is not null").groupBy(F.col("parent").alias("key")).agg(F.count_if(F.col("kind") == "attachment").alias("atts"), F.count_if(F.col("kind") == "note").alias("notes"))
+    text = lambda c: F.col(c).cast("string")
+    row = lambda df, part, section, line, a=F.lit(0), b=F.lit(""): df.select(F.lit(part).alias("part"), section.alias("section"), a.cast("long").alias("a"), b.cast("string").alias("b"), text("key").alias("c") if "key" in df.columns else F.lit("").alias("c"), line.alias("line"))
+
+    none = F.lit("")
+    count = lambda test: F.count_if(test).cast("string")
+    child = F.col("parent").isNotNull()
+    totals = items.where("not trashed").agg(F.concat(F.lit("- Items (excl. trash): "), F.count("*").cast("string"), F.lit(" — top-level "), count(~child), F.lit(", child attachments "), count(child & (F.col("kind") == "attachment")), F.lit(", child notes "), count(child & (F.col("kind") == "note"))).alias("line"))
+    parts = [
+        row(totals, 0, none, F.col("line"), F.lit(0)),
+        row(collections.agg(F.concat(F.lit("- Collections: "), F.count("*").cast("string")).alias("line")), 0, none, F.col("line"), F.lit(1)),
+        row(items.agg(F.concat(F.lit("- Trash: "), F.count_if("trashed").cast("string")).alias("line")), 0, none, F.col("line"), F.lit(2)),
+        row(live.groupBy("kind").agg(F.count("*").alias("n")), 1, none, F.concat(F.lit("- "), "kind", F.lit(": "), text("n")), -F.col("n"), F.col("kind")),
+    ]
+    filed = members.join(collections.select(F.col("key").alias("coll"), "path"), "coll").join(top.select("key"), "key", "left_semi")
+    sizes = filed.groupBy("coll").agg(F.count("*").alias("n"))
+    counted = collections.join(sizes.withColumnRenamed("coll", "key"), "key", "left")
+    parts.append(row(counted, 2, none, F.concat(F.lit("- `"), text("key"), F.lit("` "), "path", F.lit(" — "), F.coalesce(text("n"), F.lit("0")), F.lit(" items")), F.lit(0), F.lower("path")))
+    hung = F.array_compact(F.array(F.when(F.col("atts") > 0, F.concat(text("atts"), F.lit(" att"))), F.when(F.col("notes") > 0, F.concat(text("notes"), F.lit(" note")))))
+    said = lambda c, before, after: F.when(F.coalesce(text(c), none) != "", F.concat(F.lit(before), text(c), F.lit(after))).otherwise("")
+    line = F.concat(F.lit("- `"), text("key"), F.lit("` "), "kind", F.lit(" — "), said("creator", "", " "), said("year", "(", ") "), "title", F.when(F.size(hung) > 0, F.concat(F.lit(" ["), F.array_join(hung, ", "), F.lit("]"))).otherwise(""))
+    lined = top.join(kids, "key", "left").select("key", "title", line.alias("line"))
+    parts.append(row(lined.join(filed.select("key", F.concat("path", F.lit(" (`"), text("coll"), F.lit("`)")).alias("section")), "key"), 3, F.col("section"), F.col("line"), F.lit(0), F.lower("title")))
+    parts.append(row(lined.join(members.select("key"), "key", "left_anti"), 4, F.lit("Unfiled (no collection)"), F.col("line"), F.lit(0), F.lower("title")))
+    parts.append(row(items.where("trashed"), 5, F.lit("Trash"), F.concat(F.lit("- `"), text("key"), F.lit("` "), "kind", F.lit(" — "), "title")))
+    return numbered(all_of(parts), ["part", "section"], [F.col("a"), F.col("b"), F.col("c")], "place").select("part", "section", "place", "line")
+
+
+def manifest_text(manifest: DataFrame) -> DataFrame:
+    """(value): the list as lines of markdown in order, section titles included, to be written as text by ranges."""
+    titles = {0: "## Totals", 1: "### Items by type", 2: "## Collections", 3: "## Items by collection"}
+    sections = manifest.groupBy("part", "section").agg(F.count("*").alias("n"))
+    head = F.concat(F.when(F.col("part") == 5, "## ").otherwise("### "), "section", F.lit(" — "), F.col("n").cast("string"), F.lit(" items"))
+    named = sections.where("section <> ''").select("part", "section", F.lit(0).cast("long").alias("place"), F.lit(0).alias("k"), head.alias("value"))
+    fixed = manifest.sparkSession.createDataFrame([(p, "", 0, -1, t) for p, t in titles.items()], "part int, section string, place long, k int, value string")
+    rows = manifest.select("part", "section", "place", F.lit(1).alias("k"), F.col("line").alias("value"))
+    return all_of([fixed, named, rows]).orderBy("part", F.lower("section"), "section", "place", "k").select("value")
 
 
 def failures_first(rows: DataFrame, why: str, key: str) -> DataFrame:

@@ -30,7 +30,7 @@ def ranged(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
 def running(df: DataFrame, keys: list[str], order: list[Column], totals: dict[str, tuple[str, Column]]) -> DataFrame:
     """df (of ``ranged``) with totals over the rows of the same keys up to each row: name -> (kind, column)."""
     local = Window.partitionBy(RANGE, *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy(*keys).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    before = (Window.partitionBy(*keys) if keys else Window).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)  # a row per range
     each = df.groupBy(RANGE, *keys).agg(*(KINDS[kind][0](c).alias(f"_before_{name}") for name, (kind, c) in totals.items()))
     earlier = each.select(RANGE, *keys, F.count("*").over(before).alias("_ranges"), *(KINDS[kind][0](f"_before_{name}").over(before).alias(f"_before_{name}") for name, (kind, _) in totals.items()))
     earlier = F.broadcast(earlier.where("_ranges > 0").select(F.col(RANGE).alias("_r"), *(F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)), *(f"_before_{name}" for name in totals)))

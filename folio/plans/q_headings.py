@@ -63,23 +63,59 @@ def f45_relevelled(spark, sf):
     return hd.relevelled(marked(spark, sf), references(spark, sf))
 
 
+def with_contents(spark, sf):
+    """The marked texts with an old table of contents behind the third line."""
+    lines = F.split("text", "\n")
+    block = F.array(F.lit(hd.TOC_START), F.lit("## old"), F.lit(hd.TOC_END))
+    return marked(spark, sf).select("id", F.array_join(F.concat(F.slice(lines, 1, 3), block, F.slice(lines, F.lit(4), F.greatest(F.size(lines), F.lit(1)))), "\n").alias("text"))
+
+
+LEVELS = (1, 2, 3)
+
+
 def paged_headings(spark, sf):
-    """Pages of ten lines, as the marked text has them."""
-    docs = marked(spark, sf)
+    """Pages of ten lines, the first of them with all titles in front, as a contents page has."""
+    docs = with_contents(spark, sf)
     lines = docs.select("id", F.posexplode(F.split("text", "\n")).alias("n", "t"))
     pages = lines.groupBy("id", F.expr("n div 10").cast("int").alias("page")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "t"))), lambda x: hd.plain_heading(x["t"])), "\n").alias("body"))
-    return hd.heading_pages(hd.headings(docs, [1, 2]), pages)
-
-
-@query("j21_heading_pages")
+    listed = hd.contents_headings(docs, LEVELS)
+    titles = listed.groupBy("id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "title"))), lambda x: x["title"]), " ").alias("all"))
+    pages = pages.join(titles, "id", "left").withColumn("body", F.when(F.col("page") == 0, F.concat_ws(" ", "all", "body")).otherwise(F.col("body"))).drop("all")
+    return hd.heading_pages(listed, pages)
+
+
+TITLE = r"regexp_extract(text, '^(#{1,6})\s+(.*\S)\s*$', 2)"
+TOC_SQL = MARKED + rf""", blocked AS (SELECT id, list(text ORDER BY n) AS l FROM marked GROUP BY id),
+toc_docs AS (SELECT id, list_concat(l[1:3], ['<!-- toc -->', '## old', '<!-- /toc -->'], l[4:]) AS l FROM blocked),
+toc_lines AS (SELECT id, unnest(l) AS text, generate_subscripts(l, 1) - 1 AS n, least(len(l), 6) AS cut FROM toc_docs),
+sides AS (SELECT id, n, text, n < 6 AND n < cut - 3 AS above FROM toc_lines WHERE n < cut - 3 OR n >= cut),
+fenced AS (SELECT *, sum(CASE WHEN starts_with(ltrim(text, ' '), '```') THEN 1 ELSE 0 END) OVER (PARTITION BY id, above ORDER BY n) AS fences FROM sides),
+hs AS (SELECT id, n, above, length(regexp_extract(text, '^(#{{1,6}})\s+(.*\S)\s*$', 1)) AS level, {PLAIN.format(TITLE)} AS title FROM fenced
+       WHERE NOT starts_with(ltrim(text, ' '), '```') AND fences % 2 = 0 AND regexp_matches(text, '^(#{{1,6}})\s+(.*\S)\s*$')),
+tops AS (SELECT id, max(n) AS last FROM hs WHERE above GROUP BY id),
+listed AS (SELECT h.id, n, level, title, CASE WHEN NOT above THEN 2 WHEN n = last THEN 1 ELSE 0 END AS part FROM hs h JOIN tops USING (id)),
+all_t AS (SELECT id, string_agg(title, ' ' ORDER BY n) AS titles FROM listed GROUP BY id),
+bodies AS (SELECT id, n // 10 AS page, string_agg({PLAIN.format("text")}, chr(10) ORDER BY n) AS body FROM toc_lines GROUP BY id, n // 10),
+page_l AS (SELECT id, list(lower(trim(regexp_replace(replace(CASE WHEN page = 0 THEN concat_ws(' ', titles, body) ELSE body END, chr(173), ''), '\s+', ' ', 'g'))) ORDER BY page) AS ps FROM bodies LEFT JOIN all_t USING (id) GROUP BY id),
+heads_l AS (SELECT id, list({{'at': 0::BIGINT, 'found': []::BIGINT[], 'key': lower(trim(regexp_replace(replace(title, chr(173), ''), '\s+', ' ', 'g')))[1:60], 'part': part}} ORDER BY n) AS hl FROM listed GROUP BY id),
+walked AS (SELECT id, list_reduce(list_prepend({{'at': 0::BIGINT, 'found': []::BIGINT[], 'key': '', 'part': 0}}, hl), lambda s, h: {{
+  'at': coalesce(list_filter(range(s.at, len(ps)), lambda k: contains(ps[k + 1], h.key))[1], s.at) + CASE WHEN h.part = 1 THEN 1 ELSE 0 END,
+  'found': list_append(s.found, list_filter(range(s.at, len(ps)), lambda k: contains(ps[k + 1], h.key))[1]), 'key': '', 'part': 0}}).found AS found FROM heads_l JOIN page_l USING (id)),
+paged AS (SELECT id, n, level, title, part, found[row_number() OVER (PARTITION BY id ORDER BY n)] AS page FROM listed JOIN walked USING (id))"""
+
+
+@query("j21_heading_pages", f"WITH {TOC_SQL} SELECT id, CAST(n AS INTEGER) AS line, title, CAST(page AS INTEGER) AS page FROM paged")
 def j21_heading_pages(spark, sf):
     return paged_headings(spark, sf).select("id", "line", "title", "page")
 
 
-@query("k20_toc")
+ESCAPED = "replace(replace(replace(replace(replace(title, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), chr(39), '&#x27;')"
+
+
+@query("k20_toc", rf"""WITH {TOC_SQL}, toc_rows AS (SELECT id, string_agg('<tr><td style="padding:1px 0 1px ' || CAST(CAST((level - 1) * 1.5 AS DOUBLE) AS VARCHAR) || 'em">' || {ESCAPED} || '</td><td style="text-align:right;vertical-align:bottom;padding-left:1em">' || coalesce(CAST(page + 1 AS VARCHAR), '') || '</td></tr>', chr(10) ORDER BY n) AS cells FROM paged WHERE part <> 1 GROUP BY id)
+SELECT id, CASE WHEN cells IS NULL THEN array_to_string(l, chr(10)) ELSE array_to_string(list_concat(l[1:least(len(l), 6) - 2], ['<table style="width:100%;border-collapse:collapse">', cells, '</table>'], l[least(len(l), 6):]), chr(10)) END AS text FROM toc_docs LEFT JOIN toc_rows USING (id)""")
 def k20_toc(spark, sf):
-    docs = marked(spark, sf).withColumn("text", F.concat(F.lit(hd.TOC_START + "\nold\n" + hd.TOC_END + "\n"), "text"))
-    return hd.with_toc(docs, hd.toc_block(paged_headings(spark, sf)))
+    return hd.with_toc(with_contents(spark, sf), hd.toc_block(paged_headings(spark, sf), LEVELS))
 
 
 # readings: every benchmark text with look-alike letters in every third word against the text itself

@@ -7,6 +7,7 @@ from pyspark.sql.window import Window
 
 from folio.operators import audit as au
 from folio.operators import discovery as di
+from folio.operators.numbering import numbered
 
 from .lifts import table
 from .registry import query
@@ -127,7 +128,14 @@ def a13_child_tallies(spark, sf):
 
 @query("o10_title_order", "SELECT path_no, n_name FROM (SELECT n_name, row_number() OVER (ORDER BY lower(n_name), n_nationkey) AS path_no FROM nation)")
 def o10_title_order(spark, sf):
-    return table(spark, sf, "nation").select(F.row_number().over(Window.orderBy(F.lower("n_name"), "n_nationkey")).cast("long").alias("path_no"), "n_name")
+    return numbered(table(spark, sf, "nation"), [], [F.lower("n_name"), F.col("n_nationkey")], "path_no").select("path_no", "n_name")
+
+
+@query("o10_line_numbers", "SELECT l_returnflag, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_shipdate, l_orderkey, l_linenumber, l_extendedprice, l_partkey, l_suppkey, l_quantity, l_discount, l_tax) AS n, l_orderkey, l_linenumber FROM lineitem")
+def o10_line_numbers(spark, sf):
+    """Three groups of all order lines, each numbered by many tasks."""
+    order = [F.col(c) for c in ("l_shipdate", "l_orderkey", "l_linenumber", "l_extendedprice", "l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_tax")]
+    return numbered(table(spark, sf, "lineitem"), ["l_returnflag"], order).select("l_returnflag", "n", "l_orderkey", "l_linenumber")
 
 
 @query("g02_library_manifest", "SELECT r_name || ' / ' || n_name AS coll, count(*) AS items, CAST(sum(atts) AS BIGINT) AS atts FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey LEFT JOIN (SELECT o_custkey, count(*) AS atts FROM orders GROUP BY o_custkey) ON o_custkey = c_custkey GROUP BY ALL")

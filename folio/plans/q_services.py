@@ -234,17 +234,46 @@ def k11_audit_gate(spark, sf):
     return au.audit_passes(au.mirror_audit(*mirror(spark, sf)))
 
 
-@query("g02_whole_manifest", """WITH head AS (SELECT '' AS section, '- ' || c_mktsegment || ': ' || count(*) AS line, -count(*) AS a, c_mktsegment AS b FROM customer GROUP BY c_mktsegment),
-kids AS (SELECT o_custkey AS k, count(*) FILTER (o_orderstatus = 'O') AS atts, count(*) FILTER (o_orderstatus <> 'O') AS notes FROM orders GROUP BY o_custkey),
-body AS (SELECT r_name || ' / ' || n_name AS section, '- ' || c_name || ' (' || coalesce(atts, 0) || ' files, ' || coalesce(notes, 0) || ' notes)' AS line, lower(c_name) AS a, CAST(c_custkey AS VARCHAR) AS b FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey LEFT JOIN kids ON k = c_custkey)
-SELECT section, CAST(row_number() OVER (ORDER BY CAST(a AS VARCHAR), b) AS INTEGER) AS place, line FROM head UNION ALL SELECT section, CAST(row_number() OVER (PARTITION BY section ORDER BY a, b) AS INTEGER), line FROM body""")
-def g02_whole_manifest(spark, sf):
-    r, n, c = (table(spark, sf, t) for t in ("region", "nation", "customer"))
+MANIFEST = """top AS (SELECT 'C' || c_custkey AS key, c_mktsegment AS kind, c_name AS title, CASE WHEN c_nationkey % 3 <> 0 THEN n_name END AS creator, CASE WHEN c_nationkey % 2 = 0 THEN 1990 + c_nationkey END AS year, c_acctbal < 0 AS trashed, c_nationkey, c_mktsegment
+ FROM customer JOIN nation ON n_nationkey = c_nationkey),
+kids AS (SELECT 'C' || o_custkey AS key, count(*) FILTER (o_orderstatus = 'O') AS atts, count(*) FILTER (o_orderstatus = 'F') AS notes FROM orders WHERE o_totalprice >= 50000 GROUP BY o_custkey),
+kinds AS (SELECT kind, count(*) AS n FROM (SELECT kind FROM top WHERE NOT trashed UNION ALL SELECT CASE o_orderstatus WHEN 'O' THEN 'attachment' WHEN 'F' THEN 'note' ELSE 'annotation' END FROM orders WHERE o_totalprice >= 50000) GROUP BY kind),
+colls AS (SELECT 'n' || n_nationkey AS key, r_name || ' / ' || n_name AS path FROM nation JOIN region ON n_regionkey = r_regionkey UNION ALL SELECT 'r' || r_regionkey, r_name FROM region),
+lines_t AS (SELECT t.*, '- `' || t.key || '` ' || kind || ' — ' || coalesce(creator || ' ', '') || coalesce('(' || year || ') ', '') || title || CASE WHEN coalesce(atts, 0) > 0 OR coalesce(notes, 0) > 0 THEN ' [' || concat_ws(', ', CASE WHEN atts > 0 THEN atts || ' att' END, CASE WHEN notes > 0 THEN notes || ' note' END) || ']' ELSE '' END AS line
+ FROM top t LEFT JOIN kids USING (key) WHERE NOT trashed),
+filed AS (SELECT key, 'n' || c_nationkey AS coll FROM top WHERE NOT trashed AND c_mktsegment <> 'MACHINERY'),
+manifest AS (SELECT 0 AS part, '' AS section, 1 AS place, '- Items (excl. trash): ' || (SELECT sum(n) FROM kinds) || ' — top-level ' || (SELECT count(*) FROM top WHERE NOT trashed) || ', child attachments ' || coalesce((SELECT n FROM kinds WHERE kind = 'attachment'), 0) || ', child notes ' || coalesce((SELECT n FROM kinds WHERE kind = 'note'), 0) AS line
+ UNION ALL SELECT 0, '', 2, '- Collections: ' || count(*) FROM colls
+ UNION ALL SELECT 0, '', 3, '- Trash: ' || ((SELECT count(*) FROM top WHERE trashed) + (SELECT count(*) FROM orders WHERE o_totalprice < 50000))
+ UNION ALL SELECT 1, '', row_number() OVER (ORDER BY n DESC, kind), '- ' || kind || ': ' || n FROM kinds
+ UNION ALL SELECT 2, '', row_number() OVER (ORDER BY lower(path), key), '- `' || key || '` ' || path || ' — ' || coalesce(c, 0) || ' items' FROM colls LEFT JOIN (SELECT coll AS key, count(*) AS c FROM filed GROUP BY coll) USING (key)
+ UNION ALL SELECT 3, path || ' (`' || coll || '`)', row_number() OVER (PARTITION BY coll ORDER BY lower(title), l.key), line FROM lines_t l JOIN filed f ON f.key = l.key JOIN colls c ON c.key = f.coll
+ UNION ALL SELECT 4, 'Unfiled (no collection)', row_number() OVER (ORDER BY lower(title), key), line FROM lines_t WHERE c_mktsegment = 'MACHINERY'
+ UNION ALL SELECT 5, 'Trash', row_number() OVER (ORDER BY key), line FROM (SELECT key, '- `' || key || '` ' || kind || ' — ' || title AS line FROM top WHERE trashed UNION ALL SELECT 'O' || o_orderkey, '- `O' || o_orderkey || '` ' || CASE o_orderstatus WHEN 'O' THEN 'attachment' WHEN 'F' THEN 'note' ELSE 'annotation' END || ' — order ' || o_orderkey FROM orders WHERE o_totalprice < 50000))"""
+
+
+def manifest(spark, sf):
+    """Customers as items of which those in debt are trashed, their orders as children of which cheap ones are trashed, nations in
+    regions as collections; machinery is filed nowhere."""
+    r, n, c, o = (table(spark, sf, t) for t in ("region", "nation", "customer", "orders"))
     nodes = r.select(F.concat(F.lit("r"), "r_regionkey").alias("key"), F.lit(None).cast("string").alias("parent"), F.col("r_name").alias("name")).unionByName(n.select(F.concat(F.lit("n"), "n_nationkey").alias("key"), F.concat(F.lit("r"), "n_regionkey").alias("parent"), F.col("n_name").alias("name")))
-    items = c.select(F.col("c_custkey").alias("key"), F.col("c_mktsegment").alias("kind"), F.col("c_name").alias("title"))
-    members = c.select(F.concat(F.lit("n"), "c_nationkey").alias("coll"), F.col("c_custkey").alias("key"))
-    children = table(spark, sf, "orders").select(F.col("o_custkey").alias("parent"), F.when(F.col("o_orderstatus") == "O", "attachment").otherwise("note").alias("kind"))
-    return au.library_manifest(items, sn.paths(nodes), members, children)
+    key, nation = F.concat(F.lit("C"), "c_custkey").alias("key"), F.col("c_nationkey")
+    own = c.join(n, nation == F.col("n_nationkey")).select(key, F.col("c_mktsegment").alias("kind"), F.col("c_name").alias("title"), F.when(nation % 3 != 0, F.col("n_name")).alias("creator"), F.when(nation % 2 == 0, nation + 1990).cast("string").alias("year"), F.lit(None).cast("string").alias("parent"), (F.col("c_acctbal") < 0).alias("trashed"))
+    none = F.lit(None).cast("string")
+    kind = F.when(F.col("o_orderstatus") == "O", "attachment").when(F.col("o_orderstatus") == "F", "note").otherwise("annotation")
+    kids = o.select(F.concat(F.lit("O"), "o_orderkey").alias("key"), kind.alias("kind"), F.concat(F.lit("order "), "o_orderkey").alias("title"), none.alias("creator"), none.alias("year"), F.concat(F.lit("C"), "o_custkey").alias("parent"), (F.col("o_totalprice") < 50000).alias("trashed"))
+    members = c.where("c_mktsegment <> 'MACHINERY'").select(F.concat(F.lit("n"), "c_nationkey").alias("coll"), key)
+    return au.library_manifest(own.unionByName(kids), sn.paths(nodes), members)
+
+
+@query("g02_whole_manifest", f"WITH {MANIFEST} SELECT part, section, place, line FROM manifest")
+def g02_whole_manifest(spark, sf):
+    return manifest(spark, sf)
+
+
+@query("k10_manifest_text", f"WITH {MANIFEST} SELECT line AS value FROM manifest UNION ALL SELECT unnest(['## Totals', '### Items by type', '## Collections', '## Items by collection']) UNION ALL SELECT CASE part WHEN 5 THEN '## ' ELSE '### ' END || section || ' — ' || count(*) || ' items' FROM manifest WHERE section <> '' GROUP BY part, section")
+def k10_manifest_text(spark, sf):
+    return au.manifest_text(manifest(spark, sf))
 
 
 @query("u14_collection_payloads", """SELECT 'n' || n_nationkey AS key, '{"name":"' || n_name || '","parent":"r' || n_regionkey || '","relations":[' || coalesce((SELECT string_agg('"' || x || '"', ',' ORDER BY x) FROM (SELECT DISTINCT 's' || (s_suppkey % 5) AS x FROM supplier WHERE s_nationkey = n_nationkey)), '') || ']}' AS payload FROM nation""")

@@ -24,8 +24,21 @@ def test_headings_outside_fences_and_their_pages(spark):
     # the first pages hold later headings too, but a heading never goes back; three isn't found and moves nothing
     assert [tuple(r) for r in paged.select("title", "page").orderBy("line").collect()] == [("One", 1), ("Two x", 2), ("Three", None)]
     marked = spark.createDataFrame([(1, f"a\n{headings.TOC_START}\nold\n{headings.TOC_END}\nz"), (2, "none")], "id int, text string")
-    out = {r.id: r.text for r in headings.with_toc(marked, headings.toc_block(paged)).collect()}
-    assert out[2] == "none" and "old" not in out[1] and "| &emsp;Two x | 2 |\n| &emsp;&emsp;Three |  |" in out[1] and out[1].endswith(f"{headings.TOC_END}\nz")
+    out = {r.id: r.text for r in headings.with_toc(marked, headings.toc_block(paged, (1, 2, 3))).collect()}
+    cell = '</td><td style="text-align:right;vertical-align:bottom;padding-left:1em">'
+    assert out[2] == "none" and "old" not in out[1] and f'padding:1px 0 1px 1.5em">Two x{cell}3</td></tr>\n' in out[1] and f'1px 3.0em">Three{cell}</td>' in out[1] and out[1].endswith(f"{headings.TOC_END}\nz")
+
+
+def test_contents_do_not_hold_their_own_headings(spark):
+    text = f"## Preface\nx\n# Contents\n## Contents\n{headings.TOC_START}\n## Old\n```\n{headings.TOC_END}\n## Alpha\ntext\n### Beta & <c>\n#### deep\n## Gone"
+    docs = spark.createDataFrame([(1, text), (2, "## A\nno marks"), (3, f"{headings.TOC_START}\n{headings.TOC_END}\n## A")], "id int, text string")
+    listed = headings.contents_headings(docs)
+    assert rows(listed.select("id", "title", "part")) == [(1, "Alpha", 2), (1, "Beta &", 2), (1, "Contents", 1), (1, "Gone", 2), (1, "Preface", 0)]
+    bodies = ["preface", "of all", "Contents Preface 1 Alpha 4 Beta & 5", "alpha", "beta &"]
+    pages = spark.createDataFrame([(1, k, b) for k, b in enumerate(bodies)], "id int, page int, body string")
+    paged = headings.heading_pages(listed, pages)
+    assert [tuple(r) for r in paged.orderBy("line").select("title", "page").collect()] == [("Preface", 0), ("Contents", 2), ("Alpha", 3), ("Beta &", 4), ("Gone", None)]
+    assert "Contents" not in headings.toc_block(paged).head().toc
 
 
 def test_heading_pages_against_a_plain_loop(spark):
