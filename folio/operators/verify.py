@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folio.functions import records as rc
 from folio.functions import text as tx
 
+#: Page anchors of quotations, and lines of a page number alone.
 ANCHOR = r"[—–-]\s*(?:с|стр|p|pp)\.\s*(\d+(?:\s*[—–-]\s*\d+)?)\s*$"
-#: Page anchors of quotations, and identifiers.
+#: Identifiers.
 DOI = r"(?i)\b10\.[0-9]{4,9}/[^\s\"'<>{}()\[\]]+"
 #: Characters that formatting varies and meaning doesn't.
 QUOTES_AND_EMPHASIS = "«»“”„\"'*_`­"
@@ -137,6 +139,60 @@ def surnames(context: Column, stop: list[str]) -> Column:
     return F.array_distinct(F.filter(folded, lambda f: (F.length(f) >= 2) & ~F.array_contains(F.array(*map(F.lit, stop)), f)))
 
 
+#: Words that are no surnames, and say nothing in titles and venues.
+CITATION_STOP = (
+    "the and of for with on in to a an by from as is at that this be or which but not edition vol volume no pages page doi url isbn issn pp p international journal "
+    "review research science studies report based using approach analysis framework study trends bibliometric literature systematic preprint"
+).split()
+
+
+def content_words(text: Column, shortest: int = 3) -> Column:
+    """The set of folded words of some length that say something."""
+    return F.array_except(tx.word_set(text, shortest), F.array(*map(F.lit, CITATION_STOP)))
+
+
+def cited_dois(texts: DataFrame, per_line: bool = False, before: int = 600, after: int = 64, id_col: str = "id", text_col: str = "text") -> DataFrame:
+    """(id, n, doi, context): each identifier of a text at its first occurrence, with the text around it or, for bibliographies of
+    a line an entry, with its line without its identifiers. A null text has none."""
+    rows = texts.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    if per_line:
+        rows = rows.select("id", F.posexplode(F.split("text", "\n")).alias("line", "text"))
+    else:
+        rows = rows.withColumn("line", F.lit(0))
+    found, between = F.regexp_extract_all("text", F.lit(DOI), F.lit(0)), F.split("text", DOI)
+    zero = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<int>)").alias("starts"))
+    place = F.aggregate(F.arrays_zip(between.alias("b"), found.alias("m")), zero, lambda s, x: F.struct((s["at"] + F.length(x["b"]) + F.coalesce(F.length(x["m"]), F.lit(0))).alias("at"), F.concat(s["starts"], F.array(s["at"] + F.length(x["b"]))).alias("starts")))
+    rows = rows.where(F.col("text").rlike(DOI)).select("id", "line", "text", F.posexplode(F.arrays_zip(found.alias("m"), F.slice(place["starts"], F.lit(1), F.size(found)).alias("start"))).alias("k", "x"))
+    raw, start = F.col("x.m"), F.col("x.start")
+    around = F.regexp_replace("text", DOI, " ") if per_line else rc.citation_context(F.col("text"), start, start + F.length(raw), before, after)
+    rows = rows.select("id", "line", "k", F.regexp_replace(raw, r"[.,;:)\]>]+$", "").alias("doi"), around.alias("context"))
+    first = rows.groupBy("id", F.lower("doi").alias("key")).agg(F.min(F.struct("line", "k", "doi", "context")).alias("x"))
+    return first.select("id", F.struct("x.line", "x.k").alias("n"), "x.doi", "x.context")
+
+
+def verify_citations(cited: DataFrame, works: DataFrame, title_floor: float = 0.3, venue_floor: float = 0.4) -> DataFrame:
+    """cited (of ``cited_dois``) with status, title_overlap and venue_overlap against the works that services know.
+
+    ERROR: the service failed; NOTFOUND: it knows no such work; else OK or what differs of AUTHORS (no cited surname is a part of any
+    family name), TITLE and VENUE (words in common below the floor). What either side lacks is not compared. works: doi, error,
+    title, venue, families (an array); of several rows of a doi the first that is no error counts.
+    """
+    known = works.groupBy(F.lower("doi").alias("key")).agg(F.min(F.struct(F.col("error").isNotNull().alias("failed"), "error", "title", "venue", "families")).alias("w"))
+    rows = cited.withColumn("key", F.lower("doi")).join(known, "key", "left").drop("key")
+    title, venue = title_and_venue(F.col("context"))
+    sets = {"names": surnames(F.col("context"), CITATION_STOP), "t": content_words(title), "v": content_words(venue), "wt": content_words(F.regexp_replace(F.coalesce("w.title", F.lit("")), "<[^>]+>", "")), "wv": content_words(F.coalesce("w.venue", F.lit("")))}
+    families = F.filter(F.transform(F.coalesce("w.families", F.expr("cast(array() as array<string>)")), lambda f: tx.fold(F.trim(f))), lambda f: f != "")
+    rows = rows.withColumns(sets | {"blob": F.array_join(families, " ")})
+    both = lambda a, b: (F.size(a) > 0) & (F.size(b) > 0)
+    failed = F.coalesce(F.col("w.failed"), F.lit(False))
+    overlap = lambda a, b: F.when(both(a, b) & ~failed, tx.jaccard(F.col(a), F.col(b)))
+    agrees = F.exists("names", lambda s: F.contains(F.col("blob"), s))
+    rows = rows.withColumns({"title_overlap": overlap("t", "wt"), "venue_overlap": overlap("v", "wv")})
+    parts = {"AUTHORS": ((F.size("names") > 0) & (F.col("blob") != ""), agrees), "TITLE": (both("t", "wt"), F.coalesce(F.col("title_overlap") >= title_floor, F.lit(True))), "VENUE": (both("v", "wv"), F.coalesce(F.col("venue_overlap") >= venue_floor, F.lit(True)))}
+    status = verdict(F.col("w").isNotNull(), failed, parts)
+    return rows.select("id", "n", "doi", status.alias("status"), F.round("title_overlap", 2).alias("title_overlap"), F.round("venue_overlap", 2).alias("venue_overlap"))
+
+
 def verdict(found: Column, error: Column, parts: dict[str, tuple[Column, Column]]) -> Column:
     """ERROR, NOTFOUND, OK, or the names of what differs joined by '/'; parts: name -> (comparable, agrees)."""
     wrong = F.concat_ws("/", *[F.when(can & ~ok, F.lit(name)) for name, (can, ok) in parts.items()])
