@@ -7,7 +7,11 @@ from pyspark.sql import functions as F
 
 from . import text as tx
 
-ERROR_PAGE = r"(?i)(404 not found|access denied|captcha|страница не найдена|page not found)"
+#: What browsers and sites show instead of a page.
+ERROR_PHRASES = (
+    "site can.t be reached", "ERR_TIMED_OUT", "ERR_CONNECTION", "ERR_NAME_NOT_RESOLVED", "took too long to respond", "checking your browser", "just a moment", "Доступ ограничен",
+)
+ERROR_PAGE = "(?iu)" + "|".join(ERROR_PHRASES)
 #: Kinds of secrets and their patterns.
 SECRETS = {
     "private_key": r"-----BEGIN [A-Z ]*PRIVATE KEY-----",
@@ -178,3 +182,51 @@ def compare_key(text: Column) -> Column:
 def rounded(x: Column, digits: int) -> Column:
     """Rounding of the double's exact value, halves to even, as Python's round: 2.675 gives 2.67."""
     return F.replace(F.format_number(x, digits), F.lit(","), F.lit("")).cast("double")  # rounds the binary value; casts to decimal take the printed one
+
+
+def signed_end(text: Column, phrase: str, last: int = 400) -> Column:
+    """Whether a phrase that ends a complete act stands in its last characters; null is not."""
+    return F.coalesce(F.substring(text, F.greatest(F.length(text) - last + 1, F.lit(1)), F.lit(last)).rlike(phrase), F.lit(False))
+
+
+def inventory(text: Column, item: str) -> tuple[Column, Column, Column]:
+    """How many items (articles, say) a text has, the first and the last; none: 0 and nulls."""
+    found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(item), F.lit(0))
+    return F.size(found).cast("long"), F.get(found, F.lit(0)), F.try_element_at(found, F.lit(-1))
+
+
+def skipped_line(line: Column) -> Column:
+    """Lines that are no prose: with emphasis, or headings."""
+    return F.contains(line, F.lit("*")) | F.startswith(line, F.lit("#"))
+
+
+def item_key(body: Column) -> Column:
+    """The key that an answer names, by its form; empty if there is none."""
+    return F.regexp_extract(F.coalesce(body, F.lit("")), r'"key":\s*"([A-Z0-9]{8})"', 1)
+
+
+def collection_size(body: Column) -> Column:
+    """What an answer counts itself, else the length of its list, else -1."""
+    counted, listed = F.get_json_object(body, "$.metadata.count").cast("long"), F.json_array_length(F.get_json_object(body, "$.data")).cast("long")
+    return F.coalesce(counted, listed, F.json_array_length(F.when(F.trim(body).startswith("["), body)).cast("long"), F.lit(-1).cast("long"))
+
+
+def quarter_size(size: Column, digits: int = 6) -> Column:
+    """Sizes of type that are a quarter and no half: nobody sets them on purpose."""
+    whole = lambda k: F.round(size * k, digits) == F.floor(F.round(size * k, digits))
+    return whole(4) & ~whole(2)
+
+
+def first_source(sources: dict[str, Column]) -> Column:
+    """The name of the first source that is there; null if none is."""
+    return F.coalesce(*(F.when(there, F.lit(name)) for name, there in sources.items()))
+
+
+def reasons(tests: dict[str, Column]) -> Column:
+    """The names of the tests that hold, in their order; an unknown test doesn't."""
+    return F.array_compact(F.array(*(F.when(holds, F.lit(name)) for name, holds in tests.items())))
+
+
+def any_in_names(cited: Column, families: Column) -> Column:
+    """Whether any cited surname is a part of any folded family name: compound names agree too."""
+    return F.exists(cited, lambda s: F.exists(families, lambda f: F.contains(tx.fold(f), s)))

@@ -110,3 +110,10 @@ def spine_range(spines: DataFrame, by: str, value: str) -> DataFrame:
     """(by, median, low, high); the median is the upper of two."""
     ordered = F.array_sort(F.collect_list(value))
     return spines.groupBy(by).agg(ordered.alias("v")).select(by, F.get("v", F.expr("size(v) div 2")).alias("median"), F.get("v", F.lit(0)).alias("low"), F.element_at("v", -1).alias("high"))
+
+
+def table_grep(lines: DataFrame, pattern: str, text_col: str = "text") -> DataFrame:
+    """Rows of tables with a cell that matches."""
+    row = F.regexp_extract(text_col, r"^\s*\|(.+)\|\s*$", 1)
+    cells = F.transform(F.split(row, r"\|"), F.trim)
+    return lines.where((row != "") & F.exists(cells, lambda c: c.rlike(pattern)))

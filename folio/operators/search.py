@@ -44,6 +44,12 @@ def query_terms(question: str) -> list[tuple[str, bool]]:
     return list(dict.fromkeys((w[:PREFIX], True) if len(w) >= PREFIX else (w, False) for w in words))
 
 
+def question_terms(question: Column) -> Column:
+    """The same of a column of questions: an array of (term, is_prefix) in order of first occurrence; null asks nothing."""
+    one = lambda w: F.struct(F.substring(w, 1, PREFIX).alias("term"), (F.length(w) >= PREFIX).alias("is_prefix"))
+    return F.array_distinct(F.transform(tx.index_words(question), one))
+
+
 def _totals(lengths: DataFrame) -> DataFrame:
     return lengths.agg(F.count("*").alias("docs"), F.avg("dl").alias("avgdl"))
 

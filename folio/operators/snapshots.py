@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folio.storage import cut
@@ -152,9 +152,14 @@ def unexpected_after_purge(before: DataFrame, after: DataFrame, purged: DataFram
     return d.join(allowed, [KIND, KEY], "left").where((F.col(OP) != "remove") | F.col("_ok").isNull()).select(KIND, KEY, OP)
 
 
-def advance_base(spark: SparkSession, base: DataFrame, proposed: DataFrame, accepted: list[bool]) -> DataFrame:
-    """The new common base: the proposed state once every peer has accepted it, else the old one."""
-    return proposed if accepted and all(accepted) else base
+def advance_base(base: DataFrame, proposed: DataFrame, votes: DataFrame) -> DataFrame:
+    """The new common base: the proposed state once every peer has accepted it, else the old one. votes: peer, accepted.
+
+    Of several votes of a peer one refusal counts; a null vote is none yet. Without any peer nothing moves.
+    """
+    told = votes.groupBy("peer").agg(F.bool_and(F.coalesce("accepted", F.lit(False))).alias("yes"))
+    agreed = F.broadcast(told.agg(F.coalesce(F.bool_and("yes"), F.lit(False)).alias("_moves")))  # one row
+    return proposed.crossJoin(agreed).where("_moves").drop("_moves").unionByName(base.crossJoin(agreed).where("not _moves").drop("_moves"))
 
 
 def same_state(left: DataFrame, right: DataFrame) -> DataFrame:

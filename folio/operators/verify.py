@@ -102,6 +102,15 @@ def corrupted(quote: Column, least: int = 8) -> Column:
     return F.when(F.size(words) >= least, F.array_join(F.transform(words, lambda w, k: F.when(k == middle, F.concat(w, F.lit("xq"))).otherwise(w)), " "))
 
 
+def anchor_guard(declared: DataFrame, quotes: DataFrame) -> DataFrame:
+    """(id, declared, extracted): an error for any draft whose anchors and quotations differ in number, those without any quotation
+    included. declared: id, declared."""
+    found = quotes.groupBy("id").agg(F.count("*").alias("extracted"))
+    both = declared.join(found, "id", "full_outer").select("id", F.coalesce("declared", F.lit(0).cast("long")).alias("declared"), F.coalesce("extracted", F.lit(0).cast("long")).alias("extracted"))
+    told = F.when(F.col("declared") == F.col("extracted"), F.col("declared")).otherwise(F.raise_error(F.concat(F.lit("anchors without quotes in "), F.col("id").cast("string"))).cast("long"))
+    return both.select("id", told.alias("declared"), "extracted")
+
+
 def expand_citations(group: Column) -> Column:
     """'15–28; 21' as sorted distinct numbers; ranges count both ends in either order."""
     parts = F.transform(F.split(group, r"\s*;\s*"), lambda p: F.transform(F.regexp_extract_all(p, F.lit(r"\d+"), F.lit(0)), lambda x: x.cast("int")))

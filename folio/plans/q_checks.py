@@ -65,10 +65,9 @@ def g06_negative_control(spark, sf):
 
 @query("g07_anchor_guard", f"WITH {QUOTES} SELECT id, count(*) AS declared, count(*) AS extracted FROM quotes GROUP BY id")
 def g07_anchor_guard(spark, sf):
-    q = quotes(spark, sf).groupBy("id").agg(F.count("*").alias("extracted"))
     w = F.filter(F.split("body", r"\s+"), lambda x: x != "")
     declared = pages(spark, sf).where(F.size(w) >= 20).groupBy("id").agg(F.count("*").alias("declared"))
-    return declared.join(q, "id").select("id", F.when(F.col("declared") == F.col("extracted"), F.col("declared")).otherwise(F.raise_error(F.lit("anchors without quotes")).cast("long")).alias("declared"), "extracted")
+    return ve.anchor_guard(declared, quotes(spark, sf))
 
 
 # citations: a text per customer cites order numbers modulo 50; entries 1 to 45 without multiples of 9, 7 twice
@@ -305,5 +304,4 @@ def j22_preceding_heading(spark, sf):
 
 @query("p13_table_grep", f"WITH {LINES} SELECT doc, line FROM lines WHERE starts_with(text, '|') AND regexp_matches(text, '7')")
 def p13_table_grep(spark, sf):
-    cells = F.transform(F.split(F.regexp_extract("text", r"^\|(.*)\|$", 1), r"\|"), F.trim)
-    return lines(spark, sf).where(F.col("text").startswith("|")).where(F.exists(cells, lambda c: c.rlike("7"))).select("doc", "line")
+    return ge.table_grep(lines(spark, sf), "7").select("doc", "line")

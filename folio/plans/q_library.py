@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from folio.operators import acquisition as aq
 from folio.operators import audit as au
 from folio.operators import discovery as di
 from folio.operators.numbering import numbered
@@ -251,19 +252,18 @@ def a23_merge_log(spark, sf):
 
 @query("a09_flow_counts", "SELECT count(*) AS total, count(*) FILTER (n_chars > 1000) AS with_text, count(*) FILTER (NOT n_chars > 1000) AS without_text FROM documents")
 def a09_flow_counts(spark, sf):
-    has = F.col("n_chars") > 1000
-    return table(spark, sf, "documents").agg(F.count("*").alias("total"), F.count_if(has).alias("with_text"), F.count_if(~has).alias("without_text"))
+    return aq.flow_counts(table(spark, sf, "documents"), F.col("n_chars") > 1000)
 
 
 @query("a10_gross_and_distinct", "SELECT o_orderpriority AS grp, count(*) AS gross, count(DISTINCT o_custkey) AS distinct_n FROM orders GROUP BY o_orderpriority")
 def a10_gross_and_distinct(spark, sf):
-    return table(spark, sf, "orders").groupBy(F.col("o_orderpriority").alias("grp")).agg(F.count("*").alias("gross"), F.countDistinct("o_custkey").alias("distinct_n"))
+    return aq.gross_and_distinct(table(spark, sf, "orders").withColumnRenamed("o_orderpriority", "grp"), "grp", "o_custkey")
 
 
 @query("a15_log_rollup", "SELECT count(*) FILTER (starts_with(s, 'OK')) AS ok, count(*) FILTER (starts_with(s, 'skip')) AS skipped, count(*) FILTER (starts_with(s, 'FAIL')) AS failed FROM (SELECT CASE event_type WHEN 'view' THEN 'OK: x' WHEN 'click' THEN 'FAIL: y' ELSE 'skip: z' END AS s FROM events)")
 def a15_log_rollup(spark, sf):
     s = F.when(F.col("event_type") == "view", "OK: x").when(F.col("event_type") == "click", "FAIL: y").otherwise("skip: z")
-    return table(spark, sf, "events").select(s.alias("s")).agg(*[F.count_if(F.startswith("s", F.lit(p))).alias(n) for p, n in (("OK", "ok"), ("skip", "skipped"), ("FAIL", "failed"))])
+    return table(spark, sf, "events").select(s.alias("s")).transform(aq.log_rollup, "s", {"ok": "OK", "skipped": "skip", "failed": "FAIL"})
 
 
 @query("a29_last_wins", "SELECT o_custkey AS key, arg_max(o_totalprice, o_orderkey) AS value FROM orders GROUP BY o_custkey")

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from folio.functions import records as rc
 from folio.functions import text as tx
+from folio.operators import acquisition as aq
 from folio.operators import geometry as ge
+from folio.operators import sheets as sh
 from folio.operators import verify as ve
 
 from .lifts import table
@@ -20,20 +21,20 @@ def orders(spark, sf):
     return table(spark, sf, "orders")
 
 
-@query("p06_failed_render", "SELECT doc_id, regexp_matches(text, '(?i)(404 not found|access denied|captcha|страница не найдена|page not found)') OR length(text) < 250 AS failed FROM documents")
+@query("p06_failed_render", "SELECT doc_id, regexp_matches(text, '(?i)site can.t be reached|ERR_TIMED_OUT|ERR_CONNECTION|ERR_NAME_NOT_RESOLVED|took too long to respond|checking your browser|just a moment|Доступ ограничен') OR length(text) < 250 AS failed FROM documents")
 def p06_failed_render(spark, sf):
     return table(spark, sf, "documents").select("doc_id", rc.failed_render(F.col("text")).alias("failed"))
 
 
 @query("p07_signed_end", "SELECT doc_id, regexp_matches(right(text, 400), '(the|der|le) ') AS signed FROM documents")
 def p07_signed_end(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.expr("right(text, 400)").rlike("(the|der|le) ").alias("signed"))
+    return table(spark, sf, "documents").select("doc_id", rc.signed_end(F.col("text"), "(the|der|le) ").alias("signed"))
 
 
 @query("p08_inventory", "SELECT doc_id, CAST(len(m) AS BIGINT) AS n, m[1] AS first, m[-1] AS last FROM (SELECT doc_id, regexp_extract_all(text, '[A-Z][a-z]+') AS m FROM documents)")
 def p08_inventory(spark, sf):
-    m = F.regexp_extract_all("text", F.lit("[A-Z][a-z]+"), F.lit(0))
-    return table(spark, sf, "documents").select("doc_id", m.alias("m")).select("doc_id", F.size("m").cast("long").alias("n"), F.get("m", F.lit(0)).alias("first"), F.try_element_at("m", F.lit(-1)).alias("last"))
+    n, first, last = rc.inventory(F.col("text"), "[A-Z][a-z]+")
+    return table(spark, sf, "documents").select("doc_id", n.alias("n"), first.alias("first"), last.alias("last"))
 
 
 @query("p09_valid_pdf", "SELECT doc_id, strlen(text) + 5 * CAST(doc_id % 2 = 0 AS INT) > 5000 AND doc_id % 2 = 0 AS ok FROM documents")
@@ -55,7 +56,7 @@ def p15_secrets(spark, sf):
 
 @query("p17_skipped_lines", "SELECT doc_id, count(*) FILTER (contains(x, '*') OR starts_with(x, '#')) AS skipped FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS x FROM documents) GROUP BY doc_id")
 def p17_skipped_lines(spark, sf):
-    skip = F.filter(F.split("text", "\n"), lambda x: F.contains(x, F.lit("*")) | F.startswith(x, F.lit("#")))
+    skip = F.filter(F.split("text", "\n"), rc.skipped_line)
     return table(spark, sf, "documents").select("doc_id", F.size(skip).cast("long").alias("skipped"))
 
 
@@ -63,7 +64,7 @@ def p17_skipped_lines(spark, sf):
 def p21_fallback(spark, sf):
     c = table(spark, sf, "customer").select("c_custkey")
     first = orders(spark, sf).where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("c_custkey"), F.col(K).alias("hit"))
-    return c.join(first, "c_custkey").unionByName(c.join(first, "c_custkey", "left_anti").withColumn("hit", F.lit(-1).cast("long")))
+    return aq.with_fallback(c, first, c.withColumn("hit", F.lit(-1).cast("long")), "c_custkey")
 
 
 @query("p22_venue_field", "SELECT p_partkey, CASE p_size % 4 WHEN 0 THEN 'publicationTitle' WHEN 1 THEN 'proceedingsTitle' WHEN 2 THEN 'bookTitle' ELSE 'publisher' END AS field FROM part")
@@ -94,7 +95,7 @@ def x02_year(spark, sf):
 @query("x13_item_key", "SELECT o_orderkey, lpad(CAST(o_orderkey AS VARCHAR), 8, 'K') AS key FROM orders")
 def x13_item_key(spark, sf):
     body = F.concat(F.lit('{"successful": {"0": {"key": "'), F.lpad(F.col(K).cast("string"), 8, "K"), F.lit('", "version": 3}}}'))
-    return orders(spark, sf).select(K, F.regexp_extract(body, r'"key":\s*"([A-Z0-9]{8})"', 1).alias("key"))
+    return orders(spark, sf).select(K, rc.item_key(body).alias("key"))
 
 
 @query("x15_png_size", "SELECT o_orderkey, o_orderkey AS width, o_custkey AS height FROM orders")
@@ -107,8 +108,7 @@ def x15_png_size(spark, sf):
 @query("x11_quarter_sizes", "SELECT size FROM (SELECT DISTINCT l_discount * 100 + 0.25 * (l_linenumber % 4) AS size FROM lineitem) WHERE round(size * 4, 6) = floor(round(size * 4, 6)) AND round(size * 2, 6) <> floor(round(size * 2, 6))")
 def x11_quarter_sizes(spark, sf):
     s = table(spark, sf, "lineitem").select((F.col("l_discount") * 100 + 0.25 * (F.col("l_linenumber") % 4)).alias("size")).distinct()
-    whole = lambda k: F.round(F.col("size") * k, 6) == F.floor(F.round(F.col("size") * k, 6))
-    return s.where(whole(4) & ~whole(2))
+    return s.where(rc.quarter_size(F.col("size")))
 
 
 @query("f13_portable_path", "SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN 'storage:a/' || o_orderkey WHEN 1 THEN 'home:b/' || o_orderkey ELSE '/tmp/' || o_orderkey END AS path FROM orders")
@@ -148,10 +148,7 @@ def f44_without_tags(spark, sf):
 
 @query("f49_first_authors", "SELECT c_nationkey, array_to_string(list_sort(list(c_name))[1:6], '; ') AS authors FROM customer GROUP BY c_nationkey")
 def f49_first_authors(spark, sf):
-    # the six smallest by a bounded rank, so that no task gathers a whole group
-    w = Window.partitionBy("c_nationkey").orderBy("c_name", "c_custkey")
-    six = table(spark, sf, "customer").withColumn("k", F.row_number().over(w)).where("k <= 6")
-    return six.groupBy("c_nationkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "c_name"))), lambda x: x.c_name), "; ").alias("authors"))
+    return aq.first_names(table(spark, sf, "customer"), "c_nationkey", ["c_name", "c_custkey"], "c_name").withColumnRenamed("names", "authors")
 
 
 @query("f52_filled_template", "SELECT p_partkey, p_name || ' (' || p_size || ')' AS text FROM part")
@@ -197,50 +194,48 @@ def k04_creators(spark, sf):
 def s26_work_list(spark, sf):
     src = table(spark, sf, "documents").select("doc_id", F.concat(F.lit("a/f"), "doc_id", F.lit(".docx")).alias("path"))
     done = src.where("doc_id % 4 = 0").select(F.concat(F.lit("a/f"), "doc_id", F.lit(".md")).alias("path"))
-    stem = lambda c: F.regexp_replace(c, r"\.[^./]*$", "")
-    made = done.select(stem(F.col("path")).alias("stem"), F.lit(True).alias("made")).distinct()
-    return src.join(made, stem(F.col("path")) == F.col("stem"), "left").select("doc_id", F.coalesce("made", F.lit(False)).alias("skipped"))
+    return aq.work_list(src, done).select("doc_id", "skipped")
 
 
 @query("s42_first_url", "SELECT url, min(q) AS q FROM (SELECT o_custkey % 97 AS url, o_orderkey AS q FROM orders) GROUP BY url")
 def s42_first_url(spark, sf):
     rows = orders(spark, sf).select((F.col("o_custkey") % 97).alias("url"), F.col(K).alias("q"))
-    return rows.withColumn("k", F.row_number().over(Window.partitionBy("url").orderBy("q"))).where("k = 1").drop("k")
+    return aq.first_hits(rows, "url", "q")
 
 
 @query("a19_mean_confidence", "SELECT l_orderkey AS page, avg(CASE WHEN l_linenumber % 2 = 0 THEN l_discount END) AS conf FROM lineitem GROUP BY l_orderkey HAVING avg(CASE WHEN l_linenumber % 2 = 0 THEN l_discount END) > 0 AND avg(CASE WHEN l_linenumber % 2 = 0 THEN l_discount END) < 0.05")
 def a19_mean_confidence(spark, sf):
     conf = F.when(F.col("l_linenumber") % 2 == 0, F.col("l_discount"))
-    return table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("page")).agg(F.avg(conf).alias("conf")).where("conf > 0 and conf < 0.05")
+    return sh.doubtful_pages(sh.mean_confidence(table(spark, sf, "lineitem").withColumnRenamed("l_orderkey", "page"), "page", conf), 0.05)
 
 
 @query("a28_collection_size", "SELECT o_orderkey, CAST(CASE o_orderkey % 3 WHEN 0 THEN o_orderkey WHEN 1 THEN 2 ELSE -1 END AS BIGINT) AS size FROM orders")
 def a28_collection_size(spark, sf):
     k = F.col(K)
     body = F.when(k % 3 == 0, F.concat(F.lit('{"metadata":{"count":'), k, F.lit("}}"))).when(k % 3 == 1, '{"data":[1,2]}').otherwise('{"x":1}')
-    return orders(spark, sf).select(K, F.coalesce(F.get_json_object(body, "$.metadata.count").cast("long"), F.json_array_length(F.get_json_object(body, "$.data")).cast("long"), F.lit(-1).cast("long")).alias("size"))
+    return orders(spark, sf).select(K, rc.collection_size(body).alias("size"))
 
 
 @query("g04_spreads", "SELECT l_orderkey AS page, bool_or(l_quantity / 5 < 4 AND l_quantity / 5 + 1 < 5) AND bool_or(l_quantity / 5 > 5) AS spread FROM lineitem GROUP BY l_orderkey")
 def g04_spreads(spark, sf):
     x = F.col("l_quantity") / 5
-    return table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("page")).agg((F.bool_or((x < 4) & (x + 1 < 5)) & F.bool_or(x > 5)).alias("spread"))
+    return sh.spreads(table(spark, sf, "lineitem").withColumnRenamed("l_orderkey", "page"), "page", x, x + 1, F.lit(10.0))
 
 
 @query("g05_cut_lines", "SELECT l_orderkey AS page, count(*) AS cut FROM lineitem WHERE l_quantity / 5 < 5 AND l_quantity / 5 + 1 + l_tax * 30 > 5 GROUP BY l_orderkey")
 def g05_cut_lines(spark, sf):
     x = F.col("l_quantity") / 5
-    return table(spark, sf, "lineitem").where((x < 5) & (x + 1 + F.col("l_tax") * 30 > 5)).groupBy(F.col("l_orderkey").alias("page")).agg(F.count("*").alias("cut"))
+    return sh.cut_lines(table(spark, sf, "lineitem").withColumnRenamed("l_orderkey", "page"), "page", x, x + 1 + F.col("l_tax") * 30, F.lit(5))
 
 
 @query("o09_worst_sheets", "SELECT l_orderkey AS page, count(*) AS cut FROM lineitem WHERE l_quantity / 5 < 5 AND l_quantity / 5 + 1 + l_tax * 30 > 5 GROUP BY l_orderkey ORDER BY cut DESC, page LIMIT 8")
 def o09_worst_sheets(spark, sf):
-    return g05_cut_lines(spark, sf).orderBy(F.desc("cut"), "page").limit(8)
+    return sh.worst_sheets(g05_cut_lines(spark, sf), "page")
 
 
 @query("g08_junk_references", "SELECT o_custkey % 200 AS ref, count(DISTINCT o_orderkey % 1000) AS docs FROM orders GROUP BY ref HAVING count(DISTINCT o_orderkey % 1000) >= 60")
 def g08_junk_references(spark, sf):
-    return orders(spark, sf).groupBy((F.col("o_custkey") % 200).alias("ref")).agg(F.countDistinct(F.col(K) % 1000).alias("docs")).where("docs >= 60")
+    return sh.furniture_references(orders(spark, sf).select((F.col("o_custkey") % 200).alias("ref"), (F.col(K) % 1000).alias("doc")), "ref", "doc", 60)
 
 
 @query("g03_deck_lint", "WITH box AS (SELECT l_orderkey AS slide, l_linenumber AS i, l_quantity / 5 AS x, l_discount * 40 AS y, 1 + l_tax * 30 AS w, 0.5 + l_linenumber / 4.0::DOUBLE AS h FROM lineitem), p AS (SELECT a.slide, a.x AS ax, a.y AS ay, a.w AS aw, a.h AS ah, b.x AS bx, b.y AS \"by\", b.w AS bw, b.h AS bh FROM box a JOIN box b ON a.slide = b.slide AND a.i < b.i) SELECT 'E-collide' AS code, count(*) AS n FROM p WHERE least(ax + aw, bx + bw) - greatest(ax, bx) > 0.08 AND least(ay + ah, \"by\" + bh) - greatest(ay, \"by\") > 0.08 UNION ALL SELECT 'E-align', count(*) FROM p WHERE abs(aw - bw) < 0.6 AND abs(ah - bh) < 0.6 AND least(ay + ah, \"by\" + bh) - greatest(ay, \"by\") > 0.5 * least(ah, bh) AND (abs(ay - \"by\") > 0.02 OR abs(ah - bh) > 0.02)")
@@ -257,52 +252,46 @@ def g03_deck_lint(spark, sf):
 
 @query("g12_text_audit", "SELECT doc_id, concat_ws('; ', CASE WHEN k >= 3 AND n_chars > 1000 THEN 'same length' END, CASE WHEN n_chars < 200 THEN 'short' END) AS why FROM (SELECT doc_id, n_chars, count(*) OVER (PARTITION BY n_chars) AS k FROM documents) WHERE (k >= 3 AND n_chars > 1000) OR n_chars < 200")
 def g12_text_audit(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", "n_chars").withColumn("k", F.count("*").over(Window.partitionBy("n_chars")))
-    why = F.array_compact(F.array(F.when((F.col("k") >= 3) & (F.col("n_chars") > 1000), "same length"), F.when(F.col("n_chars") < 200, "short")))
-    return d.select("doc_id", why.alias("w")).where("size(w) > 0").select("doc_id", F.array_join("w", "; ").alias("why"))
+    return aq.text_audit(table(spark, sf, "documents"), "doc_id", "n_chars").select("doc_id", F.array_join("why", "; ").alias("why"))
 
 
 @query("g19_flow_numbers", "SELECT 'documents' AS step, count(*) AS n FROM documents UNION ALL SELECT 'with text', count(*) FROM documents WHERE n_chars > 1000 UNION ALL SELECT 'judged', count(*) FROM documents SEMI JOIN labels USING (doc_id) UNION ALL SELECT 'good', count(*) FROM documents JOIN labels USING (doc_id) WHERE quality = 1")
 def g19_flow_numbers(spark, sf):
     d = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
-    n = d.agg(F.count("*").alias("documents"), F.count_if(F.col("n_chars") > 1000).alias("with text"), F.count("quality").alias("judged"), F.count_if(F.col("quality") == 1).alias("good"))
-    return n.select(F.explode(F.array(*[F.struct(F.lit(c).alias("step"), F.col(c).alias("n")) for c in n.columns])).alias("x")).select("x.step", "x.n")
+    return aq.flow_numbers(d, {"documents": F.lit(True), "with text": F.col("n_chars") > 1000, "judged": F.col("quality").isNotNull(), "good": F.col("quality") == 1})
 
 
 @query("u09_canonical_sets", "SELECT c_nationkey, array_to_string(list_sort(list_distinct(list(c_mktsegment))), ',') AS tags FROM customer GROUP BY c_nationkey")
 def u09_canonical_sets(spark, sf):
-    return table(spark, sf, "customer").groupBy("c_nationkey").agg(F.array_join(F.array_sort(F.collect_set("c_mktsegment")), ",").alias("tags"))
+    return aq.canonical_sets(table(spark, sf, "customer"), "c_nationkey", "c_mktsegment").select("c_nationkey", F.array_join("members", ",").alias("tags"))
 
 
 @query("u12_first_of_equal_texts", "SELECT min(doc_id) AS doc_id, count(*) AS copies FROM documents GROUP BY text")
 def u12_first_of_equal_texts(spark, sf):
-    return table(spark, sf, "documents").groupBy("text").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies")).drop("text")
+    return aq.first_of_equal(table(spark, sf, "documents"), "text", "doc_id")
 
 
 @query("o12_log_order", "SELECT event_id, row_number() OVER (PARTITION BY user_id ORDER BY CASE WHEN event_id % 3 = 0 THEN '~' ELSE event_type END, event_id) AS place FROM events")
 def o12_log_order(spark, sf):
     path = F.when(F.col("event_id") % 3 != 0, F.col("event_type"))
-    w = Window.partitionBy("user_id").orderBy(F.coalesce(path, F.lit("~")), "event_id")
-    return table(spark, sf, "events").select("event_id", F.row_number().over(w).cast("long").alias("place"))
+    return aq.in_log_order(table(spark, sf, "events").select("user_id", "event_id", path.alias("path")), "user_id", "path", "event_id").select("event_id", "place")
 
 
 @query("o11_url_order", "SELECT o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderstatus <> 'F', o_orderkey) AS place FROM orders")
 def o11_url_order(spark, sf):
-    w = Window.partitionBy("o_custkey").orderBy(F.col("o_orderstatus") != "F", K)
-    return orders(spark, sf).select(K, F.row_number().over(w).cast("long").alias("place"))
+    return aq.in_url_order(orders(spark, sf).select("o_custkey", K, (F.col("o_orderstatus") == "F").alias("best")), "o_custkey", "best", K).select(K, "place")
 
 
 @query("j14_identifier_join", "WITH ids AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 3 = 0 THEN 'd' || p_partkey END AS doi, 'a' || (p_partkey % 500) || 'v1' AS arxiv FROM part), d AS (SELECT 'd' || p_partkey AS doi, p_partkey AS item FROM part WHERE p_partkey % 2 = 0), a AS (SELECT 'a' || p_partkey AS arxiv, p_partkey + 100000 AS item FROM part WHERE p_partkey < 400) SELECT k, coalesce(d.item, a.item) AS item FROM ids LEFT JOIN d USING (doi) LEFT JOIN a ON a.arxiv = regexp_replace(ids.arxiv, 'v[0-9]+$', '')")
 def j14_identifier_join(spark, sf):
     p, k = table(spark, sf, "part"), F.col("p_partkey")
     ids = p.select(k.alias("k"), F.when(k % 3 == 0, F.concat(F.lit("d"), k)).alias("doi"), F.concat(F.lit("a"), k % 500, F.lit("v1")).alias("arxiv"))
-    d = p.where(k % 2 == 0).select(F.concat(F.lit("d"), k).alias("doi"), k.alias("by_doi"))
-    a = p.where(k < 400).select(F.concat(F.lit("a"), k).alias("plain"), (k + 100000).alias("by_arxiv"))
-    rows = ids.join(d, "doi", "left").join(a, F.regexp_replace("arxiv", "v[0-9]+$", "") == F.col("plain"), "left")
-    return rows.select("k", F.coalesce("by_doi", "by_arxiv").alias("item"))
+    none = F.lit(None).cast("string")
+    items = p.where(k % 2 == 0).select(k.alias("item"), F.concat(F.lit("d"), k).alias("doi"), none.alias("arxiv")).unionByName(p.where(k < 400).select((k + 100000).alias("item"), none.alias("doi"), F.concat(F.lit("a"), k).alias("arxiv")))
+    return aq.by_identifier(ids, items)
 
 
 @query("j27_family_names", "SELECT c_custkey, len(list_filter(['iva', 'petr'], lambda s: contains(n, s))) > 0 AS agrees FROM (SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'ivanov' WHEN c_custkey % 3 = 1 THEN 'petrova' ELSE 'smith' END AS n FROM customer)")
 def j27_family_names(spark, sf):
     name = F.when(F.col("c_custkey") % 3 == 0, "Ivanóv").when(F.col("c_custkey") % 3 == 1, "Petrova").otherwise("Smith")
-    return table(spark, sf, "customer").select("c_custkey", F.exists(F.array(F.lit("iva"), F.lit("petr")), lambda s: F.contains(tx.fold(name), s)).alias("agrees"))
+    return table(spark, sf, "customer").select("c_custkey", rc.any_in_names(F.array(F.lit("iva"), F.lit("petr")), F.array(name)).alias("agrees"))

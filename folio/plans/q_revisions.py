@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from folio.functions import records as rc
+from folio.operators import acquisition as aq
 from folio.operators import align as al
 from folio.operators import markup as mk
 from folio.sources import readers, sinks
@@ -76,13 +78,12 @@ def w17_last_turn(spark, sf):
 
 @query("a26_conversation_shape", "SELECT conv_id, string_agg(role || ':' || length(text), ' ' ORDER BY turn) AS shape FROM conversations GROUP BY conv_id")
 def a26_conversation_shape(spark, sf):
-    rows = table(spark, sf, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", F.concat_ws(":", "role", F.length("text")).alias("x")))).alias("s"))
-    return rows.select("conv_id", F.array_join(F.transform("s", lambda x: x.x), " ").alias("shape"))
+    return aq.conversation_shapes(table(spark, sf, "conversations"))
 
 
 @query("p20_any_long_turn", "SELECT conv_id, bool_or(length(text) > 400) AS long_turn FROM conversations GROUP BY conv_id")
 def p20_any_long_turn(spark, sf):
-    return table(spark, sf, "conversations").groupBy("conv_id").agg(F.bool_or(F.length("text") > 400).alias("long_turn"))
+    return aq.any_turn(table(spark, sf, "conversations"), F.length("text") > 400, "long_turn")
 
 
 @query("a25_tool_calls", "SELECT user_id AS conv, CAST(event_id % 2 AS INTEGER) AS index, arg_max(event_type, event_id) FILTER (event_type <> 'view') AS name, string_agg(event_id % 10, '' ORDER BY event_id) AS arguments FROM events GROUP BY ALL")
@@ -146,13 +147,13 @@ def s19_form_feeds(spark, sf):
 @query("s22_source_precedence", "SELECT doc_id, CASE WHEN quality = 1 THEN 'pdf' WHEN toxic = 1 THEN 'cache' WHEN n_chars > 500 THEN 'html' END AS src FROM documents LEFT JOIN labels USING (doc_id)")
 def s22_source_precedence(spark, sf):
     d = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
-    return d.select("doc_id", F.coalesce(F.when(F.col("quality") == 1, "pdf"), F.when(F.col("toxic") == 1, "cache"), F.when(F.col("n_chars") > 500, "html")).alias("src"))
+    return d.select("doc_id", rc.first_source({"pdf": F.col("quality") == 1, "cache": F.col("toxic") == 1, "html": F.col("n_chars") > 500}).alias("src"))
 
 
 @query("j26_manifest_reasons", "SELECT doc_id, concat_ws('; ', CASE WHEN quality IS NULL THEN 'not extracted' END, CASE WHEN quality = 0 THEN 'incomplete' END, CASE WHEN n_chars < 200 THEN 'short' END) AS why FROM documents LEFT JOIN labels USING (doc_id) WHERE quality IS NULL OR quality = 0 OR n_chars < 200")
 def j26_manifest_reasons(spark, sf):
     d = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
-    why = F.filter(F.array(F.when(F.col("quality").isNull(), "not extracted"), F.when(F.col("quality") == 0, "incomplete"), F.when(F.col("n_chars") < 200, "short")), lambda x: x.isNotNull())
+    why = rc.reasons({"not extracted": F.col("quality").isNull(), "incomplete": F.col("quality") == 0, "short": F.col("n_chars") < 200})
     return d.select("doc_id", why.alias("w")).where("size(w) > 0").select("doc_id", F.array_join("w", "; ").alias("why"))
 
 
@@ -160,11 +161,10 @@ def j26_manifest_reasons(spark, sf):
 def j33_manifest_refresh(spark, sf):
     d = table(spark, sf, "documents").select("doc_id")
     current, previous = d.where("doc_id % 3 = 0").withColumn("src", F.lit("new")), d.where("doc_id % 2 = 0").withColumn("src", F.lit("old"))
-    return current.unionByName(previous.join(current.select("doc_id"), "doc_id", "left_anti"))
+    return aq.refreshed(current, previous, "doc_id")
 
 
 @query("p01_live_items", "SELECT c_custkey, o_custkey IS NOT NULL AS trashed FROM customer LEFT JOIN (SELECT DISTINCT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT') ON o_custkey = c_custkey WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY')")
 def p01_live_items(spark, sf):
-    gone = table(spark, sf, "orders").where("o_orderpriority = '1-URGENT'").select("o_custkey").distinct()
-    live = table(spark, sf, "customer").where(~F.col("c_mktsegment").isin("BUILDING", "MACHINERY"))
-    return live.join(gone, F.col("c_custkey") == F.col("o_custkey"), "left").select("c_custkey", F.col("o_custkey").isNotNull().alias("trashed"))
+    gone = table(spark, sf, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("c_custkey"))
+    return aq.live_items(table(spark, sf, "customer"), gone, "c_custkey", "c_mktsegment", ("BUILDING", "MACHINERY"))

@@ -60,9 +60,9 @@ def o01_bm25_top(spark, sf):
     return top.select("cid", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
 
 
-@query("f07_query_terms", "SELECT * FROM (VALUES ('this', false), ('therea', true), ('pour', false), ('lichke', true), ('ciones', true), ('and', false), ('worthl', true)) t(term, is_prefix)")
+@query("f07_query_terms", r"SELECT item_id, x[1:6] AS term, length(x) >= 6 AS is_prefix FROM (SELECT DISTINCT item_id, CASE WHEN length(w) >= 6 THEN w[1:6] ELSE w END AS x FROM (SELECT item_id, unnest(regexp_extract_all(lower(strip_accents(text)), '[\p{L}\p{N}]+')) AS w FROM benchmark))")
 def f07_query_terms(spark, sf):
-    return spark.createDataFrame(se.query_terms(QUESTION), "term string, is_prefix boolean")
+    return table(spark, sf, "benchmark").select("item_id", F.explode(se.question_terms(F.col("text"))).alias("x")).select("item_id", "x.term", "x.is_prefix")
 
 
 VEC = """v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings), q AS (SELECT e AS qe FROM v WHERE vec_id = 0),

@@ -78,14 +78,27 @@ def a21_changed_aspects(spark, sf):
     return sn.changed_aspects(origin, replica, "k", ["name", "seg"]).select("k", F.array_join("aspects", ",").alias("aspects"))
 
 
-@query("u15_classify", """SELECT * FROM (VALUES ('conflict', 'conflict'), ('equal', 'equal'), ('ahead', 'replica_fast_forward'), ('behind', 'origin_fast_forward'), ('no base', 'conflict'), ('equal, no base', 'equal'), ('subset', 'replica_fast_forward')) t("case", mode)""")
+def classified_sql(name: str, origin: str, replica: str, base: str | None) -> str:
+    """The modes by counts of differences, in the order that the tests have."""
+    apart = lambda a, b: f"(SELECT count(*) FROM ((SELECT * FROM {a} EXCEPT SELECT * FROM {b}) UNION ALL (SELECT * FROM {b} EXCEPT SELECT * FROM {a})))"
+    if base is None:
+        return f"SELECT '{name}' AS \"case\", CASE WHEN {apart(origin, replica)} = 0 THEN 'equal' ELSE 'conflict' END AS mode"
+    ops = lambda state: f"(SELECT * FROM ({delta_sql('x', base, state)[6:-1]}))"
+    more = lambda a, b: f"(SELECT count(*) FROM (SELECT * FROM {ops(a)} EXCEPT SELECT * FROM {ops(b)}))"
+    return f"""SELECT '{name}', CASE WHEN {apart(origin, replica)} = 0 THEN 'equal' WHEN {apart(base, origin)} = 0 THEN 'replica_fast_forward' WHEN {apart(base, replica)} = 0 THEN 'origin_fast_forward'
+WHEN {more(origin, replica)} = 0 THEN 'replica_fast_forward' WHEN {more(replica, origin)} = 0 THEN 'origin_fast_forward' ELSE 'conflict' END"""
+
+
+CASES = {"conflict": ("origin", "replica", "base"), "equal": ("origin", "origin", "base"), "ahead": ("base", "replica", "base"), "behind": ("origin", "base", "base"), "no base": ("origin", "replica", None), "equal, no base": ("replica", "replica", None), "subset": ("origin", "more", "base"), "superset": ("more", "origin", "base")}
+
+
+@query("u15_classify", f"WITH {STATES}, more AS (SELECT * FROM origin UNION ALL SELECT 'item', 'new', 'payload') " + " UNION ALL ".join(classified_sql(n, *c) for n, c in sorted(CASES.items(), key=lambda x: x[1][2] is not None)))
 def u15_classify(spark, sf):
-    base, origin, replica = states(spark, sf)
-    more = origin.unionByName(spark.createDataFrame([("item", "new", "payload")], "kind string, key string, payload string"))
-    cases = {"conflict": (origin, replica, base), "equal": (origin, origin, base), "ahead": (base, replica, base), "behind": (origin, base, base), "no base": (origin, replica, None), "equal, no base": (replica, replica, None), "subset": (origin, more, base)}
+    known = dict(zip(("base", "origin", "replica"), states(spark, sf), strict=True))
+    known["more"] = known["origin"].unionByName(spark.createDataFrame([("item", "new", "payload")], "kind string, key string, payload string"))
     out = None
-    for name, (o, r, b) in cases.items():
-        one = sn.classify(o, r, b).select(F.lit(name).alias("case"), "mode")
+    for name, (o, r, b) in CASES.items():
+        one = sn.classify(known[o], known[r], known[b] if b else None).select(F.lit(name).alias("case"), "mode")
         out = one if out is None else out.unionByName(one)
     return out
 
@@ -110,12 +123,14 @@ def k12_union(spark, sf):
     return sn.union(*replica_with_additions(spark, sf))
 
 
-@query("t01_advance_base", f"WITH {STATES} SELECT 'accepted' AS \"case\", count(*) AS n FROM origin UNION ALL SELECT 'refused', count(*) FROM base")
+@query("t01_advance_base", f"WITH {STATES}, votes AS (SELECT 'accepted' AS \"case\", n_nationkey < 1000 AS yes FROM nation UNION ALL SELECT 'refused', n_name <> 'NATION_7' FROM nation), told AS (SELECT \"case\", bool_and(yes) AS moves FROM votes GROUP BY ALL) SELECT \"case\", kind, key, payload FROM told, origin WHERE moves UNION ALL SELECT \"case\", kind, key, payload FROM told, base WHERE NOT moves")
 def t01_advance_base(spark, sf):
+    """Nations as peers: all accept the one proposal, one refuses the other."""
     base, origin, _ = states(spark, sf)
+    peers = table(spark, sf, "nation").select(F.col("n_nationkey").alias("peer"), "n_name")
     out = None
-    for name, votes in (("accepted", [True, True]), ("refused", [True, False])):
-        one = sn.advance_base(spark, base, origin, votes).agg(F.count("*").alias("n")).select(F.lit(name).alias("case"), "n")
+    for name, vote in (("accepted", F.col("peer") < 1000), ("refused", F.col("n_name") != "NATION_7")):
+        one = sn.advance_base(base, origin, peers.select("peer", vote.alias("accepted"))).select(F.lit(name).alias("case"), "kind", "key", "payload")
         out = one if out is None else out.unionByName(one)
     return out
 

@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 from folio.functions import text as tx
 from folio.operators import overlap as ov
 from folio.operators import pages as pg
+from folio.operators import sheets as sh
 
 from .lifts import CHUNKS, PAGES, PAGINATED, SHINGLES, TOKENS, paginated, table
 from .registry import query
@@ -121,8 +122,8 @@ def a05_assess(spark, sf):
 @query("g09_page_marks", f"WITH {PAGES} SELECT doc_id, marks, lines_n // 4 AS least_pages, marks >= lines_n // 4 AND NOT failed AS complete FROM (SELECT doc_id, count(*) AS marks, bool_or(body LIKE '%OCR FAILED%') AS failed FROM pages_t GROUP BY doc_id) JOIN (SELECT doc_id, CAST(len(string_split(text, chr(10))) AS BIGINT) AS lines_n FROM documents) USING (doc_id)")
 def g09_page_marks(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", F.expr("size(split(text, '\\n')) div 4").cast("long").alias("least_pages"))
-    marks = paginated(spark, sf).select("doc_id", F.regexp_count("text", F.lit(pg.MARK)).cast("long").alias("marks"), F.col("text").contains("OCR FAILED").alias("failed"))
-    return marks.join(docs, "doc_id").select("doc_id", "marks", "least_pages", ((F.col("marks") >= F.col("least_pages")) & ~F.col("failed")).alias("complete"))
+    marked = paginated(spark, sf).join(docs, "doc_id")
+    return marked.select("doc_id", F.regexp_count("text", F.lit(pg.MARK)).cast("long").alias("marks"), "least_pages", sh.marks_complete(F.col("text"), pg.MARK, F.col("least_pages")).alias("complete"))
 
 
 @query("s02_document_rows", r"""WITH d AS (SELECT 'topic/' || CASE WHEN doc_id % 3 = 0 THEN lpad(CAST(doc_id AS VARCHAR), 8, 'A') ELSE 'x' || doc_id END || '_t.md' AS path, text FROM documents),
