@@ -24,7 +24,8 @@ _SEVERAL = {
 }
 #: Combining marks.
 MARKS = r"\p{M}+"
-#: Arabic vowel marks and tatweel.
+#: Arabic vowel marks alone, and with tatweel and Quranic signs.
+VOWELS = "[\u064b-\u065f\u0670]"
 HARAKAT = "[\u0640\u064b-\u065f\u0670\u06d6-\u06ed]"
 LETTER_RUN, WORD_CHARS, INDEX_CHARS = r"\p{L}+", "[a-zа-я0-9]+", r"[\p{L}\p{N}]+"
 
@@ -117,3 +118,10 @@ def excerpt(text: Column, at: Column, span: int = 46) -> Column:
 def for_model(text: Column, kind: str) -> Column:
     """The text as models with two kinds of input take it: kind is query or passage."""
     return F.concat(F.lit(f"{kind}: "), text)
+
+
+def same_text(left: Column, right: Column) -> Column:
+    """Equal but for white space and the places of vowel marks: the same letters in order, and each mark as often. Null is empty."""
+    bare = lambda t: F.regexp_replace(F.regexp_replace(F.coalesce(t, F.lit("")), VOWELS, ""), r"[\s\u00ad\u200e]+", "")
+    marks = lambda t: F.array_sort(F.regexp_extract_all(F.coalesce(t, F.lit("")), F.lit(VOWELS), F.lit(0)))
+    return (bare(left) == bare(right)) & (marks(left) == marks(right))

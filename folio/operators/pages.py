@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folio.functions import text as tx
@@ -96,3 +96,23 @@ def document_rows(docs: DataFrame, path_col: str = "path", text_col: str = "text
     key = F.when(head.rlike("^[A-Z0-9]{8}$"), head)
     title = F.substring(F.regexp_replace(F.coalesce(F.get(lines, F.lit(0)), F.lit("")), r"^#+\s*", ""), 1, 300)
     return docs.select(F.col(path_col).alias("path"), key.alias("key"), title.alias("title"), F.sha2(F.col(text_col).cast("binary"), 256).alias("sha256"), F.length(text_col).cast("long").alias("chars"))
+
+
+#: Lines that carry on as the heading of what follows.
+CARRIED = r"^#{1,6}\s+(.*\S)|^\*\*(.+?)\*\*\s*$"
+
+
+def running_state(lines: DataFrame, id_col: str = "id") -> DataFrame:
+    """lines (id, line, text) with the page and the heading that each stands under, its own included; null before the first."""
+    w = Window.partitionBy(id_col).orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
+    page = F.when(F.col("text").rlike(MARK), F.regexp_extract("text", MARK, 1).cast("int"))
+    title = F.coalesce(F.nullif(F.regexp_extract("text", CARRIED, 1), F.lit("")), F.nullif(F.regexp_extract("text", CARRIED, 2), F.lit("")))
+    clean = F.substring(F.trim(F.regexp_replace(F.regexp_replace(title, r"\*\*|__", ""), r"\s+", " ")), 1, 200)
+    return lines.withColumns({"page": F.last(page, ignorenulls=True).over(w), "heading": F.last(clean, ignorenulls=True).over(w)})
+
+
+def page_labels(tokens: DataFrame, labels: DataFrame, id_col: str = "id") -> DataFrame:
+    """tokens (id, pos, ...) with the label of the last page that begins at or before them; labels: id, pos, label."""
+    both = tokens.withColumn("_l", F.lit(None).cast("string")).unionByName(labels.select(id_col, "pos", F.col("label").alias("_l")), allowMissingColumns=True).withColumn("_k", F.col("_l").isNull())
+    w = Window.partitionBy(id_col).orderBy("pos", "_k").rowsBetween(Window.unboundedPreceding, 0)
+    return both.withColumn("label", F.last("_l", ignorenulls=True).over(w)).where("_k").drop("_l", "_k")

@@ -176,9 +176,31 @@ def f23_jaccard(spark, sf):
     return s.join(after, "doc_id").select("doc_id", tx.jaccard(F.col("s"), F.col("t")).alias("similarity"))
 
 
-@query("f27_same_text", r"SELECT a.doc_id, regexp_replace(a.text, '\s+', '', 'g') = regexp_replace(replace(a.text, ' ', '  '), '\s+', '', 'g') AS same, regexp_replace(a.text, '\s+', '', 'g') = regexp_replace(b.text, '\s+', '', 'g') AS same_as_next FROM documents a JOIN documents b ON b.doc_id = a.doc_id + 1")
+VOWELS = "[ً-ٰٟ]"
+
+
+@query("f27_same_text", rf"""WITH v AS (SELECT doc_id, text, replace(replace(text, 'e', 'e' || chr(1614)), ' ', '  ') AS marked, replace(replace(text, 'e', chr(1614) || 'e'), 'a', CASE WHEN doc_id % 2 = 0 THEN 'a' ELSE 'a' || chr(1615) END) AS moved FROM documents)
+SELECT doc_id, regexp_replace(regexp_replace(marked, '{VOWELS}', '', 'g'), '[\s]+', '', 'g') = regexp_replace(regexp_replace(moved, '{VOWELS}', '', 'g'), '[\s]+', '', 'g') AND list_sort(regexp_extract_all(marked, '{VOWELS}')) = list_sort(regexp_extract_all(moved, '{VOWELS}')) AS same,
+ regexp_replace(text, '\s+', '', 'g') = regexp_replace(marked, '\s+', '', 'g') AS unmarked FROM v""")
 def f27_same_text(spark, sf):
-    compact = lambda c: F.regexp_replace(F.regexp_replace(c, tx.HARAKAT, ""), r"\s+", "")
-    d = table(spark, sf, "documents").select("doc_id", "text")
-    after = d.select((F.col("doc_id") - 1).alias("doc_id"), F.col("text").alias("other"))
-    return d.join(after, "doc_id").select("doc_id", (compact(F.col("text")) == compact(F.replace(F.col("text"), F.lit(" "), F.lit("  ")))).alias("same"), (compact(F.col("text")) == compact(F.col("other"))).alias("same_as_next"))
+    """Marks that stand before or behind their letter are the same, one too many isn't."""
+    fatha, damma = F.lit("َ"), F.lit("ُ")
+    marked = F.replace(F.replace("text", F.lit("e"), F.concat(F.lit("e"), fatha)), F.lit(" "), F.lit("  "))
+    moved = F.replace(F.replace("text", F.lit("e"), F.concat(fatha, F.lit("e"))), F.lit("a"), F.when(F.col("doc_id") % 2 == 0, "a").otherwise(F.concat(F.lit("a"), damma)))
+    return table(spark, sf, "documents").select("doc_id", tx.same_text(marked, moved).alias("same"), tx.same_text(F.col("text"), marked).alias("unmarked"))
+
+
+@query("w11_running_state", f"""WITH {PAGINATED}, l AS (SELECT doc_id, unnest(x) AS text, generate_subscripts(x, 1) - 1 AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS x FROM paginated)),
+m AS (SELECT doc_id, line, CASE WHEN text <> '' AND line % 6 = 1 AND NOT starts_with(text, '{{') THEN '## ' || text ELSE text END AS text FROM l),
+f AS (SELECT *, CASE WHEN regexp_full_match(text, '\\{{\\d+\\}}-{{48}}') THEN CAST(regexp_extract(text, '\\d+') AS INTEGER) END AS p, CASE WHEN starts_with(text, '## ') THEN substr(trim(regexp_replace(replace(replace(regexp_extract(text, '^#{{1,6}}\\s+(.*\\S)', 1), '**', ''), '__', ''), '\\s+', ' ', 'g')), 1, 200) END AS h FROM m)
+SELECT doc_id, CAST(line AS INTEGER) AS line, last_value(p IGNORE NULLS) OVER w AS page, last_value(h IGNORE NULLS) OVER w AS heading FROM f WINDOW w AS (PARTITION BY doc_id ORDER BY line ROWS UNBOUNDED PRECEDING)""")
+def w11_running_state(spark, sf):
+    rows = paginated(spark, sf).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "text"))
+    headed = F.when((F.col("text") != "") & (F.col("line") % 6 == 1) & ~F.col("text").startswith("{"), F.concat(F.lit("## "), "text")).otherwise(F.col("text"))
+    return pg.running_state(rows.withColumn("text", headed), "doc_id").select("doc_id", "line", "page", "heading")
+
+
+@query("j23_page_labels", "WITH t AS (SELECT o_custkey AS id, o_orderkey AS pos FROM orders), l AS (SELECT o_custkey AS id, o_orderkey AS pos, 'p.' || o_orderkey AS label FROM orders WHERE o_orderstatus = 'F') SELECT t.id, t.pos, l.label FROM t ASOF LEFT JOIN l ON t.id = l.id AND t.pos >= l.pos")
+def j23_page_labels(spark, sf):
+    o = table(spark, sf, "orders").select(F.col("o_custkey").alias("id"), F.col("o_orderkey").alias("pos"), "o_orderstatus")
+    return pg.page_labels(o.select("id", "pos"), o.where("o_orderstatus = 'F'").select("id", "pos", F.concat(F.lit("p."), "pos").alias("label")), "id")
