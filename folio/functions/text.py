@@ -32,10 +32,11 @@ LETTER_RUN, WORD_CHARS, INDEX_CHARS = r"\p{L}+", "[a-zа-я0-9]+", r"[\p{L}\p{N}
 
 def fold(text: Column) -> Column:
     """Lower case without diacritics, ligatures as their letters; null gives ''."""
-    one = plain = F.regexp_replace(F.coalesce(text, F.lit("")), MARKS, "")
+    text = F.coalesce(text, F.lit(""))
+    plain = F.regexp_replace(text, MARKS, "")
     for c, letters in _SEVERAL.items():
         plain = F.replace(plain, F.lit(c), F.lit(letters))
-    plain = F.when(one.rlike("[" + "".join(_SEVERAL) + "]"), plain).otherwise(one)  # few texts hold any
+    plain = F.when(text.rlike(r"[\p{M}" + "".join(_SEVERAL) + "]"), plain).otherwise(text)  # few texts hold any: one look is enough
     return F.lower(F.translate(plain, _FROM, _TO))
 
 

@@ -96,11 +96,18 @@ def s15_open_locations(spark, sf):
     return sv.open_locations(table(spark, sf, "part").select(F.concat(F.lit("q"), "p_partkey").alias("request"), body.alias("body")))
 
 
-@query("s33_page_chain", "SELECT o_custkey AS act, CAST(n AS INTEGER) AS n FROM (SELECT o_custkey, count(*) AS k FROM orders GROUP BY o_custkey), (SELECT unnest(range(1, 200)) AS n) WHERE n <= k")
+@query("s33_page_chain", """WITH RECURSIVE p AS (SELECT o_custkey AS act, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS n, o_orderkey AS k, min(o_orderkey) OVER (PARTITION BY o_custkey) AS k0 FROM orders),
+t AS (SELECT act, n, CASE WHEN k % 23 = 0 THEN '' WHEN k % 19 = 0 THEN 't' || k0 ELSE 't' || k END AS text, CASE WHEN k % 17 = 0 THEN -1 WHEN k % 5 = 0 THEN n + 2 ELSE n + 1 END AS after FROM p),
+walk(act, n, after, texts) AS (SELECT act, n, after, [text] FROM t WHERE n = 1 AND text <> '' UNION ALL SELECT t.act, t.n, t.after, list_append(w.texts, t.text) FROM walk w JOIN t ON t.act = w.act AND t.n = w.after WHERE t.text <> '' AND NOT list_contains(w.texts, t.text))
+SELECT act, CAST(n AS INTEGER) AS n FROM walk""")
 def s33_page_chain(spark, sf):
-    n = F.row_number().over(se.Window.partitionBy("o_custkey").orderBy("o_orderkey"))
-    rows = table(spark, sf, "orders").select(F.col("o_custkey").alias("act"), n.alias("n"), F.concat(F.lit("t"), "o_orderkey").alias("text"))
-    return sv.page_chain(rows.withColumn("links", F.array(F.lit(1), F.col("n"), F.col("n") + 1, F.col("n") + 2))).select("act", "n")
+    """Chains that branch and skip a page, end, come to an empty page, or repeat their first one's text."""
+    k, w = F.col("o_orderkey"), se.Window.partitionBy("o_custkey")
+    n = F.row_number().over(w.orderBy("o_orderkey"))
+    rows = table(spark, sf, "orders").select(F.col("o_custkey").alias("act"), n.alias("n"), k.alias("k"), F.min(k).over(w).alias("k0"))
+    text = F.when(F.col("k") % 23 == 0, " ").when(F.col("k") % 19 == 0, F.concat(F.lit("t"), "k0")).otherwise(F.concat(F.lit("t"), "k"))
+    links = F.when(F.col("k") % 17 == 0, F.array(F.lit(1), F.col("n"))).when(F.col("k") % 5 == 0, F.array(F.col("n") + 4, F.lit(1), F.col("n") + 2, F.col("n") + 3)).otherwise(F.array(F.col("n"), F.col("n") + 2, F.col("n") + 1))
+    return sv.page_chain(rows.select("act", "n", text.alias("text"), links.alias("links"))).select("act", "n")
 
 
 @query("s35_first_acceptable", "SELECT o_custkey AS request, min(o_orderkey) AS try FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey")
@@ -307,11 +314,22 @@ def g18_emptied_trash(spark, sf):
     return out
 
 
-@query("g17_resolved_dois", "SELECT p_partkey AS id, CASE WHEN p_partkey % 3 = 0 THEN 'unresolved' ELSE 'resolved' END AS status, CASE WHEN p_partkey % 3 <> 0 THEN '10.1/' || p_partkey END AS doi FROM part")
+@query("g17_resolved_dois", r"""WITH w AS (SELECT p_partkey AS id, p_name AS title, CASE WHEN p_partkey % 17 <> 0 THEN n_name ELSE '' END AS author, CASE WHEN p_partkey % 13 <> 0 THEN 1994 + p_size % 9 END AS year FROM part JOIN nation ON n_nationkey = p_partkey % 25),
+c AS (SELECT l_partkey AS id, l_suppkey AS pos, '10.1/' || l_partkey || '.' || l_suppkey AS doi, CASE WHEN max(l_quantity) > 25 THEN any_value(p_name) ELSE any_value(p_type) || ' other words ' || any_value(p_name) END AS title, any_value(n_name) AS family, year(min(l_shipdate)) AS year
+ FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey GROUP BY ALL),
+b AS (SELECT w.id, pos, doi, list_distinct(regexp_extract_all(lower(w.title), '[a-z0-9]+')) AS a, list_distinct(regexp_extract_all(lower(c.title), '[a-z0-9]+')) AS z, author <> '' AND contains(lower(family), lower(author)) AS author_ok, abs(w.year - c.year) AS apart FROM w JOIN c USING (id)),
+o AS (SELECT *, len(list_intersect(a, z)) / greatest(len(a), 1) AS overlap FROM b),
+best AS (SELECT *, overlap + CASE WHEN author_ok THEN 0.25::DOUBLE ELSE 0.0::DOUBLE END - 0.08::DOUBLE * least(coalesce(apart, 0), 3) AS score FROM o QUALIFY row_number() OVER (PARTITION BY id ORDER BY score DESC, pos) = 1)
+SELECT w.id, CASE WHEN coalesce(overlap >= 0.55 AND author_ok AND apart <= 2, false) THEN 'resolved' ELSE 'unresolved' END AS status, doi FROM w LEFT JOIN best USING (id)""")
 def g17_resolved_dois(spark, sf):
-    part = table(spark, sf, "part")
-    wanted = part.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("title"), F.lit("Ivanov").alias("author"), (2000 + F.col("p_size") % 20).alias("year"))
-    found = part.where("p_partkey % 3 <> 0").select(F.col("p_partkey").alias("id"), F.lit(0).alias("pos"), F.concat(F.lit("10.1/"), "p_partkey").alias("doi"), F.col("p_name").alias("title"), F.lit("Ivanov").alias("family"), (2000 + F.col("p_size") % 20).alias("year"))
+    """Parts as wanted works of a nation; what their suppliers delivered are candidates, by the suppliers' nations."""
+    part, n, s = table(spark, sf, "part"), table(spark, sf, "nation"), table(spark, sf, "supplier")
+    k = F.col("p_partkey")
+    wanted = part.join(n, k % 25 == F.col("n_nationkey")).select(k.alias("id"), F.col("p_name").alias("title"), F.when(k % 17 != 0, F.col("n_name")).alias("author"), F.when(k % 13 != 0, 1994 + F.col("p_size") % 9).alias("year"))
+    lines = table(spark, sf, "lineitem").groupBy("l_partkey", "l_suppkey").agg(F.max("l_quantity").alias("q"), F.year(F.min("l_shipdate")).alias("year"))
+    rows = lines.join(part, F.col("l_partkey") == k).join(s, F.col("l_suppkey") == F.col("s_suppkey")).join(n, F.col("s_nationkey") == F.col("n_nationkey"))
+    title = F.when(F.col("q") > 25, F.col("p_name")).otherwise(F.concat("p_type", F.lit(" other words "), "p_name"))
+    found = rows.select(k.alias("id"), F.col("l_suppkey").alias("pos"), F.concat(F.lit("10.1/"), "l_partkey", F.lit("."), "l_suppkey").alias("doi"), title.alias("title"), F.col("n_name").alias("family"), "year")
     return di.resolve_dois(wanted, found).select("id", "status", "doi")
 
 
