@@ -14,9 +14,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _groups(rows: DataFrame, keys: list[str], low: str, high: str, gap: float, name: str, tie: str) -> DataFrame:
+def _groups(rows: DataFrame, keys: list[str], low: str, high: str, gap: float, name: str, *tie: str) -> DataFrame:
     """rows with the number, from 0, of the run of intervals [low, high] that they lie in; a new run begins after a gap."""
-    w = Window.partitionBy(*keys).orderBy(low, high, tie)
+    w = Window.partitionBy(*keys).orderBy(low, high, *tie)
     so_far = F.max(high).over(w.rowsBetween(Window.unboundedPreceding, -1))
     begins = F.when(F.col(low) - so_far > gap, 1).otherwise(0)
     return rows.withColumn("_new", begins).withColumn(name, F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("int")).drop("_new")
@@ -26,9 +26,9 @@ def cells(words: DataFrame, line_gap: float = 0.0, block_gap: float = 14.0, colu
     """(doc, page, block, row, col, text) of tables; words: doc, page, x0, y0, x1, y1, text. Cells of nothing are empty."""
     keys = ["doc", "page"]
     usable = (F.coalesce(F.trim("text"), F.lit("")) != "") & (F.col("x0") + F.col("x1") + F.col("y0") + F.col("y1")).isNotNull()
-    rows = _groups(words.where(usable).select(*keys, "x0", "y0", "x1", "y1", F.trim("text").alias("text")), keys, "y0", "y1", line_gap, "line", "text")
-    rows = _groups(rows, keys, "y0", "y1", block_gap, "block", "text")
-    rows = _groups(rows, [*keys, "block"], "x0", "x1", column_gap, "col", "text")
+    rows = _groups(words.where(usable).select(*keys, "x0", "y0", "x1", "y1", F.trim("text").alias("text")), keys, "y0", "y1", line_gap, "line", "x0", "x1", "text")
+    rows = _groups(rows, keys, "y0", "y1", block_gap, "block", "x0", "x1", "text")
+    rows = _groups(rows, [*keys, "block"], "x0", "x1", column_gap, "col", "y0", "y1", "text")
     rows = rows.withColumn("row", F.dense_rank().over(Window.partitionBy(*keys, "block").orderBy("line")) - 1)
     whole = Window.partitionBy(*keys, "block")
     rows = rows.withColumns({"n_rows": F.max("row").over(whole) + 1, "n_cols": F.max("col").over(whole) + 1}).where((F.col("n_rows") >= min_rows) & (F.col("n_cols") >= 2))

@@ -28,10 +28,10 @@ BOXES = """l AS (SELECT o_custkey AS doc, CAST(o_orderkey % 2 AS INTEGER) AS pag
 w AS (SELECT doc, page, k, unnest([{'x0': 10.0, 'x1': 40.0, 'up': 0.0, 't': CAST(o_orderkey AS VARCHAR)}, {'x0': 60.0, 'x1': 70.0, 'up': 1.0, 't': CASE WHEN o_totalprice < 200000 THEN o_orderstatus END},
  {'x0': 100.0, 'x1': 130.0, 'up': 0.5, 't': string_split(o_orderpriority, ' ')[1]}, {'x0': 133.0, 'x1': 170.0, 'up': 0.0, 't': string_split(o_orderpriority, ' ')[2]}]) AS x, o_orderkey FROM l),
 b AS (SELECT doc, page, x.x0 AS x0, x.x1 AS x1, k * 12.0 + (k // 5) * 40.0 + o_orderkey % 3 + x.up AS y0, k * 12.0 + (k // 5) * 40.0 + o_orderkey % 3 + x.up + 8.0 AS y1, x.t AS text FROM w WHERE coalesce(x.t, '') <> ''),
-l1 AS (SELECT *, CASE WHEN y0 - max(y1) OVER (PARTITION BY doc, page ORDER BY y0, y1, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) > 0 THEN 1 ELSE 0 END AS nl, CASE WHEN y0 - max(y1) OVER (PARTITION BY doc, page ORDER BY y0, y1, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) > 14 THEN 1 ELSE 0 END AS nb FROM b),
-l2 AS (SELECT *, sum(nl) OVER (PARTITION BY doc, page ORDER BY y0, y1, text ROWS UNBOUNDED PRECEDING) AS line, sum(nb) OVER (PARTITION BY doc, page ORDER BY y0, y1, text ROWS UNBOUNDED PRECEDING) AS block FROM l1),
-l3 AS (SELECT *, CASE WHEN x0 - max(x1) OVER (PARTITION BY doc, page, block ORDER BY x0, x1, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) > 6 THEN 1 ELSE 0 END AS nc FROM l2),
-l4 AS (SELECT *, sum(nc) OVER (PARTITION BY doc, page, block ORDER BY x0, x1, text ROWS UNBOUNDED PRECEDING) AS col, dense_rank() OVER (PARTITION BY doc, page, block ORDER BY line) - 1 AS "row" FROM l3),
+l1 AS (SELECT *, CASE WHEN y0 - max(y1) OVER (PARTITION BY doc, page ORDER BY y0, y1, x0, x1, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) > 0 THEN 1 ELSE 0 END AS nl, CASE WHEN y0 - max(y1) OVER (PARTITION BY doc, page ORDER BY y0, y1, x0, x1, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) > 14 THEN 1 ELSE 0 END AS nb FROM b),
+l2 AS (SELECT *, sum(nl) OVER (PARTITION BY doc, page ORDER BY y0, y1, x0, x1, text ROWS UNBOUNDED PRECEDING) AS line, sum(nb) OVER (PARTITION BY doc, page ORDER BY y0, y1, x0, x1, text ROWS UNBOUNDED PRECEDING) AS block FROM l1),
+l3 AS (SELECT *, CASE WHEN x0 - max(x1) OVER (PARTITION BY doc, page, block ORDER BY x0, x1, y0, y1, text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) > 6 THEN 1 ELSE 0 END AS nc FROM l2),
+l4 AS (SELECT *, sum(nc) OVER (PARTITION BY doc, page, block ORDER BY x0, x1, y0, y1, text ROWS UNBOUNDED PRECEDING) AS col, dense_rank() OVER (PARTITION BY doc, page, block ORDER BY line) - 1 AS "row" FROM l3),
 l5 AS (SELECT *, max("row") OVER (PARTITION BY doc, page, block) + 1 AS nr, max(col) OVER (PARTITION BY doc, page, block) + 1 AS ncol FROM l4),
 found AS (SELECT doc, page, block, "row", col, string_agg(text, ' ' ORDER BY x0, text) AS text FROM l5 WHERE nr >= 3 AND ncol >= 2 GROUP BY ALL),
 grid AS (SELECT doc, page, block, "row", unnest(range(CAST(ncol AS BIGINT))) AS col FROM (SELECT doc, page, block, ncol, unnest(range(CAST(nr AS BIGINT))) AS "row" FROM (SELECT DISTINCT doc, page, block, nr, ncol FROM l5 WHERE nr >= 3 AND ncol >= 2)))"""
