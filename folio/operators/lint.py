@@ -16,14 +16,14 @@ SENTENCE_END = "(?<=[.!?…])\\s+(?=[«\"'(\\[]?\\p{L})"
 
 
 def sentences(text: Column, abbreviations: list[str]) -> Column:
-    """Sentences; a piece that ends in an abbreviation or a single letter before its full stop goes on."""
+    """Sentences; a piece whose last twelve characters end in an abbreviation or a single letter and a full stop goes on."""
     short = F.array(*[F.lit(a) for a in abbreviations])
     pieces = F.split(text, SENTENCE_END)
     zero = F.struct(F.expr("cast(array() as array<string>)").alias("done"), F.lit("").alias("cur"))
 
     def step(s: Column, p: Column) -> Column:
         cur = F.when(s.cur == "", p).otherwise(F.trim(F.concat(s.cur, F.lit(" "), p)))
-        last = F.lower(F.regexp_extract(F.rtrim(cur), r"(\p{L}+)[^\p{L}]*$", 1))
+        last = F.lower(F.regexp_extract(F.right(F.rtrim(cur), F.lit(12)), r"(\p{L}+)[^\p{L}]*$", 1))
         goes_on = F.endswith(F.rtrim(cur), F.lit(".")) & (last != "") & ((F.length(last) == 1) | F.array_contains(short, last))
         return F.when(goes_on, F.struct(s.done.alias("done"), cur.alias("cur"))).otherwise(F.struct(F.concat(s.done, F.array(cur)).alias("done"), F.lit("").alias("cur")))
 
@@ -78,9 +78,9 @@ def matching_forms(text: Column, patterns: list[str], ignored: list[str]) -> Col
 
 def banned_hits(paras: DataFrame, terms: list[str], by: str, text_col: str = "text") -> DataFrame:
     """(by, term, times): whole-word occurrences, case ignored."""
-    rows = paras.select(by, text_col, F.explode(F.array(*map(F.lit, terms))).alias("term"))
-    times = F.coalesce(*[F.when(F.col("term") == t, F.regexp_count(text_col, F.lit(rf"(?iu)(?<!\p{{L}}){re.escape(t)}(?!\p{{L}})"))) for t in terms])
-    return rows.select(by, "term", times.cast("long").alias("k")).groupBy(by, "term").agg(F.sum("k").alias("times")).where("times > 0")
+    times = [F.sum(F.regexp_count(text_col, F.lit(rf"(?iu)(?<!\p{{L}}){re.escape(t)}(?!\p{{L}})")).cast("long")).alias(f"n{k}") for k, t in enumerate(terms)]
+    counted = paras.groupBy(by).agg(*times)  # all terms in one pass over the texts
+    return counted.select(by, F.inline(F.array(*[F.struct(F.lit(t).alias("term"), F.col(f"n{k}").alias("times")) for k, t in enumerate(terms)]))).where("times > 0")
 
 
 def repeated_citations(refs: DataFrame, window: int) -> DataFrame:
@@ -133,8 +133,8 @@ def unglossed(texts: DataFrame, terms: list[str], window: int = 200, id_col: str
     """(doc, term, at): terms whose first use has no parenthesis within half the window on either side; at counts from 0."""
 
     def first_use(term: str) -> Column:
-        before = F.regexp_extract(text_col, r"(?isu)^(.*?)(?<!\p{L})" + re.escape(term), 1)
-        return F.when(F.col(text_col).rlike(r"(?iu)(?<!\p{L})" + re.escape(term)), F.length(before))
+        parts = F.split(text_col, r"(?iu)(?<!\p{L})" + re.escape(term), 2)
+        return F.when(F.size(parts) > 1, F.length(F.get(parts, F.lit(0))))
 
     rows = texts.select(F.col(id_col).alias("doc"), F.col(text_col).alias("t"), F.explode(F.array(*[F.struct(F.lit(t).alias("term"), first_use(t).alias("at")) for t in terms])).alias("x"))
     rows = rows.select("doc", "t", "x.*").where("at is not null")

@@ -191,11 +191,6 @@ CHECKS = {
 }
 
 
-@query("g14_prose_lint")
-def g14_prose_lint(spark, sf):
-    return li.strict_gate(li.prose_report(paras(spark, sf).select("doc", "text"), CHECKS))
-
-
 @query("v03_only_named_checks")
 def v03_only_named_checks(spark, sf):
     return li.prose_report(paras(spark, sf).select("doc", "text"), CHECKS, ["banned", "shape"])
