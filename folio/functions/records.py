@@ -184,6 +184,16 @@ def rounded(x: Column, digits: int) -> Column:
     return F.replace(F.format_number(x, digits), F.lit(","), F.lit("")).cast("double")  # rounds the binary value; casts to decimal take the printed one
 
 
+def shown(x: Column, digits: int) -> Column:
+    """A number as text with so many digits, rounded as by ``rounded``."""
+    return F.replace(F.format_number(x, digits), F.lit(","), F.lit(""))
+
+
+def say(*parts: Column | str) -> Column:
+    """A message of columns and plain words; null if a column is."""
+    return F.concat(*(F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts))
+
+
 def signed_end(text: Column, phrase: str, last: int = 400) -> Column:
     """Whether a phrase that ends a complete act stands in its last characters; null is not."""
     return F.coalesce(F.substring(text, F.greatest(F.length(text) - last + 1, F.lit(1)), F.lit(last)).rlike(phrase), F.lit(False))

@@ -21,11 +21,16 @@ def sentences(text: Column, abbreviations: list[str]) -> Column:
     pieces = F.split(text, SENTENCE_END)
     zero = F.struct(F.expr("cast(array() as array<string>)").alias("done"), F.lit("").alias("cur"))
 
-    def step(s: Column, p: Column) -> Column:
-        cur = F.when(s.cur == "", p).otherwise(F.trim(F.concat(s.cur, F.lit(" "), p)))
+    bound = lambda x, f: F.get(F.transform(F.array(x), f), F.lit(0))  # noqa: E731  evaluated once
+
+    def add(s: Column, cur: Column) -> Column:
         last = F.lower(F.regexp_extract(F.right(F.rtrim(cur), F.lit(12)), r"(\p{L}+)[^\p{L}]*$", 1))
-        goes_on = F.endswith(F.rtrim(cur), F.lit(".")) & (last != "") & ((F.length(last) == 1) | F.array_contains(short, last))
-        return F.when(goes_on, F.struct(s.done.alias("done"), cur.alias("cur"))).otherwise(F.struct(F.concat(s.done, F.array(cur)).alias("done"), F.lit("").alias("cur")))
+        short_end = bound(last, lambda w: (F.length(w) == 1) | ((w != "") & F.array_contains(short, w)))
+        ended = F.struct(F.concat(s.done, F.array(cur)).alias("done"), F.lit("").alias("cur"))
+        return F.when(F.endswith(F.rtrim(cur), F.lit(".")) & short_end, F.struct(s.done.alias("done"), cur.alias("cur"))).otherwise(ended)
+
+    def step(s: Column, p: Column) -> Column:
+        return bound(F.when(s.cur == "", p).otherwise(F.trim(F.concat(s.cur, F.lit(" "), p))), lambda cur: add(s, cur))
 
     return F.filter(F.aggregate(pieces, zero, step, lambda s: F.when(s.cur != "", F.concat(s.done, F.array(s.cur))).otherwise(s.done)), lambda x: F.trim(x) != "")
 

@@ -238,18 +238,6 @@ def g08_junk_references(spark, sf):
     return sh.furniture_references(orders(spark, sf).select((F.col("o_custkey") % 200).alias("ref"), (F.col(K) % 1000).alias("doc")), "ref", "doc", 60)
 
 
-@query("g03_deck_lint", "WITH box AS (SELECT l_orderkey AS slide, l_linenumber AS i, l_quantity / 5 AS x, l_discount * 40 AS y, 1 + l_tax * 30 AS w, 0.5 + l_linenumber / 4.0::DOUBLE AS h FROM lineitem), p AS (SELECT a.slide, a.x AS ax, a.y AS ay, a.w AS aw, a.h AS ah, b.x AS bx, b.y AS \"by\", b.w AS bw, b.h AS bh FROM box a JOIN box b ON a.slide = b.slide AND a.i < b.i) SELECT 'E-collide' AS code, count(*) AS n FROM p WHERE least(ax + aw, bx + bw) - greatest(ax, bx) > 0.08 AND least(ay + ah, \"by\" + bh) - greatest(ay, \"by\") > 0.08 UNION ALL SELECT 'E-align', count(*) FROM p WHERE abs(aw - bw) < 0.6 AND abs(ah - bh) < 0.6 AND least(ay + ah, \"by\" + bh) - greatest(ay, \"by\") > 0.5 * least(ah, bh) AND (abs(ay - \"by\") > 0.02 OR abs(ah - bh) > 0.02)")
-def g03_deck_lint(spark, sf):
-    from .q_checks import boxes
-
-    b = boxes(spark, sf)
-    out = None
-    for code, df in (("E-collide", ge.collisions(b)), ("E-align", ge.misaligned_rows(b))):
-        one = df.agg(F.count("*").alias("n")).select(F.lit(code).alias("code"), "n")
-        out = one if out is None else out.unionByName(one)
-    return out
-
-
 @query("g12_text_audit", "SELECT doc_id, concat_ws('; ', CASE WHEN k >= 3 AND n_chars > 1000 THEN 'same length' END, CASE WHEN n_chars < 200 THEN 'short' END) AS why FROM (SELECT doc_id, n_chars, count(*) OVER (PARTITION BY n_chars) AS k FROM documents) WHERE (k >= 3 AND n_chars > 1000) OR n_chars < 200")
 def g12_text_audit(spark, sf):
     return aq.text_audit(table(spark, sf, "documents"), "doc_id", "n_chars").select("doc_id", F.array_join("why", "; ").alias("why"))
