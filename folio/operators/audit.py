@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folio.functions.records import say, shown
 from folio.storage import all_of
 
 from .numbering import numbered
+from .pages import MARK
 
 #: Names that never need an entry in the library.
 SKIPPED = r"(?i)(^|/)(readme[^/]*|\.[^/]*|[^/]*\.(json|tsv|csv|log))$"
@@ -170,3 +172,42 @@ def manifest_text(manifest: DataFrame) -> DataFrame:
 def failures_first(rows: DataFrame, why: str, key: str) -> DataFrame:
     """Rows with a reason before those without, by key each."""
     return rows.orderBy(F.coalesce(F.col(why), F.lit("")) == "", key)
+
+
+#: Sources whose text this library extracts itself (the manifest's size binds), and the one whose text is paged.
+OWN_SOURCES, PAGED = ("pdftotext", "ft-cache", "html", "none", "external"), "pdftotext"
+MIXED_WORD, ONE_LENGTH, LONG = r"[A-Za-zА-Яа-яЁё]{3,}", 3, 1000
+
+
+def text_check(texts: DataFrame, manifest: DataFrame) -> DataFrame:
+    """(key, pages, chars, per_page, mixed, why): every extracted text against its entry in the manifest.
+
+    texts: key, text; manifest: key, src, pages, size, truncated, complete, flags. A text fails for missing page marks or
+    fewer than pages, fewer characters than recorded, an excerpt, a length that three long texts share, or the flags of
+    an incomplete entry. mixed is the percentage of words with letters of two scripts. A text without an entry, or whose
+    entry names no source, counts as paged; a null text is empty; pages and per_page are null without marks. The texts
+    themselves aren't shuffled, only what is counted in them.
+    """
+    text = F.coalesce("text", F.lit(""))
+    words = F.regexp_extract_all(text, F.lit(MIXED_WORD), F.lit(0))
+    mixed = F.size(F.filter(words, lambda w: w.rlike("[А-Яа-яЁё]") & w.rlike("[A-Za-z]"))) * 100.0 / F.greatest(F.size(words), F.lit(1))
+    facts = texts.select("key", F.length(text).cast("long").alias("chars"), F.regexp_count(text, F.lit(MARK)).cast("long").alias("marks"), mixed.alias("mixed"))
+    alike = facts.where(F.col("chars") > LONG).groupBy("chars").agg(F.count("*").alias("alike")).where(F.col("alike") >= ONE_LENGTH)
+    entry = manifest.select("key", "src", F.col("pages").alias("_pages"), "size", "truncated", "complete", "flags")
+    rows = facts.join(alike, "chars", "left").join(entry, "key", "left")
+    src = F.coalesce("src", F.lit(PAGED))
+    few = (src == PAGED) & (F.col("marks") > 0) & (F.col("marks") < F.col("_pages"))
+    short = (F.col("size") != 0) & F.col("src").isin(*OWN_SOURCES) & (F.col("chars") < F.col("size"))
+    why = F.array_compact(
+        F.array(
+            F.when((src == PAGED) & (F.col("marks") == 0), "no page marks"),
+            F.when(few, say(F.col("marks"), "/", F.col("_pages"), " pages")),
+            F.when(short, say(F.col("chars"), " < manifest ", F.col("size"), " chars")),
+            F.when(F.col("truncated"), "excerpt"),
+            F.when(F.col("alike").isNotNull(), say(F.col("alike"), " files share length ", F.col("chars"))),
+        )
+    )
+    more = F.when(~F.col("complete"), F.array_except(F.coalesce("flags", F.expr("cast(array() as array<string>)")), F.col("why")))
+    told = rows.withColumn("why", why).withColumn("why", F.concat("why", F.coalesce(more, F.expr("cast(array() as array<string>)"))))
+    pages = F.when(F.col("marks") > 0, F.col("marks"))
+    return told.select("key", pages.alias("pages"), "chars", F.floor(F.col("chars") / pages).alias("per_page"), shown(F.col("mixed"), 1).alias("mixed"), F.array_join("why", "; ").alias("why"))

@@ -238,11 +238,6 @@ def g08_junk_references(spark, sf):
     return sh.furniture_references(orders(spark, sf).select((F.col("o_custkey") % 200).alias("ref"), (F.col(K) % 1000).alias("doc")), "ref", "doc", 60)
 
 
-@query("g12_text_audit", "SELECT doc_id, concat_ws('; ', CASE WHEN k >= 3 AND n_chars > 1000 THEN 'same length' END, CASE WHEN n_chars < 200 THEN 'short' END) AS why FROM (SELECT doc_id, n_chars, count(*) OVER (PARTITION BY n_chars) AS k FROM documents) WHERE (k >= 3 AND n_chars > 1000) OR n_chars < 200")
-def g12_text_audit(spark, sf):
-    return aq.text_audit(table(spark, sf, "documents"), "doc_id", "n_chars").select("doc_id", F.array_join("why", "; ").alias("why"))
-
-
 @query("g19_flow_numbers", "SELECT 'documents' AS step, count(*) AS n FROM documents UNION ALL SELECT 'with text', count(*) FROM documents WHERE n_chars > 1000 UNION ALL SELECT 'judged', count(*) FROM documents SEMI JOIN labels USING (doc_id) UNION ALL SELECT 'good', count(*) FROM documents JOIN labels USING (doc_id) WHERE quality = 1")
 def g19_flow_numbers(spark, sf):
     d = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")

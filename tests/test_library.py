@@ -295,3 +295,17 @@ def test_entry_and_keys():
     import __spark_entry__ as e
 
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_texts_against_their_manifest(spark):
+    from folio.operators import audit
+
+    mark = lambda n: f"{{{n}}}{'-' * 48}\n"
+    long = mark(1) + "x" * 1200
+    texts = [("A", mark(1) + "word wоrd"), ("B", "flat"), ("C", "flat"), ("D", long), ("E", long), ("F", long), ("G", None), ("H", mark(1) + mark(2) + "ok")]
+    entries = [("A", None, 2, 500, None, False, ["thin", "excerpt"]), ("B", "html", None, 9, True, False, ["excerpt", "thin"]), ("C", "ocr", 3, 9, None, None, None), ("H", "pdftotext", 2, 10, False, True, ["thin"])]
+    manifest = spark.createDataFrame(entries, "key string, src string, pages int, size int, truncated boolean, complete boolean, flags array<string>").withColumn("text", F.lit("other"))
+    got = {r.key: r for r in audit.text_check(spark.createDataFrame(texts, "key string, text string"), manifest).collect()}
+    n = len(long)
+    assert {k: r.why for k, r in got.items()} == {"A": "1/2 pages; thin; excerpt", "B": "4 < manifest 9 chars; excerpt; thin", "C": "", "G": "no page marks", "H": ""} | {k: f"3 files share length {n}" for k in "DEF"}
+    assert (got["A"].mixed, got["H"].pages, got["B"].pages, got["D"].per_page, got["G"].chars) == ("50.0", 2, None, n, 0)
