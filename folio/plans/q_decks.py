@@ -11,7 +11,7 @@ from .registry import query
 
 SLIDE = (10.0, 5.625)
 
-SHAPES = """shapes AS (SELECT l_orderkey // 40 AS deck, l_orderkey % 40 AS slide, l_linenumber AS i, l_quantity / 5 AS x, l_discount * 40 AS y, 1 + l_tax * 30 + l_partkey % 5 * 0.01::DOUBLE AS w, 0.5 + l_linenumber / 4.0::DOUBLE AS h, l_suppkey % 4 = 0 AS picture, l_suppkey % 4 = 1 AS filled,
+SHAPES = """shapes AS (SELECT l_orderkey // 40 AS deck, l_orderkey % 40 AS slide, l_linenumber AS i, l_quantity / 5 AS x, l_discount * 40 + l_linenumber % 3 * 0.05::DOUBLE AS y, 1 + l_tax * 30 + l_partkey % 5 * 0.01::DOUBLE AS w, 0.5 + l_linenumber / 4.0::DOUBLE AS h, l_suppkey % 4 = 0 AS picture, l_suppkey % 4 = 1 AS filled,
  CASE WHEN l_suppkey % 4 > 1 THEN l_returnflag || ' part ' || l_partkey || ' of order ' || l_orderkey ELSE '' END AS text, 12 + l_partkey % 9 * 0.75::DOUBLE AS pt, CASE l_suppkey % 3 WHEN 0 THEN 'middle' WHEN 1 THEN 'top' END AS anchor, l_partkey % 50 = 0 AS autofit FROM lineitem),
 s AS (SELECT *, x + 0.1::DOUBLE AS x0, y - 0.05::DOUBLE AS y0, x + 0.1::DOUBLE + w * 0.5::DOUBLE AS x1, y - 0.05::DOUBLE + h * 0.5::DOUBLE AS y1 FROM shapes),
 c AS (SELECT * FROM s WHERE filled AND w < 0.9::DOUBLE * 10 AND h < 0.9::DOUBLE * 5.625::DOUBLE),
@@ -36,7 +36,7 @@ def shapes(spark, sf):
     k, i, part, supp = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")
     text = F.when(supp % 4 > 1, F.concat("l_returnflag", F.lit(" part "), part, F.lit(" of order "), k))
     own = table(spark, sf, "lineitem").select(
-        F.floor(k / 40).alias("deck"), (k % 40).alias("slide"), i.alias("i"), (F.col("l_quantity") / 5).alias("x"), (F.col("l_discount") * 40).alias("y"), (1 + F.col("l_tax") * 30 + part % 5 * F.lit(0.01)).alias("w"), (0.5 + i / 4.0).alias("h"),
+        F.floor(k / 40).alias("deck"), (k % 40).alias("slide"), i.alias("i"), (F.col("l_quantity") / 5).alias("x"), (F.col("l_discount") * 40 + i % 3 * F.lit(0.05)).alias("y"), (1 + F.col("l_tax") * 30 + part % 5 * F.lit(0.01)).alias("w"), (0.5 + i / 4.0).alias("h"),
         (supp % 4 == 0).alias("picture"), (supp % 4 == 1).alias("filled"), text.alias("text"), (12 + part % 9 * F.lit(0.75)).alias("pt"), F.when(supp % 3 == 0, "middle").when(supp % 3 == 1, "top").alias("anchor"), (part % 50 == 0).alias("autofit"),
     )
     return own.withColumns({"sizes": F.array("pt"), "x0": F.col("x") + 0.1, "y0": F.col("y") - 0.05, "x1": F.col("x") + 0.1 + F.col("w") * 0.5, "y1": F.col("y") - 0.05 + F.col("h") * 0.5})
