@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import random
+
+from pyspark.sql import functions as F
+
+from folio.operators import align, lint
 from folio.plans import registry
 
 
@@ -16,3 +21,29 @@ def test_d05_leaves_single_letters_alone(spark, tmp_path):
     got = dict(map(tuple, registry.queries()["d05_reconciled"](spark, sf).collect()))
     want = {r.item_id: r.text for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()}
     assert got == want
+
+
+def test_common_length_bounds_the_similarity():
+    chance = random.Random(1)
+    for n in range(400):
+        a, b = ("".join(chance.choice("abc д") for _ in range(chance.randrange(40))) for _ in "ab")
+        if n % 3 == 0:
+            b = a[: len(a) // 2] + "x" + a[len(a) // 2 + n % 4 :]
+        floor, whole = chance.choice((0.0, 0.5, 0.72, 0.75, 1.0)), align.similarity(a, b)
+        assert 2.0 * align.common_length(a, b) / max(len(a) + len(b), 1) >= whole or a == b == ""
+        assert align.similarity_from(a, b, floor) == (whole if whole >= floor else None)
+
+
+def test_similar_sentences_move_items_once(spark):
+    """No shuffle carries a row per word: all of them deal rows with whole sentences, or pairs."""
+    said = ["one two three four five six", "one two three four five sex", "nothing in common here", "one two three four five six"]
+    items = spark.createDataFrame([(d, i, s, s.split()) for d in (1, 2) for i, s in enumerate(said)], "doc long, i int, key string, w array<string>")
+    got = sorted(tuple(r) for r in lint.similar_sentences(items).collect())
+    want = [(d, i, j, align.similarity(said[i], said[j])) for d in (1, 2) for i, j in ((0, 1), (0, 3), (1, 3))]
+    assert got == want
+    moved = lint.similar_candidates(items)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(doc#" in moved and "word#" not in "".join(x for x in moved.splitlines() if "Exchange" in x)
+    grams = lint.repeated_grams(items.select("doc", F.col("key").alias("text")), 3, 2)
+    assert {tuple(r) for r in grams.collect()} >= {(1, "one two three", 3), (2, "four five six", 2)}
+    first = grams._jdf.queryExecution().executedPlan().toString().splitlines()
+    assert not any("Exchange hashpartitioning(doc" in x and "gram" in x and "partial" in first[k + 1] for k, x in enumerate(first[:-1]))
