@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from folio.functions import text as tx
 from folio.functions import vector as vx
+from folio.storage import cut
 
 K1, B, FLOOR = 1.2, 0.75, 1e-6
 PREFIX = 6
@@ -19,7 +20,8 @@ PREFIX = 6
 
 def postings(chunks: DataFrame, id_col: str = "cid", text_col: str = "text") -> DataFrame:
     """(term, cid, tf); terms are folded runs of letters and digits of any script."""
-    terms = chunks.select(F.col(id_col).alias("cid"), F.explode(tx.index_words(F.col(text_col))).alias("term"))
+    texts = chunks.select(F.col(id_col).alias("cid"), F.col(text_col).alias("text")).repartition("cid")  # texts are moved once, not their terms
+    terms = texts.select("cid", F.explode(tx.index_words(F.col("text"))).alias("term"))
     return terms.groupBy("term", "cid").agg(F.count("*").alias("tf"))
 
 
@@ -62,18 +64,27 @@ def bm25(index: DataFrame, question: str, lengths: DataFrame | None = None, tota
     1e-6 where that isn't positive. A chunk's length is the number of its tokens. lengths and totals: as stored.
     """
     asked = query_terms(question) or [("", False)]
-    lengths = index.groupBy("cid").agg(F.sum("tf").alias("dl")) if lengths is None else lengths
-    totals = _totals(lengths) if totals is None else totals
     # conditions on the term itself reach the scan of a stored index
     matches = [F.startswith("term", F.lit(q)) if prefix else F.col("term") == q for q, prefix in asked]
-    found = index.where(reduce(or_, matches)).select("cid", "tf", F.explode(F.array_compact(F.array(*[F.when(m, F.lit(q)) for m, (q, _) in zip(matches, asked, strict=True)]))).alias("q"))
-    hits = found.groupBy("q", "cid").agg(F.sum("tf").alias("tf"))
-    df = hits.groupBy("q").agg(F.count("*").alias("n"))
-    rows = hits.join(F.broadcast(df), "q").join(lengths, "cid").crossJoin(F.broadcast(totals))  # a row a term; one row
-    idf = F.log((F.col("docs") - F.col("n") + 0.5) / (F.col("n") + 0.5))
-    idf = F.when(idf <= 0, F.lit(FLOOR)).otherwise(idf)
-    part = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
-    return rows.groupBy("cid").agg(F.sum(part).alias("score"))
+    own = [f"tf{k}" for k in range(len(asked))]  # a column a term: equal chunks add up in one order
+    sums = [F.sum(F.when(m, F.col("tf"))).alias(c) for m, c in zip(matches, own, strict=True)]
+    if lengths is None:
+        rows = cut(index.groupBy("cid").agg(F.sum("tf").alias("dl"), *sums))  # one pass over the texts
+        lengths = rows
+    else:
+        rows = index.where(reduce(or_, matches)).groupBy("cid").agg(*sums).join(lengths, "cid")
+    totals = _totals(lengths) if totals is None else totals
+    df = rows.agg(*(F.count(c).alias(f"n{k}") for k, c in enumerate(own)))
+    rows = rows.where(F.coalesce(*own).isNotNull()).crossJoin(F.broadcast(df)).crossJoin(F.broadcast(totals))  # one row each
+
+    def part(k: int) -> Column:
+        tf, n = F.col(own[k]), F.col(f"n{k}")
+        idf = F.log((F.col("docs") - n + 0.5) / (n + 0.5))
+        idf = F.when(idf <= 0, F.lit(FLOOR)).otherwise(idf)
+        return idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
+
+    score = reduce(lambda done, k: done + F.coalesce(part(k), F.lit(0.0)), range(len(asked)), F.lit(0.0))
+    return rows.select("cid", score.alias("score"))
 
 
 def top(scored: DataFrame, k: int, score: str = "score", tie: str = "cid") -> DataFrame:

@@ -6,7 +6,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from folio.operators import align, lint
+from folio.operators import align, lint, search
 from folio.plans import registry
 
 
@@ -47,3 +47,13 @@ def test_similar_sentences_move_items_once(spark):
     assert {tuple(r) for r in grams.collect()} >= {(1, "one two three", 3), (2, "four five six", 2)}
     first = grams._jdf.queryExecution().executedPlan().toString().splitlines()
     assert not any("Exchange hashpartitioning(doc" in x and "gram" in x and "partial" in first[k + 1] for k, x in enumerate(first[:-1]))
+
+
+def test_postings_move_texts_and_equal_chunks_score_alike(spark):
+    text = "this thereation pour lichkeit and worthless thereof"
+    docs = spark.createDataFrame([(k, text) for k in range(40)] + [(k, "other words " * k) for k in range(40, 90)], "cid long, text string").repartition(7)
+    index = search.postings(docs)
+    moved = [x for x in index._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in x]
+    assert len(moved) == 1 and "hashpartitioning(cid#" in moved[0] and "term" not in moved[0]
+    best = search.top(search.bm25(index, "this thereation pour lichkeit and worthless"), 40).orderBy("rank").collect()
+    assert [r.cid for r in best] == list(range(40)) and len({r.score for r in best}) == 1
