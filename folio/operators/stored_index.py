@@ -107,7 +107,7 @@ def update(spark: SparkSession, path: str, documents: DataFrame, embed: Callable
     new = cut(search.changed_documents(last, known))
     gone = cut(search.gone_documents(last, known).select("path")) if whole else new.select("path").limit(0)
     touched = touched_buckets(new.select("path").unionByName(gone), "path", buckets)
-    rows = now.join(new, ["path", "sha256"], "left_semi").dropDuplicates(["path"])
+    rows = cut(now.join(new, ["path", "sha256"], "left_semi").dropDuplicates(["path"]))
     stale = cut(new.select("path").unionByName(gone))
     kept = lambda schema, table: read_buckets(spark, path, schema, table, touched).join(stale, "path", "left_anti")
     fresh = cut(_chunks(rows))

@@ -150,7 +150,7 @@ def k01_updated_index(spark, sf):
     document is one chunk here, so that the answer is that of the same documents indexed at once."""
     path = new_path(spark, "index")
     docs = table(spark, sf, "documents").select("doc_id", F.concat(F.lit("d"), "doc_id").alias("path"), F.concat_ws(" ", se.tx.index_words(F.col("text"))).alias("text"))
-    docs = docs.where(F.length("text") > 0)
+    docs = cut(docs.where(F.length("text") > 0))
     part = F.col("doc_id") % 4
     before = F.when(part == 1, F.concat("text", F.lit(" pour pour"))).otherwise(F.col("text"))
     ix.update(spark, path, docs.where(part != 0).withColumn("text", before), buckets=8)
