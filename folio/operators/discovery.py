@@ -13,11 +13,12 @@ def normal_doi(doi: Column) -> Column:
 
 
 def rebuild_abstract(works: DataFrame, id_col: str, index_col: str) -> DataFrame:
-    """(id, abstract) from a map of words to places; of two words at one place the later in the map wins."""
-    entries = works.select(id_col, F.posexplode(F.map_entries(index_col)).alias("at", "e"))
-    places = entries.select(id_col, "at", F.col("e.key").alias("word"), F.explode("e.value").alias("place"))
-    one = places.groupBy(id_col, "place").agg(F.max_by("word", "at").alias("word"))
-    return one.groupBy(id_col).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "word"))), lambda x: x.word), " ").alias("abstract"))
+    """(id, abstract) from a map of words to places; of two words at one place the later in the map wins. Works stay where they are."""
+    placed = F.transform(F.map_entries(index_col), lambda e, at: F.transform(e["value"], lambda place: F.struct(place.alias("place"), at.alias("at"), e["key"].alias("word"))))
+    rows = works.select(id_col, F.array_sort(F.flatten(F.filter(placed, lambda p: p.isNotNull()))).alias("p")).where(F.size("p") > 0)
+    after = F.concat(F.slice("p", F.lit(2), F.size("p")), F.array(F.lit(None)))
+    last = F.filter(F.zip_with("p", after, lambda x, y: F.struct(x.alias("x"), y.alias("y"))), lambda z: z["y"].isNull() | (z["x"]["place"] != z["y"]["place"]))
+    return rows.select(id_col, F.array_join(F.transform(last, lambda z: z["x"]["word"]), " ").alias("abstract"))
 
 
 def rescale(candidates: DataFrame, topic: str, relevance: str, scaled: Column) -> DataFrame:

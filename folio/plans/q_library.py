@@ -213,7 +213,8 @@ def s41_doi_list(spark, sf):
 
 @query("x05_rebuild_abstract", "SELECT doc_id, array_to_string(string_split(regexp_replace(trim(text), '\\s+', ' ', 'g'), ' '), ' ') AS abstract FROM documents WHERE trim(text) <> ''".replace("\\\\", "\\"))
 def x05_rebuild_abstract(spark, sf):
-    words = table(spark, sf, "documents").where("trim(text) <> ''").select("doc_id", F.posexplode(F.split(F.regexp_replace(F.trim("text"), r"\s+", " "), " ")).alias("at", "w"))
+    docs = table(spark, sf, "documents").where("trim(text) <> ''").repartition("doc_id")  # texts are moved once instead of their words
+    words = docs.select("doc_id", F.posexplode(F.split(F.regexp_replace(F.trim("text"), r"\s+", " "), " ")).alias("at", "w"))
     index = words.groupBy("doc_id", "w").agg(F.collect_list("at").alias("at")).groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("w", "at"))).alias("inv"))
     return di.rebuild_abstract(index, "doc_id", "inv")
 

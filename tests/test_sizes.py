@@ -6,7 +6,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from folio.operators import align, lint, search
+from folio.operators import align, discovery, lint, search
 from folio.plans import registry
 
 
@@ -57,3 +57,19 @@ def test_postings_move_texts_and_equal_chunks_score_alike(spark):
     assert len(moved) == 1 and "hashpartitioning(cid#" in moved[0] and "term" not in moved[0]
     best = search.top(search.bm25(index, "this thereation pour lichkeit and worthless"), 40).orderBy("rank").collect()
     assert [r.cid for r in best] == list(range(40)) and len({r.score for r in best}) == 1
+
+
+def exchanges(df) -> list[str]:
+    return [x for x in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in x]
+
+
+def test_abstracts_move_texts_once(spark, tmp_path):
+    texts = [(k, " the  cat and\tthe dog" * (k % 5) + f" {k}" if k % 4 else " ") for k in range(40)]
+    sf = write(spark, tmp_path, "documents", texts, "doc_id long, text string")
+    out = registry.queries()["x05_rebuild_abstract"](spark, sf)
+    assert len(exchanges(out)) == 1 and "hashpartitioning(doc_id#" in exchanges(out)[0]
+    assert sorted(map(tuple, out.collect())) == [(k, " ".join(t.split())) for k, t in texts if t.strip()]
+    works = spark.createDataFrame([(1, {"b": [1, 3], "a": [0], "c": [3]}), (2, {"x": None, "y": [7]}), (3, {}), (4, None), (5, {"z": []})], "id long, inv map<string,array<int>>")
+    built = discovery.rebuild_abstract(works, "id", "inv")
+    assert not exchanges(built)
+    assert sorted(map(tuple, built.collect())) == [(1, " ".join(["a", "b", next(w for w in reversed(list(works.where("id = 1").selectExpr("map_keys(inv) k").head().k)) if w in "bc")])), (2, "y")]
