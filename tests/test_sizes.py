@@ -73,3 +73,12 @@ def test_abstracts_move_texts_once(spark, tmp_path):
     built = discovery.rebuild_abstract(works, "id", "inv")
     assert not exchanges(built)
     assert sorted(map(tuple, built.collect())) == [(1, " ".join(["a", "b", next(w for w in reversed(list(works.where("id = 1").selectExpr("map_keys(inv) k").head().k)) if w in "bc")])), (2, "y")]
+
+
+def test_grams_are_counted_once(spark):
+    """What lies in other grams is told from the counted grams, not from the texts once more."""
+    paras = spark.createDataFrame([(1, "one two three one two three one two"), (2, "bone two threes one two three bone two threes one two three")], "doc long, text string")
+    grams = lint.repeated_grams(paras, 3, 2)
+    assert "Generate" not in grams._jdf.queryExecution().executedPlan().toString()
+    want = [(1, "one two three", 2), (1, "three one two", 2), (1, "two three one", 2), (2, "bone two threes", 2), (2, "threes one two", 2), (2, "two threes one", 2)]
+    assert sorted(map(tuple, grams.collect())) == want
