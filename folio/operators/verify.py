@@ -120,14 +120,21 @@ def expand_citations(group: Column) -> Column:
 
 
 def citation_problems(cited: DataFrame, listed: DataFrame) -> DataFrame:
-    """(doc, problem, n) from cited (doc, n) and listed (doc, n; a repeated entry is repeated)."""
-    c, entries = cited.select("doc", "n").distinct(), listed.select("doc", "n").distinct()
-    dupes = listed.groupBy("doc", "n").agg(F.count("*").alias("k")).where("k > 1").select("doc", F.lit("DUPLICATE").alias("problem"), "n")
-    dangling = c.join(entries, ["doc", "n"], "left_anti").select("doc", F.lit("DANGLING").alias("problem"), "n")
-    uncited = entries.join(c, ["doc", "n"], "left_anti").select("doc", F.lit("UNCITED").alias("problem"), "n")
-    span = entries.groupBy("doc").agg(F.max("n").alias("top")).where("top >= 1").select("doc", F.explode(F.sequence(F.lit(1), "top")).alias("n"))
-    gaps = span.join(entries, ["doc", "n"], "left_anti").select("doc", F.lit("GAP").alias("problem"), "n")
-    return dupes.unionByName(dangling).unionByName(uncited).unionByName(gaps)
+    """(doc, problem, n) from cited (doc, n) and listed (doc, n; a repeated entry is repeated). A null number is left out."""
+    c, entries = cited.groupBy("doc").agg(F.collect_set("n").alias("cited")), listed.groupBy("doc").agg(F.collect_list("n").alias("listed"))
+    return problem_sets(c.join(entries, "doc", "full_outer")).select("doc", "problem", F.explode("ns").alias("n"))
+
+
+def problem_sets(texts: DataFrame) -> DataFrame:
+    """(doc, problem, ns) of texts (doc, cited, listed): the numbers that a text cites and those of its entries, as arrays; null is
+    empty. The numbers stay with their text, so nothing is moved; ns are distinct, and not empty."""
+    none = F.expr("cast(array() as array<int>)")
+    rows = texts.select("doc", F.coalesce("cited", none).alias("cited"), F.array_sort(F.coalesce("listed", none)).alias("listed"))
+    rows = rows.select("doc", "cited", "listed", F.array_distinct("listed").alias("entries"), F.array_max("listed").alias("top"))
+    again = F.array_distinct(F.filter("listed", lambda n, i: (i > 0) & (n == F.get("listed", i - 1))))
+    gaps = F.when(F.col("top") >= 1, F.array_except(F.sequence(F.lit(1), F.greatest("top", F.lit(1))), "entries")).otherwise(none)
+    found = {"DUPLICATE": again, "DANGLING": F.array_except("cited", "entries"), "UNCITED": F.array_except("entries", "cited"), "GAP": gaps}
+    return rows.select("doc", F.inline(F.array(*(F.struct(F.lit(p).alias("problem"), ns.alias("ns")) for p, ns in found.items())))).where("size(ns) > 0")
 
 
 def dois(text: Column) -> Column:
@@ -145,7 +152,7 @@ def surnames(context: Column, stop: list[str]) -> Column:
     """Folded capitalised names of two letters or more."""
     tokens = F.regexp_extract_all(context, F.lit(r"\p{Lu}[\p{L}\p{N}_'\-]+"), F.lit(0))
     folded = F.transform(tokens, tx.fold)
-    return F.array_distinct(F.filter(folded, lambda f: (F.length(f) >= 2) & ~F.array_contains(F.array(*map(F.lit, stop)), f)))
+    return F.array_distinct(F.filter(folded, lambda f: (F.length(f) >= 2) & ~f.isin(stop)))
 
 
 #: Words that are no surnames, and say nothing in titles and venues.
@@ -157,7 +164,7 @@ CITATION_STOP = (
 
 def content_words(text: Column, shortest: int = 3) -> Column:
     """The set of folded words of some length that say something."""
-    return F.array_except(tx.word_set(text, shortest), F.array(*map(F.lit, CITATION_STOP)))
+    return F.array_distinct(F.filter(tx.words(text), lambda w: (F.length(w) >= shortest) & ~w.isin(CITATION_STOP)))
 
 
 def cited_dois(texts: DataFrame, per_line: bool = False, before: int = 600, after: int = 64, id_col: str = "id", text_col: str = "text") -> DataFrame:
@@ -168,10 +175,12 @@ def cited_dois(texts: DataFrame, per_line: bool = False, before: int = 600, afte
         rows = rows.select("id", F.posexplode(F.split("text", "\n")).alias("line", "text"))
     else:
         rows = rows.withColumn("line", F.lit(0))
-    found, between = F.regexp_extract_all("text", F.lit(DOI), F.lit(0)), F.split("text", DOI)
+    # columns of their own: in the generator they would be taken from the text again wherever they are named
+    rows = rows.select("id", "line", "text", F.regexp_extract_all("text", F.lit(DOI), F.lit(0)).alias("found"), *([] if per_line else [F.split("text", DOI).alias("between")]))
     zero = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<int>)").alias("starts"))
-    place = F.aggregate(F.arrays_zip(between.alias("b"), found.alias("m")), zero, lambda s, x: F.struct((s["at"] + F.length(x["b"]) + F.coalesce(F.length(x["m"]), F.lit(0))).alias("at"), F.concat(s["starts"], F.array(s["at"] + F.length(x["b"]))).alias("starts")))
-    rows = rows.where(F.col("text").rlike(DOI)).select("id", "line", "text", F.posexplode(F.arrays_zip(found.alias("m"), F.slice(place["starts"], F.lit(1), F.size(found)).alias("start"))).alias("k", "x"))
+    place = F.aggregate(F.arrays_zip(F.col("between").alias("b"), F.col("found").alias("m")), zero, lambda s, x: F.struct((s["at"] + F.length(x["b"]) + F.coalesce(F.length(x["m"]), F.lit(0))).alias("at"), F.concat(s["starts"], F.array(s["at"] + F.length(x["b"]))).alias("starts")))
+    starts = F.transform("found", lambda m: F.lit(0)) if per_line else F.slice(place["starts"], F.lit(1), F.size("found"))
+    rows = rows.select("id", "line", "text", F.posexplode(F.arrays_zip(F.col("found").alias("m"), starts.alias("start"))).alias("k", "x"))
     raw, start = F.col("x.m"), F.col("x.start")
     around = F.regexp_replace("text", DOI, " ") if per_line else rc.citation_context(F.col("text"), start, start + F.length(raw), before, after)
     rows = rows.select("id", "line", "k", F.regexp_replace(raw, r"[.,;:)\]>]+$", "").alias("doi"), around.alias("context"))
@@ -187,11 +196,15 @@ def verify_citations(cited: DataFrame, works: DataFrame, title_floor: float = 0.
     title, venue, families (an array); of several rows of a doi the first that is no error counts.
     """
     known = works.groupBy(F.lower("doi").alias("key")).agg(F.min(F.struct(F.col("error").isNotNull().alias("failed"), "error", "title", "venue", "families")).alias("w"))
+    families = F.filter(F.transform(F.coalesce("w.families", F.expr("cast(array() as array<string>)")), lambda f: tx.fold(F.trim(f))), lambda f: f != "")
+    title, venue = content_words(F.regexp_replace(F.coalesce("w.title", F.lit("")), "<[^>]+>", "")), content_words(F.coalesce("w.venue", F.lit("")))
+    # once for a work, not for each of its citations
+    known = known.select("key", F.struct(F.col("w.failed").alias("failed")).alias("w"), title.alias("wt"), venue.alias("wv"), F.array_join(families, " ").alias("blob"))
     rows = cited.withColumn("key", F.lower("doi")).join(known, "key", "left").drop("key")
     title, venue = title_and_venue(F.col("context"))
-    sets = {"names": surnames(F.col("context"), CITATION_STOP), "t": content_words(title), "v": content_words(venue), "wt": content_words(F.regexp_replace(F.coalesce("w.title", F.lit("")), "<[^>]+>", "")), "wv": content_words(F.coalesce("w.venue", F.lit("")))}
-    families = F.filter(F.transform(F.coalesce("w.families", F.expr("cast(array() as array<string>)")), lambda f: tx.fold(F.trim(f))), lambda f: f != "")
-    rows = rows.withColumns(sets | {"blob": F.array_join(families, " ")})
+    none = F.expr("cast(array() as array<string>)")
+    unknown = {"wt": F.coalesce("wt", none), "wv": F.coalesce("wv", none), "blob": F.coalesce("blob", F.lit(""))}
+    rows = rows.withColumns(unknown | {"names": surnames(F.col("context"), CITATION_STOP), "t": content_words(title), "v": content_words(venue)})
     both = lambda a, b: (F.size(a) > 0) & (F.size(b) > 0)
     failed = F.coalesce(F.col("w.failed"), F.lit(False))
     overlap = lambda a, b: F.when(both(a, b) & ~failed, tx.jaccard(F.col(a), F.col(b)))
