@@ -77,7 +77,9 @@ def mirror_state(files: DataFrame, items: DataFrame) -> DataFrame:
     """files (path, key) by state: live, trash or absent; items (key, trashed)."""
     known = items.groupBy("key").agg(F.min("trashed").alias("trashed"))
     state = F.when(F.col("trashed").isNull(), "absent").when(F.col("trashed"), "trash").otherwise("live")
-    return files.join(known, "key", "left").select("path", "key", state.alias("state"))
+    keyed = files.where("key is not null").join(known, "key", "left").select("path", "key", state.alias("state"))
+    # files without a key match nothing: joined, all of them would meet in one task
+    return keyed.unionByName(files.where("key is null").select("path", "key", F.lit("absent").alias("state")))
 
 
 def collection_gaps(members: DataFrame, mirrored: DataFrame) -> DataFrame:
