@@ -33,8 +33,9 @@ def contents_links(contents: DataFrame, address: str, label: str | None = None,
 def rendered(links: DataFrame, attempts: DataFrame, wanted: str | None = None) -> DataFrame:
     """links with text and state: kept, missing, empty or other (its text doesn't match what is wanted). attempts: url, attempt, text."""
     clean = rc.without_furniture(F.col("text"))
-    tried = attempts.where(F.col("attempt").between(0, ATTEMPTS - 1)).select("url", "attempt", clean.alias("text")).where(~rc.failed_render(F.col("text")))
-    good = tried.groupBy("url").agg(F.min_by("text", "attempt").alias("text"))
+    # no filter on the cleaned text: it would be cleaned again for every place in the filter that names it
+    tried = attempts.where(F.col("attempt").between(0, ATTEMPTS - 1)).select("url", "attempt", F.when(~rc.failed_render(clean), clean).alias("text"))
+    good = tried.groupBy("url").agg(F.min_by("text", F.when(F.col("text").isNotNull(), F.col("attempt"))).alias("text"))
     state: Column = F.when(F.col("text").isNull(), "missing").when(F.col("text") == "", "empty")
     if wanted:
         state = state.when(~F.col("text").rlike(f"(?i){wanted}"), "other")
