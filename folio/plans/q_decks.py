@@ -50,4 +50,4 @@ def g03_deck_lint(spark, sf):
 @query("g03_deck_gate", f"WITH {SHAPES} SELECT deck, coalesce(e, 0) AS errors, coalesce(w, 0) AS warnings, coalesce(e, 0) = 0 AS passed FROM (SELECT DISTINCT deck FROM shapes) LEFT JOIN (SELECT deck, count(*) FILTER (code LIKE 'E-%') AS e, count(*) FILTER (code LIKE 'W-%') AS w FROM found GROUP BY deck) USING (deck)")
 def g03_deck_gate(spark, sf):
     own = shapes(spark, sf)
-    return deck.deck_gate(own, deck.lint(own, *SLIDE))
+    return deck.deck_gate(own, deck.lint_counts(own, *SLIDE))
