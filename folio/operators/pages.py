@@ -21,22 +21,32 @@ def paginate(bodies: Column, first: int = 0) -> Column:
     return F.array_join(F.transform(bodies, lambda b, i: F.concat(page_mark(i + first), F.lit("\n"), b)), "\n")
 
 
+def _cut(docs: DataFrame, text_col: str, keep_unmarked: bool) -> tuple[DataFrame, Column]:
+    """The texts with what their marks say, as columns of their own so that each is taken from the text once; their pages from these."""
+    text = F.col(text_col)
+    numbers = F.transform(F.regexp_extract_all(text, F.lit(MARK), F.lit(1)), lambda n: n.cast("int"))
+    rows = docs.withColumns({"_n": numbers, "_b": F.split(text, MARK.replace("(\\d+)", "\\d+"))})
+    marked = F.arrays_zip(F.col("_n").alias("page"), F.slice("_b", F.lit(2), F.greatest(F.size("_b"), F.lit(1))).alias("body"))
+    whole = F.array(F.struct(F.lit(0).alias("page"), text.alias("body")))
+    kind = "array<struct<page:int,body:string>>"
+    pages = F.when(F.size("_n") > 0, marked.cast(kind))
+    return rows, pages.otherwise(whole.cast(kind)) if keep_unmarked else pages
+
+
+def page_arrays(docs: DataFrame, text_col: str = "text", keep_unmarked: bool = True) -> DataFrame:
+    """The pages of ``split_pages`` as an array of (page, body) instead of the text: they stay with their document."""
+    rows, pages = _cut(docs, text_col, keep_unmarked)
+    return rows.select(*[c for c in docs.columns if c != text_col], pages.alias("pages"))
+
+
 def split_pages(docs: DataFrame, text_col: str = "text", keep_unmarked: bool = True) -> DataFrame:
     """A row per page with page and body instead of the text.
 
     Text before the first mark is dropped; a text without marks is page 0 (or nothing, if not kept).
     """
-    text = F.col(text_col)
-    numbers = F.transform(F.regexp_extract_all(text, F.lit(MARK), F.lit(1)), lambda n: n.cast("int"))
-    bodies = F.split(text, MARK.replace("(\\d+)", "\\d+"))
-    marked = F.arrays_zip(numbers.alias("page"), F.slice(bodies, F.lit(2), F.greatest(F.size(bodies), F.lit(1))).alias("body"))
-    whole = F.array(F.struct(F.lit(0).alias("page"), text.alias("body")))
-    kind = "array<struct<page:int,body:string>>"
-    pages = F.when(F.size(numbers) > 0, marked.cast(kind))
-    if keep_unmarked:
-        pages = pages.otherwise(whole.cast(kind))
+    rows, pages = _cut(docs, text_col, keep_unmarked)
     rest = [c for c in docs.columns if c != text_col]
-    return docs.select(*rest, F.explode(pages).alias("_p")).select(*rest, "_p.page", "_p.body")
+    return rows.select(*rest, F.explode(pages).alias("_p")).select(*rest, "_p.page", "_p.body")
 
 
 def chunks_of(body: Column, most: int = MAX_CHUNK, least: int = MIN_CHUNK) -> Column:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,19 +22,22 @@ QUOTES_AND_EMPHASIS = "«»“”„\"'*_`­"
 
 def plain(text: Column) -> Column:
     """Without emphasis, quotation marks and soft hyphens; one kind of dash, ё as е, single blanks."""
-    text = F.translate(text, "—–ёЁ" + QUOTES_AND_EMPHASIS, "--еЕ")
+    varied = "—–ёЁ" + QUOTES_AND_EMPHASIS
+    # letter by letter only where there is something to translate
+    text = F.when(reduce(or_, (F.contains(text, F.lit(c)) for c in varied)), F.translate(text, varied, "--еЕ")).otherwise(text)
     return F.trim(F.regexp_replace(text, r"\s+", " "))
 
 
-def quote_rows(drafts: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:
-    """(id, n, quote, pages): block quotes that end in a page anchor; a range gives every page between."""
+def quote_rows(drafts: DataFrame, id_col: str = "id", text_col: str = "text", keep: Sequence[str] = ()) -> DataFrame:
+    """(id, n, quote, pages): block quotes that end in a page anchor; a range gives every page between. Columns to keep follow."""
     groups = F.regexp_extract_all(F.concat(F.col(text_col), F.lit("\n")), F.lit(r"(?m)(?:^>.*\n)+"), F.lit(0))
-    rows = drafts.select(F.col(id_col).alias("id"), F.posexplode(groups).alias("n", "g"))
-    flat = F.trim(F.regexp_replace(F.regexp_replace("g", r"(?m)^>\s?", ""), r"\s+", " "))
-    rows = rows.select("id", "n", flat.alias("flat")).where(F.col("flat").rlike(ANCHOR))
+    flat = F.transform(groups, lambda g: F.trim(F.regexp_replace(F.regexp_replace(g, r"(?m)^>\s?", ""), r"\s+", " ")))
+    rows = drafts.select(F.col(id_col).alias("id"), *keep, F.posexplode(flat).alias("n", "flat")).where(F.col("flat").rlike(ANCHOR))
     numbers = F.transform(F.regexp_extract_all(F.regexp_extract("flat", ANCHOR, 1), F.lit(r"\d+"), F.lit(0)), lambda x: x.cast("int"))
-    pages = F.when(F.get(numbers, F.lit(0)) <= F.element_at(numbers, -1), F.sequence(F.get(numbers, F.lit(0)), F.element_at(numbers, -1))).otherwise(F.expr("cast(array() as array<int>)"))
-    return rows.select("id", "n", F.trim(F.regexp_replace("flat", ANCHOR, "")).alias("quote"), pages.alias("pages"))
+    rows = rows.select("id", *keep, "n", F.trim(F.regexp_replace("flat", ANCHOR, "")).alias("quote"), numbers.alias("k"))
+    first, last = F.get("k", F.lit(0)), F.element_at("k", -1)
+    pages = F.when(first <= last, F.sequence(first, last)).otherwise(F.expr("cast(array() as array<int>)"))
+    return rows.select("id", "n", "quote", pages.alias("pages"), *keep)
 
 
 BARE_NUMBER = r"(?m)^[ \t]*(\d{1,4})[ \t]*$"
@@ -95,6 +102,19 @@ def elsewhere(quotes: DataFrame, pages: DataFrame) -> DataFrame:
     return hit.where(F.forall("s", lambda s: F.contains(F.col("body"), s))).select("id", "n", "page")
 
 
+def plain_bodies(pages: Column) -> Column:
+    """Arrays of (page, body) with plain bodies."""
+    return F.transform(pages, lambda x: F.struct(x["page"].alias("page"), plain(x["body"]).alias("body")))
+
+
+def elsewhere_in(quotes: DataFrame, source: str = "source") -> DataFrame:
+    """(id, n, page) as of ``elsewhere``, for quotes that carry the pages of their source (``plain_bodies``): nothing is moved or joined."""
+    rows = quotes.where(F.col("id").isNotNull()).select("id", "n", "pages", source, segments(F.col("quote")).alias("s"))
+    other = F.filter(source, lambda x: ~F.array_contains("pages", x["page"]) & F.forall("s", lambda s: F.contains(x["body"], s)))
+    hits = F.transform(F.when(F.size("s") > 0, other), lambda x: x["page"])
+    return rows.select("id", "n", F.explode(hits).alias("page"))
+
+
 def corrupted(quote: Column, least: int = 8) -> Column:
     """The quote with its middle word spoilt, for quotes of ``least`` words or more: such a quote must fail."""
     words = F.split(quote, " ")

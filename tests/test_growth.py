@@ -95,3 +95,36 @@ def test_state_of_a_union_without_its_sections(spark):
     sides = [library.sections(raw | {"items": raw["items"].where(keep)}) for keep in (F.lit(False), even, ~even)]
     want = library.state(library.union(*sides))
     assert sorted(map(tuple, library.union_state(*sides).collect())) == sorted(map(tuple, want.collect())) and not want.isEmpty()
+
+
+def test_pages_are_split_once(spark):
+    from folio.operators import pages
+    from folio.plans import lifts
+
+    paginated = lifts.paginated(spark, "/root/testdata/sf0.001")
+    assert plan(paginated).count("split(text") == 1
+    docs = spark.createDataFrame([(1, "lost\n{3}" + "-" * 48 + "\none\n{4}" + "-" * 48 + "\ntwo"), (2, "no marks"), (3, None), (4, "{5}" + "-" * 48)], "id int, text string")
+    for keep in (True, False):
+        whole, arrays = pages.split_pages(docs, keep_unmarked=keep), pages.page_arrays(docs, keep_unmarked=keep)
+        assert plan(whole).count("regexp_extract_all") == plan(arrays).count("regexp_extract_all") == 1
+        assert sorted(map(str, whole.collect())) == sorted(map(str, arrays.select("id", F.inline("pages")).collect()))
+    assert sorted(map(tuple, pages.split_pages(docs).where("id <> 3").collect())) == [(1, 3, "\none\n"), (1, 4, "\ntwo"), (2, 0, "no marks"), (4, 5, "")]
+
+
+def test_quotes_elsewhere_stay_with_their_source(spark):
+    from folio.plans import q_checks
+
+    pages = [(0, "The quick brown\nfox jumps over it all"), (1, "so «The quick *brown* fox» jumps over it all — twice"), (2, "the quick brown fox"), (3, None), (4, "fox jumps over it all. The quick brown fox")]
+    quotes = [(0, "The quick brown fox … fox jumps over it", [0]), (1, "The quick brown fox", [0, 1]), (2, "too short", [0]), (3, "it stands nowhere at all", [2]), (4, "The quick brown fox", []), (5, None, [0]), (6, "jumps over it all - twice", [1])]
+    rows = spark.createDataFrame([(i, *q) for i in (1, 2, None) for q in quotes], "id int, n int, quote string, pages array<int>")
+    kept = spark.createDataFrame([(1, pages), (2, pages[:1]), (None, pages)], "id int, source array<struct<page:int,body:string>>")
+    carried = rows.join(kept, rows.id.eqNullSafe(kept.id)).select(rows.id, "n", "quote", "pages", verify.plain_bodies(F.col("source")).alias("source"))
+    got = sorted(map(tuple, verify.elsewhere_in(carried).collect()))
+    assert got == sorted(map(tuple, verify.elsewhere(rows, kept.select("id", F.inline("source"))).collect()))
+    assert got == [(1, 0, 1), (1, 0, 4), (1, 1, 4), (1, 4, 0), (1, 4, 1), (1, 4, 4), (2, 4, 0)]
+
+    sf = "/root/testdata/sf0.01"
+    out = q_checks.j18_quotes_elsewhere(spark, sf)
+    assert not any(x in plan(out) for x in ("Exchange", "Join", "Aggregate")) and plan(out).count("FileScan") == 1
+    want = verify.elsewhere(q_checks.quotes(spark, sf), q_checks.pages(spark, sf))
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, want.collect())) and not want.isEmpty()
