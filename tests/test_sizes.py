@@ -82,3 +82,18 @@ def test_grams_are_counted_once(spark):
     assert "Generate" not in grams._jdf.queryExecution().executedPlan().toString()
     want = [(1, "one two three", 2), (1, "three one two", 2), (1, "two three one", 2), (2, "bone two threes", 2), (2, "threes one two", 2), (2, "two threes one", 2)]
     assert sorted(map(tuple, grams.collect())) == want
+
+
+def test_similar_sentences_leave_no_pair_out(spark, monkeypatch):
+    """Words of many sentences count too, in one block and in several."""
+    chance = random.Random(3)
+    words = "bank pays firms tokens ledger holds going thing".split()
+    said = [" ".join(chance.choices(words, k=chance.randint(3, 9))) for _ in range(40)]
+    items = spark.createDataFrame([(d, i, s, s.split()) for d in (1, 2, None) for i, s in enumerate(said)] + [(3, 0, "a b c", ["a", "b", "c"]), (4, 0, None, None)], "doc long, i int, key string, w array<string>").repartition(5)
+    alike = lambda x, y: len(set(x.split()) & set(y.split())) >= 3 and abs(len(x) - len(y)) <= len(x) * 0.5 and align.similarity(x, y) >= 0.75
+    want = [(d, i, j, align.similarity(said[i], said[j])) for d in (1, 2) for i in range(40) for j in range(i + 1, 40) if alike(said[i], said[j])]
+    assert len(want) > lint.similar_sentences(items, share_cap=0.08).count()
+    for block in (256, 7):
+        monkeypatch.setattr(lint, "BLOCK", block)
+        found = lint.similar_sentences(items)
+        assert sorted(map(tuple, found.collect())) == want and found.schema["i"].dataType == items.schema["i"].dataType
