@@ -128,3 +128,10 @@ def test_quotes_elsewhere_stay_with_their_source(spark):
     assert not any(x in plan(out) for x in ("Exchange", "Join", "Aggregate")) and plan(out).count("FileScan") == 1
     want = verify.elsewhere(q_checks.quotes(spark, sf), q_checks.pages(spark, sf))
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, want.collect())) and not want.isEmpty()
+
+
+def test_alignment_is_dealt_to_all_partitions(spark):
+    rows = spark.createDataFrame([(d, s, p, f"{d} text {p}") for d in range(20) for s in "ab" for p in range(3)], "doc int, side string, pos long, text string")
+    out = align.align_documents(rows)
+    assert "REPARTITION_BY_NUM" in plan(out)
+    assert sorted(map(tuple, out.collect())) == [(d, p, p) for d in range(20) for p in range(3)]
